@@ -1,0 +1 @@
+"""Holds no operators: every job of this library is a daily batch and none reads a stream."""
