@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,11 @@ from segmentry.config import CleanRules
 from segmentry.functions.scalar import cap_sentinel, code_map, daypart, quarter_label, rounded_ratio
 
 
+def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows without NULL in the columns, as plain tests that reach the file scan."""
+    return df.filter(reduce(lambda a, b: a & b, [F.col(f"`{name}`").isNotNull() for name in columns]))
+
+
 def clean_campaigns(raw: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     start = F.col("ADS_SDATE")
     return raw.filter(
@@ -34,7 +40,7 @@ def clean_campaigns(raw: DataFrame, rules: CleanRules = CleanRules()) -> DataFra
 def clean_schedules(raw: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     goal = F.col("SCH_CLK_NUM")
     return (
-        raw.dropna(subset=["SCH_CLK_NUM", "SCH_TURN_NUM"])
+        require(raw, ["SCH_CLK_NUM", "SCH_TURN_NUM"])
         .filter(goal != rules.dropped_goal)
         .select(
             F.col("ADS_IDX").alias("KEY"),
@@ -50,7 +56,7 @@ def clean_schedules(raw: DataFrame, rules: CleanRules = CleanRules()) -> DataFra
 def clean_reports(raw: DataFrame, rules: CleanRules = CleanRules()) -> DataFrame:
     clicks, turns, cost = F.col("RPT_TIME_CLK"), F.col("RPT_TIME_TURN"), F.col("RPT_TIME_ACOST")
     return (
-        raw.dropna(subset=["RPT_TIME_CLK", "RPT_TIME_TURN"])
+        require(raw, ["RPT_TIME_CLK", "RPT_TIME_TURN"])
         .filter((clicks >= turns) & (cost >= F.col("RPT_TIME_EARN")))
         .select(
             F.col("ADS_IDX").alias("KEY"),

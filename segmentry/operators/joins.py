@@ -16,7 +16,7 @@ from segmentry.config import (
     FINAL_COLUMNS, FLOAT_COLUMNS, REQUIRED_CAMPAIGN, REQUIRED_REPORT, REQUIRED_SCHEDULE, CleanRules,
 )
 from segmentry.functions.scalar import limit_type, safe_ratio
-from segmentry.operators.clean import cast_columns
+from segmentry.operators.clean import cast_columns, require
 
 BROADCAST_BYTES = 64 << 20
 
@@ -48,10 +48,10 @@ def campaign_dimension(campaigns: DataFrame, schedules: DataFrame, shapes: DataF
     Left joins whose right side must not be NULL afterwards keep the rows of inner joins, and inner joins
     may be taken in any order.
     """
-    schedule = schedules.dropna(subset=REQUIRED_SCHEDULE).select(
+    schedule = require(schedules, REQUIRED_SCHEDULE).select(
         "SCH_KEY", "RPT_TYPE", "MDA_ARR", "TURN_GOAL", "TURN_REAL"
     )
-    shaped = with_shape(campaigns.dropna(subset=REQUIRED_CAMPAIGN), shapes)
+    shaped = with_shape(require(campaigns, REQUIRED_CAMPAIGN), shapes)
     return shaped.join(schedule, "SCH_KEY").select(
         *campaigns.columns, "SHAPE", "RPT_TYPE", "MDA_ARR", "TURN_GOAL", "TURN_REAL"
     )
@@ -59,7 +59,7 @@ def campaign_dimension(campaigns: DataFrame, schedules: DataFrame, shapes: DataF
 
 def analytics(reports: DataFrame, dimension: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Reports with their campaign, schedule and shape; rows with a missing required value are dropped."""
-    facts = reports.dropna(subset=REQUIRED_REPORT)
+    facts = require(reports, REQUIRED_REPORT)
     side = sized_broadcast(dimension, max_bytes)
     return facts.join(side, "KEY").select(*reports.columns, *[c for c in dimension.columns if c != "KEY"])
 

@@ -44,25 +44,31 @@ def piece_of(value: Column, points: Sequence) -> Column:
 
 
 def running_total(
-    df: DataFrame, keys: Sequence[str], order: str, weight: str, out: str, points: Sequence | None = None
+    df: DataFrame, keys: Sequence[str], order: str, weight: str, points: Sequence | None = None
 ) -> DataFrame:
-    """Add `out`: the sum of `weight` over the rows of the same keys with a smaller `order` value.
+    """Add `before` and `tied`: the weight of the rows of the same keys with a smaller, or the same, `order` value.
 
-    Rows must be unique in (keys, order): aggregate first.
+    Keys and `order` must not be NULL.
     """
     if points is None:
         points = split_points(df, order)
-    cut = df.withColumn("_piece", piece_of(F.col(f"`{order}`"), points))
+    pieces = df.withColumn("_piece", piece_of(F.col(f"`{order}`"), points))
     by_piece = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     starts = (
-        cut.groupBy(*keys, "_piece").agg(F.sum(weight).alias("_total"))
+        pieces.groupBy(*keys, "_piece").agg(F.sum(weight).alias("_total"))
         .withColumn("_start", F.coalesce(F.sum("_total").over(by_piece), F.lit(0)))
         .drop("_total")
     )
-    inside = W.partitionBy(*keys, "_piece").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy(*keys, "_piece").orderBy(order)
     return (
-        cut.join(starts, [*keys, "_piece"])
-        .withColumn(out, F.col("_start") + F.coalesce(F.sum(weight).over(inside), F.lit(0)))
+        pieces.join(starts, [*keys, "_piece"])
+        .withColumns(
+            {
+                "tied": F.sum(weight).over(inside.rangeBetween(W.currentRow, W.currentRow)),
+                "before": F.sum(weight).over(inside.rangeBetween(W.unboundedPreceding, W.currentRow)),
+            }
+        )
+        .withColumn("before", F.col("_start") + F.col("before") - F.col("tied"))
         .drop("_piece", "_start")
     )
 
@@ -70,8 +76,8 @@ def running_total(
 def dense_ids(df: DataFrame, column: str, out: str, points: Sequence | None = None) -> DataFrame:
     """Distinct non-NULL values of a column with ids 1..n in value order."""
     names = df.select(column).dropna().distinct().withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_total(names, [], column, "_one", "_before", points)
-    return ranked.select(column, (F.col("_before") + 1).alias(out))
+    ranked = running_total(names, [], column, "_one", points)
+    return ranked.select(column, (F.col("before") + 1).alias(out))
 
 
 def batch_numbers(df: DataFrame, id_column: str, size: int = 100, out: str = "batch") -> DataFrame:
