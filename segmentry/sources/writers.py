@@ -66,7 +66,7 @@ def append_runs(runs: DataFrame, path: str, experiment: str) -> None:
     runs.withColumn("experiment", F.lit(experiment)).write.mode("append").partitionBy("experiment").parquet(path)
 
 
-def clear_runs(runs: DataFrame, path: str, experiment: str) -> None:
+def replace_runs(runs: DataFrame, path: str, experiment: str) -> None:
     """Replace all runs of one experiment; other experiments in the log are kept."""
     (
         runs.withColumn("experiment", F.lit(experiment)).write.mode("overwrite")
