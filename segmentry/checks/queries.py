@@ -485,6 +485,14 @@ def rejected_lines(spark, sf):
     return readers.read_rejects(spark, damaged_schedules(spark, sf), C.SCHEDULE_SCHEMA).select("line")
 
 
+@query
+def lenient_load_pruned(spark, sf):
+    """Bad lines are skipped even if the query does not use the column that is bad."""
+    return readers.read_lenient(spark, damaged_schedules(spark, sf), C.SCHEDULE_SCHEMA).groupBy("SCH_TYPE").agg(
+        F.count(F.lit(1)).alias("n")
+    )
+
+
 @query
 def multi_file_load(spark, sf):
     """Two report folders chosen by name, next to one that must not be read."""
