@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,9 +37,14 @@ def dates_as_text(df: DataFrame) -> DataFrame:
     return clean.cast_columns(df, moments, "string") if moments else df
 
 
+def near(value: Column, digits: int = 6) -> Column:
+    """Round for comparison. The small shift keeps exact halves, such as means of prices, off the rounding edge."""
+    return F.round(value + F.lit(float(f"1.23e-{digits + 2}")), digits)
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     doubles = [f.name for f in df.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    return df.withColumns({c: F.round(F.col(f"`{c}`"), digits) for c in doubles})
+    return df.withColumns({c: near(F.col(f"`{c}`"), digits) for c in doubles})
 
 
 def dimension(spark: SparkSession, sf: str) -> DataFrame:
@@ -65,7 +70,7 @@ def by_quarter(spark: SparkSession, sf: str) -> DataFrame:
 def observed(spark: SparkSession, sf: str) -> DataFrame:
     """Mean measures per condition in place of predictions."""
     means = [
-        F.coalesce(F.round(F.avg(f"`{m}`"), 6), F.lit(0.0)).alias(f"Pred_{n}") for m, n in C.PREDICTION_NAMES.items()
+        F.coalesce(near(F.avg(f"`{m}`"), 6), F.lit(0.0)).alias(f"Pred_{n}") for m, n in C.PREDICTION_NAMES.items()
     ]
     return by_quarter(spark, sf).groupBy(
         "GMM_CLUSTER", "SHAPE", F.col("MDA").cast("string").alias("MDA"), "START_TIME"
@@ -133,7 +138,7 @@ def limit_type(spark, sf):
 def safe_ratio(spark, sf):
     """Attainment of every schedule, with zero and missing goals."""
     return V.schedules(spark, sf).select(
-        "SCH_IDX", F.round(scalar.safe_ratio(F.col("SCH_TURN_NUM"), F.col("SCH_CLK_NUM")), 6).alias("ATS")
+        "SCH_IDX", near(scalar.safe_ratio(F.col("SCH_TURN_NUM"), F.col("SCH_CLK_NUM"))).alias("ATS")
     )
 
 
@@ -201,9 +206,9 @@ def segment_summary(spark, sf):
     """Flagship: the whole way from raw tables to mean measures per segment."""
     return facts(spark, sf).groupBy("INDUSTRY", "OS_TYPE", "START_QUARTER").agg(
         F.count(F.lit(1)).alias("n"),
-        F.round(F.avg("CVR"), 6).alias("avg_cvr"),
-        F.round(F.avg(f"`{EFF}`"), 6).alias("avg_efficiency"),
-        F.round(F.avg("ATS"), 6).alias("avg_ats"),
+        near(F.avg("CVR"), 6).alias("avg_cvr"),
+        near(F.avg(f"`{EFF}`"), 6).alias("avg_efficiency"),
+        near(F.avg("ATS"), 6).alias("avg_ats"),
     )
 
 
@@ -242,7 +247,7 @@ def universal_flag(spark, sf):
 @query
 def argmin(spark, sf):
     """Cheapest daypart of every industry."""
-    means = facts(spark, sf).groupBy("INDUSTRY", "START_TIME").agg(F.round(F.avg(f"`{EFF}`"), 6).alias("eff"))
+    means = facts(spark, sf).groupBy("INDUSTRY", "START_TIME").agg(near(F.avg(f"`{EFF}`"), 6).alias("eff"))
     return means.groupBy("INDUSTRY").agg(F.min_by("START_TIME", F.struct("eff", "START_TIME")).alias("START_TIME"))
 
 
@@ -288,7 +293,7 @@ def minmax_scale(spark, sf):
 def union_goals(spark, sf):
     scored = rank.score_goals(rank.scale_0_100(observed(spark, sf)))
     return rank.master_table(scored).groupBy("GMM_CLUSTER", "Metric_Type").agg(
-        F.count(F.lit(1)).alias("n"), F.round(F.max("score"), 6).alias("best"), F.round(F.avg("score"), 6).alias("mean")
+        F.count(F.lit(1)).alias("n"), near(F.max("score"), 6).alias("best"), near(F.avg("score"), 6).alias("mean")
     )
 
 
@@ -317,7 +322,7 @@ def average_ranks(spark, sf):
     counts = group_tests.value_counts(facts(spark, sf), C.FACTORS, C.MEASURES)
     return group_tests.average_ranks(counts).groupBy("factor", "measure", "value").agg(
         F.max("rank").alias("rank"), F.sum("n").alias("n")
-    ).withColumn("value", F.round("value", 6))
+    ).withColumn("value", near(F.col("value")))
 
 
 # Classification
@@ -608,7 +613,7 @@ def welch(spark, sf):
 @query
 def anova(spark, sf):
     table = group_tests.anova(group_tests.group_moments(counted(spark, sf)))
-    return rounded(table.select("factor", "measure", "k", "n", "F", "np2"), 4)
+    return rounded(table.select("factor", "measure", "k", "n", F.ln("F").alias("log_f"), "np2"))
 
 
 @query
@@ -631,7 +636,7 @@ def effect_sizes(spark, sf):
 def jarque_bera(spark, sf):
     table = group_tests.normality(counted(spark, sf), method="jarque_bera")
     return table.filter("measure <> 'ATS'").select(
-        "factor", "measure", "level", "size", F.round(F.col("statistic") / F.col("size"), 4).alias("per_row")
+        "factor", "measure", "level", "size", near(F.col("statistic") / F.col("size"), 4).alias("per_row")
     )
 
 

@@ -48,9 +48,12 @@ def _valid(counts: DataFrame) -> DataFrame:
 
 
 def group_sizes(counts: DataFrame) -> DataFrame:
-    """Size and mean per level."""
-    weighted = F.sum(F.col("n") * F.col("value"))
-    return _valid(counts).groupBy(*GROUP).agg(F.sum("n").alias("size"), (weighted / F.sum("n")).alias("mean"))
+    """Size and mean per level. A level of one repeated value has exactly that mean, and so no spread."""
+    low, high = F.min("value"), F.max("value")
+    weighted = F.sum(F.col("n") * F.col("value")) / F.sum("n")
+    return _valid(counts).groupBy(*GROUP).agg(
+        F.sum("n").alias("size"), F.when(low == high, low).otherwise(weighted).alias("mean")
+    )
 
 
 def positions(counts: DataFrame, points: Sequence | None = None) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,13 +14,17 @@ LAST_WORDS = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"
 WORD_HINTS = {industry: [f"{word}$"] for industry, word in zip(INDUSTRIES, LAST_WORDS)}
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A benchmark table. Views share one frame, so the file footers are read once."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _after_epoch(days: Column, hours: Column) -> Column:
-    start = F.lit("2024-07-01 00:00:00").cast("timestamp")
-    return start + F.make_dt_interval(days.cast("int"), hours.cast("int"))
+_FIRST_START = 1_719_792_000  # 2024-07-01 00:00:00 UTC
+
+
+def _after_first_start(days: Column, hours: Column) -> Column:
+    return F.timestamp_seconds(days * 86_400 + hours * 3_600 + _FIRST_START)
 
 
 def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +37,8 @@ def campaigns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_name").alias("ADS_NAME"),
         F.col("p_brand").alias("ADS_SUMMARY"),
         F.col("p_type").alias("ADS_SAVE_WAY"),
-        _after_epoch(day, hour).alias("ADS_SDATE"),
-        _after_epoch(day + size - 3, hour).alias("ADS_EDATE"),
+        _after_first_start(day, hour).alias("ADS_SDATE"),
+        _after_first_start(day + size - 3, hour).alias("ADS_EDATE"),
         (size % 10).cast("long").alias("ADS_OS_TYPE"),
         rejoin.alias("ADS_REJOIN_TYPE"),
         (size % 7 * 100).cast("long").alias("ADS_CONTRACT_PRICE"),
