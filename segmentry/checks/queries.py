@@ -436,7 +436,7 @@ def round_classifier(number: int) -> K.Classifier:
 
 @query
 def cascade(spark, sf):
-    return K.finalize_mapping(K.cascade(customer_names(spark, sf), [round_classifier(n) for n in (1, 2, 3)], size=100))
+    return K.finalize_mapping(K.cascade(customer_names(spark, sf), [round_classifier(n) for n in (1, 2, 3)], 100, 4))
 
 
 # Sources and sinks
@@ -536,6 +536,25 @@ def float_unload(spark, sf):
     return rounded(readers.read_columns(spark, path, ["KEY", "MDA", *C.FLOAT_COLUMNS]))
 
 
+@query
+def saved_table(spark, sf):
+    """Clean schedules as a catalogue table."""
+    writers.save_table(clean.clean_schedules(V.schedules(spark, sf)), "saved_schedules", fresh_path(spark, "saved"))
+    return spark.table("saved_schedules")
+
+
+@query
+def reset_table(spark, sf):
+    """A dataset that is emptied and written again holds the second writing only."""
+    path = fresh_path(spark, "reset")
+    rows = V.table(spark, sf, "supplier").select("s_suppkey", "s_name")
+    writers.write_parquet(rows.withColumn("s_name", F.lit("old")), path)
+    writers.reset(rows, path)
+    emptied = readers.read_columns(spark, path).agg(F.count(F.lit(1)).alias("n")).first().n
+    writers.write_parquet(rows.withColumn("rows_between", F.lit(emptied)), path)
+    return readers.read_columns(spark, path)
+
+
 @query
 def partitioned_split(spark, sf):
     path = fresh_path(spark, "clusters")
@@ -790,7 +809,7 @@ def model_roundtrip(spark, sf):
     fitted = regress.fit_models(regress.condition_cells(rows), QUICK)
     path = fresh_path(spark, "models")
     fitted.save(path)
-    loaded = regress.Fitted.load(spark, path, list(fitted.models))
+    loaded = regress.Fitted.load(spark, path)
     keys = ["GMM_CLUSTER", *C.CONDITION_COLUMNS]
     again = regress.predict(rows, loaded).toDF(*keys, "cvr", "eff", "ats")
     gap = reduce(F.greatest, [F.abs(F.col(f"Pred_{n}") - F.col(n.lower())) for n in ("CVR", "EFF", "ATS")])

@@ -117,7 +117,7 @@ def unanswered(classified: DataFrame) -> DataFrame:
 def classification_round(
     names: DataFrame, classifier: Classifier, template: str, parse, size: int = 100, concurrency: int = 50
 ) -> DataFrame:
-    batches = build_batches(names, size)
+    batches = cut(build_batches(names, size))
     answers = parse(classify(build_prompts(batches, template), classifier, concurrency))
     return cut(merge_answers(batches, answers))
 
@@ -125,14 +125,17 @@ def classification_round(
 def cascade(
     names: DataFrame, classifiers: Sequence[Classifier], size: int = 100, concurrency: int = 50
 ) -> list[DataFrame]:
-    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only."""
+    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only.
+
+    `names` is read once.
+    """
     settings = [
         (prompt_template(), parse_strict),
         (prompt_template(), parse_lenient),
         (prompt_template(answer_only=True), parse_lenient),
     ]
     rounds: list[DataFrame] = []
-    left = names
+    left = cut(names.select("NAME").distinct())
     for classifier, (template, parse) in zip(classifiers, settings):
         rounds.append(classification_round(left, classifier, template, parse, size, concurrency))
         left = unanswered(rounds[-1])

@@ -86,5 +86,12 @@ def final_table(mapped: DataFrame) -> DataFrame:
 
 
 def newest_first(table: DataFrame) -> DataFrame:
-    """Output order of the analytics tables; use it in front of a sink only."""
-    return table.orderBy(F.desc_nulls_first("DATE"), F.desc_nulls_first("TIME"))
+    """Output order of the analytics tables; use it in front of a sink only.
+
+    The input partition is the last sort key, so rows of one busy hour can be sorted by many tasks.
+    """
+    return (
+        table.withColumn("_part", F.spark_partition_id())
+        .orderBy(F.desc_nulls_first("DATE"), F.desc_nulls_first("TIME"), "_part")
+        .drop("_part")
+    )

@@ -22,7 +22,7 @@ from segmentry.config import CONDITION_COLUMNS, MEASURES, PREDICTION_NAMES
 from segmentry.functions.scalar import holdout
 from segmentry.operators.joins import sized_broadcast
 from segmentry.operators.rank import distinct_conditions
-from segmentry.session import cut, fresh_path
+from segmentry.session import cut
 
 MODEL = ["GMM_CLUSTER", "measure"]
 ROW_KEYS = ["KEY", "MDA", "DATE", "TIME"]
@@ -176,15 +176,22 @@ class Fitted:
     def save(self, path: str) -> None:
         self.means.write.mode("overwrite").parquet(f"{path}/means")
         self.constants.write.mode("overwrite").parquet(f"{path}/constants")
+        index = self.means.sparkSession.createDataFrame(list(self.models), "GMM_CLUSTER int, measure string")
+        index.write.mode("overwrite").parquet(f"{path}/index")
         for (cluster, measure), model in self.models.items():
             model.write().overwrite().save(f"{path}/models/cluster={cluster}/measure={measure}")
 
     @staticmethod
-    def load(spark: SparkSession, path: str, keys: Sequence[tuple[int, str]]) -> Fitted:
+    def load(spark: SparkSession, path: str, clusters: Sequence[int] | None = None) -> Fitted:
+        """All saved models, or those of the listed clusters."""
+        tables = [spark.read.parquet(f"{path}/{name}") for name in ("means", "constants", "index")]
+        if clusters is not None:
+            tables = [t.filter(F.col("GMM_CLUSTER").isin(list(clusters))) for t in tables]
+        keys = [(row.GMM_CLUSTER, row.measure) for row in tables[2].collect()]
         models = {
             (c, m): GBTRegressionModel.load(f"{path}/models/cluster={c}/measure={m}") for c, m in keys
         }
-        return Fitted(spark.read.parquet(f"{path}/means"), spark.read.parquet(f"{path}/constants"), models)
+        return Fitted(tables[0], tables[1], models)
 
 
 def _grow(train: DataFrame, depth: int, rate: float, trees: int, seed: int) -> GBTRegressionModel:
@@ -232,12 +239,9 @@ def fit_models(
 
     The encoded cells are written once, partitioned by model, so each fit reads its own files only.
     """
-    spark = cells.sparkSession
     cells = cut(cells)
     constants, means = cut(constant_models(cells)), cut(target_means(cells, conditions))
-    path = fresh_path(spark, "training")
-    encode(cells, means, conditions).write.partitionBy(*MODEL).parquet(path)
-    training = spark.read.parquet(path)
+    training = cut(encode(cells, means, conditions), MODEL)
     todo = cells.select(*MODEL).distinct().join(constants, MODEL, "left_anti").orderBy(*MODEL).collect()
     todo = [(row.GMM_CLUSTER, row.measure) for row in todo if clusters is None or row.GMM_CLUSTER in clusters]
 
@@ -264,7 +268,7 @@ def predict(
     asked = distinct_conditions(facts, conditions)
     measures = F.explode(F.array(*map(F.lit, names))).alias("measure")
     by_measure = asked.select("*", measures)
-    encoded = cut(encode(by_measure, fitted.means, conditions))
+    encoded = cut(encode(by_measure, fitted.means, conditions), MODEL)
     keys = ["GMM_CLUSTER", *conditions]
     frames = [
         model.setPredictionCol("value").transform(

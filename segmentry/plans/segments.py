@@ -56,9 +56,13 @@ def best_conditions(clustered: DataFrame, search: Search = Search(), n: int = 10
 def run_segments(
     table: DataFrame, search: Search = Search(), strict_effect: bool = True, k: int | None = None, max_iter: int = 100
 ) -> Segments:
-    """The whole chain. The clustered table is checkpointed once, as every later step reads it."""
+    """The whole chain over a stored final table.
+
+    Label and cluster are added on the fly, by arithmetic and a lookup, so no step rewrites the table; each
+    reads the few columns it needs.
+    """
     tests, kept, labelled = test_and_label(table, strict_effect=strict_effect)
     scores, labels = cluster_labels(labelled, k, max_iter=max_iter)
-    clustered = cut(attach_cluster(labelled, labels))
+    clustered = attach_cluster(labelled, labels)
     fitted, best = best_conditions(clustered, search)
     return Segments(tests, kept, scores, labels, clustered, fitted, best)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,7 +43,12 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows are written once to the shared folder and survive lost executors."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
+def cut(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Write the rows once to the shared folder and go on from there.
+
+    Lost executors then cost nothing that was computed before, and later steps read only the columns (and
+    with `partition_by` the folders) they need.
+    """
+    path = fresh_path(df.sparkSession, "cut")
+    df.write.partitionBy(*partition_by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(df.columns)

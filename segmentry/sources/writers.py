@@ -39,9 +39,10 @@ def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
     _one_file(df, single_file).write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
-def save_model_table(df: DataFrame, name: str) -> None:
-    """Materialise a table in the session catalogue, replacing an earlier one and its schema."""
-    df.write.mode("overwrite").option("overwriteSchema", True).saveAsTable(name)
+def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
+    """Materialise a model as a catalogue table, replacing an earlier one; `path` places its files."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
 
 
 def split_by_key(df: DataFrame, path: str, key: str) -> None:
