@@ -85,7 +85,11 @@ def bic(log_likelihood: float, k: int, dims: int, n: int) -> float:
 def bic_sweep(
     features: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 100, parallelism: int = 8
 ) -> DataFrame:
-    """Score per number of clusters. A k with too few labels per cluster, or with a degenerate cluster, has none."""
+    """Score per number of clusters.
+
+    A k has no score if there are too few labels for it, or if a fitted cluster holds fewer labels than its
+    covariance needs: the likelihood of such a cluster grows without limit and says nothing.
+    """
     shape = features.select(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
     n, dims = shape[0], shape[1] or 0
 
@@ -93,7 +97,10 @@ def bic_sweep(
         if n < k * (dims + 1):
             return k, None
         try:
-            return k, float(bic(fit_mixture(features, k, seed, max_iter).summary.logLikelihood, k, dims, n))
+            model = fit_mixture(features, k, seed, max_iter)
+            if min(model.weights) * n < dims + 1:
+                return k, None
+            return k, float(bic(model.summary.logLikelihood, k, dims, n))
         except PySparkException as error:
             if "singular values" in str(error):
                 return k, None

@@ -28,7 +28,8 @@ def local_session(cores: int = 8, shuffle_partitions: int = 8) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach: `spark.checkpoint.dir`, else a temporary one in local mode."""
     context = spark.sparkContext
-    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    setting = "spark.checkpoint.dir"
+    folder = spark.conf.get(setting, None) or context.getConf().get(setting) or context.getCheckpointDir()
     if not folder:
         if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
