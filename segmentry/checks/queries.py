@@ -612,35 +612,49 @@ def kruskal(spark, sf):
 
 @query
 def level_medians(spark, sf):
+    placed = group_tests.positions(group_tests.sized_counts(counted(spark, sf)))
+    return rounded(group_tests.median_distances(placed).select("factor", "measure", "level", "size", "median"))
+
+
+def moments(spark: SparkSession, sf: str) -> DataFrame:
+    return group_tests.group_moments(group_tests.sized_counts(counted(spark, sf)))
+
+
+@query
+def level_moments(spark, sf):
+    """Size, mean and variance of every level."""
     return rounded(
-        group_tests.group_moments(counted(spark, sf)).select("factor", "measure", "level", "size", "mean", "median")
+        moments(spark, sf).select(
+            "factor", "measure", "level", "size", "mean", F.try_divide("ss", F.col("size") - 1).alias("variance")
+        )
     )
 
 
 @query
 def levene(spark, sf):
-    table = group_tests.levene(group_tests.group_moments(counted(spark, sf)))
+    placed = group_tests.positions(group_tests.sized_counts(counted(spark, sf)))
+    table = group_tests.levene(group_tests.median_distances(cut(placed)))
     return rounded(table.select("factor", "measure", "k", "n", "W"), 4)
 
 
 @query
 def welch(spark, sf):
-    table = group_tests.welch(group_tests.group_moments(counted(spark, sf)))
+    table = group_tests.welch(moments(spark, sf))
     return rounded(table.filter("measure <> 'ATS'").select("factor", "measure", "k", "n", "df2", "F"), 4)
 
 
 @query
 def anova(spark, sf):
-    table = group_tests.anova(group_tests.group_moments(counted(spark, sf)))
+    table = group_tests.anova(moments(spark, sf))
     return rounded(table.select("factor", "measure", "k", "n", F.ln("F").alias("log_f"), "np2"))
 
 
 @query
 def effect_sizes(spark, sf):
     counts = counted(spark, sf)
-    moments = group_tests.group_moments(counts)
+    groups = group_tests.group_moments(group_tests.sized_counts(counts))
     table = group_tests.effect_sizes(
-        group_tests.kruskal(counts), group_tests.welch(moments), group_tests.anova(moments)
+        group_tests.kruskal(counts), group_tests.welch(groups), group_tests.anova(groups)
     )
     return rounded(
         table.select(
@@ -653,7 +667,7 @@ def effect_sizes(spark, sf):
 
 @query
 def jarque_bera(spark, sf):
-    table = group_tests.normality(counted(spark, sf), method="jarque_bera")
+    table = group_tests.jarque_bera(moments(spark, sf))
     return table.filter("measure <> 'ATS'").select(
         "factor", "measure", "level", "size", near(F.col("statistic") / F.col("size"), 4).alias("per_row")
     )
@@ -661,7 +675,7 @@ def jarque_bera(spark, sf):
 
 @query
 def normality(spark, sf):
-    return group_tests.normality(counted(spark, sf))
+    return group_tests.shapiro(group_tests.positions(group_tests.sized_counts(counted(spark, sf))))
 
 
 @query

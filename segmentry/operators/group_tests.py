@@ -47,45 +47,49 @@ def _valid(counts: DataFrame) -> DataFrame:
     return counts.filter(F.col("level").isNotNull() & F.col("value").isNotNull())
 
 
-def group_sizes(counts: DataFrame) -> DataFrame:
-    """Size and mean per level. A level of one repeated value has exactly that mean, and so no spread."""
+def sized_counts(counts: DataFrame) -> DataFrame:
+    """Valid value counts with the size and the mean of their level.
+
+    A level of one repeated value has exactly that mean, and so no spread.
+    """
+    valid = _valid(counts)
     low, high = F.min("value"), F.max("value")
     weighted = F.sum(F.col("n") * F.col("value")) / F.sum("n")
-    return _valid(counts).groupBy(*GROUP).agg(
+    levels = valid.groupBy(*GROUP).agg(
         F.sum("n").alias("size"), F.when(low == high, low).otherwise(weighted).alias("mean")
     )
+    return valid.join(sized_broadcast(levels), GROUP)
 
 
-def positions(counts: DataFrame, points: Sequence | None = None) -> DataFrame:
-    """Value counts with the number of smaller values in the same level (`before`), and the level's size and mean."""
-    valid = _valid(counts)
-    placed = running_total(valid, GROUP, "value", "n", split_points(valid, "value") if points is None else points)
-    return placed.join(sized_broadcast(group_sizes(counts)), GROUP)
+def group_moments(sized: DataFrame) -> DataFrame:
+    """Per level: size, mean, and the sums of the second to fourth powers around the mean."""
+    n, away = F.col("n"), F.col("value") - F.col("mean")
+    return sized.groupBy(*GROUP).agg(
+        F.first("size").alias("size"),
+        F.first("mean").alias("mean"),
+        F.sum(n * away * away).alias("ss"),
+        F.sum(n * away * away * away).alias("cubes"),
+        F.sum(n * away * away * away * away).alias("quartics"),
+    )
 
 
-def group_moments(counts: DataFrame, placed: DataFrame | None = None) -> DataFrame:
-    """Per level: size, mean, sums of squares, median, and sums of the distances from the median."""
-    placed = positions(counts) if placed is None else placed
+def positions(sized: DataFrame, points: Sequence | None = None) -> DataFrame:
+    """Sized counts with the number of smaller values in the same level (`before`)."""
+    return running_total(sized, GROUP, "value", "n", split_points(sized, "value") if points is None else points)
+
+
+def median_distances(placed: DataFrame) -> DataFrame:
+    """Per level: size, exact median, and the sums of the distances from it and of their squares."""
     low, high = F.floor((F.col("size") + 1) / 2), F.floor(F.col("size") / 2) + 1
     end, value, n = F.col("before") + F.col("n"), F.col("value"), F.col("n")
-    medians = placed.groupBy(*GROUP).agg(
-        (
-            (
-                F.max(F.when((F.col("before") < low) & (end >= low), value))
-                + F.max(F.when((F.col("before") < high) & (end >= high), value))
-            ) / 2
-        ).alias("median")
-    )
-    known = sized_broadcast(medians.join(group_sizes(counts), GROUP))
-    away = value - F.col("mean")
+    middle = [
+        F.max(F.when((F.col("before") < at) & (end >= at), value)) for at in (low, high)
+    ]
+    medians = placed.groupBy(*GROUP).agg(((middle[0] + middle[1]) / 2).alias("median"))
     distance = F.abs(value - F.col("median"))
-    return _valid(counts).join(known, GROUP).groupBy(*GROUP).agg(
+    return placed.join(sized_broadcast(medians), GROUP).groupBy(*GROUP).agg(
         F.first("size").alias("size"),
-        F.first("mean").alias("mean"),
         F.first("median").alias("median"),
-        F.sum(n * away * away).alias("ss"),
-        F.sum(n * away * away * away).alias("cubes"),
-        F.sum(n * away * away * away * away).alias("quartics"),
         F.sum(n * distance).alias("distance"),
         F.sum(n * distance * distance).alias("distance_ss"),
     )
@@ -122,11 +126,11 @@ def anova(moments: DataFrame) -> DataFrame:
     return table.withColumn("p_value", f_p(F.col("F"), F.col("df1"), F.col("df2")))
 
 
-def levene(moments: DataFrame) -> DataFrame:
+def levene(distances: DataFrame) -> DataFrame:
     """Levene's test around the median: one-way ANOVA of the distances from it."""
     size, total = F.col("size"), F.col("distance")
     ss = F.greatest(F.col("distance_ss") - total * total / size, F.lit(0.0))
-    table = _one_way(moments, total / size, ss).withColumnRenamed("F", "W")
+    table = _one_way(distances, total / size, ss).withColumnRenamed("F", "W")
     return table.withColumn("p_value", f_p(F.col("W"), F.col("df1"), F.col("df2"))).drop("np2")
 
 
@@ -197,36 +201,8 @@ def kruskal(counts: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
     )
 
 
-def normality(
-    counts: DataFrame, alpha: float = 0.05, method: str = "shapiro", placed: DataFrame | None = None,
-    moments: DataFrame | None = None,
-) -> DataFrame:
-    """Normality test per level. Levels under four values cannot be tested and count as not normal.
-
-    `shapiro` follows the published approximation, which was fitted up to 5,000 values and is extrapolated
-    beyond; `jarque_bera` has no such limit.
-    """
-    if method == "jarque_bera":
-        groups = group_moments(counts) if moments is None else moments
-        size, variance = F.col("size"), F.col("ss") / F.col("size")
-        skew = F.try_divide(F.col("cubes") / size, F.pow(variance, 1.5))
-        excess = F.try_divide(F.col("quartics") / size, variance * variance) - 3
-        statistic = size / 6 * (skew * skew + excess * excess / 4)
-        table = groups.select(*GROUP, "size", F.coalesce(statistic, F.lit(0.0)).alias("statistic"))
-        p_value = F.exp(-F.col("statistic") / 2)
-    elif method == "shapiro":
-        placed = positions(counts) if placed is None else placed
-        weight = shapiro_weight(F.col("before"), F.col("n"), F.col("size"))
-        away = F.col("value") - F.col("mean")
-        weighted = placed.select(*GROUP, "n", "size", away.alias("away"), weight.alias("weight"))
-        fit = F.sum(F.col("weight") * F.col("away"))
-        spread = F.sum(F.col("n") * F.col("away") * F.col("away"))
-        # A level of one repeated value fits perfectly.
-        statistic = F.when(spread > 0, F.least(fit * fit / F.nullif(spread, F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
-        table = weighted.groupBy(*GROUP).agg(F.first("size").alias("size"), statistic.alias("statistic"))
-        p_value = shapiro_p_value(F.col("statistic"), F.col("size"))
-    else:
-        raise ValueError(f"unknown normality method: {method}")
+def _verdict(table: DataFrame, p_value: Column, alpha: float) -> DataFrame:
+    """Levels under four values cannot be tested and count as not normal."""
     testable = F.col("size") > 3
     return table.withColumns(
         {
@@ -237,6 +213,32 @@ def normality(
     )
 
 
+def shapiro(placed: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """Shapiro-Wilk test per level.
+
+    It follows the published approximation, which was fitted up to 5,000 values and is extrapolated beyond.
+    """
+    away = F.col("value") - F.col("mean")
+    weight = shapiro_weight(F.col("before"), F.col("n"), F.col("size"))
+    weighted = placed.select(*GROUP, "n", "size", away.alias("away"), weight.alias("weight"))
+    fit = F.sum(F.col("weight") * F.col("away"))
+    spread = F.sum(F.col("n") * F.col("away") * F.col("away"))
+    # A level of one repeated value fits perfectly.
+    statistic = F.when(spread > 0, F.least(fit * fit / F.nullif(spread, F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
+    table = weighted.groupBy(*GROUP).agg(F.first("size").alias("size"), statistic.alias("statistic"))
+    return _verdict(table, shapiro_p_value(F.col("statistic"), F.col("size")), alpha)
+
+
+def jarque_bera(moments: DataFrame, alpha: float = 0.05) -> DataFrame:
+    """Jarque-Bera test per level, for levels of any size."""
+    size, variance = F.col("size"), F.col("ss") / F.col("size")
+    skew = F.try_divide(F.col("cubes") / size, F.pow(variance, 1.5))
+    excess = F.try_divide(F.col("quartics") / size, variance * variance) - 3
+    statistic = size / 6 * (skew * skew + excess * excess / 4)
+    table = moments.select(*GROUP, "size", F.coalesce(statistic, F.lit(0.0)).alias("statistic"))
+    return _verdict(table, F.exp(-F.col("statistic") / 2), alpha)
+
+
 def effect_sizes(kruskal_table: DataFrame, welch_table: DataFrame, anova_table: DataFrame) -> DataFrame:
     """Epsilon, omega and eta squared per test, with the valid rows as n."""
     h, f, d, n = F.col("H"), F.col("wF"), F.col("wdf1"), F.col("n")
@@ -260,21 +262,21 @@ def run_all_tests(
     measures: Sequence[str],
     alpha: float = 0.05,
     count_nulls: bool = False,
-    normality_method: str = "shapiro",
+    normality: str = "shapiro",
 ) -> DataFrame:
     """One result per factor and measure; the test is chosen by normality and equality of variances.
 
     `count_nulls` lets rows with a missing level or value count in the effect sizes, as the original does.
     """
+    if normality not in ("shapiro", "jarque_bera"):
+        raise ValueError(f"unknown normality test: {normality}")
     counts = value_counts(facts, factors, measures)
     points = split_points(_valid(counts), "value")
-    placed = cut(positions(counts, points))
-    moments = cut(group_moments(counts, placed))
-    normal = (
-        normality(counts, alpha, normality_method, placed, moments)
-        .groupBy(*TEST).agg(F.bool_and("normal").alias("is_normal"))
-    )
-    equal = levene(moments).select(*TEST, (F.col("p_value") > 0.05).alias("is_equal"))
+    placed = cut(positions(sized_counts(counts), points))
+    moments = group_moments(placed)
+    by_level = shapiro(placed, alpha) if normality == "shapiro" else jarque_bera(moments, alpha)
+    normal = by_level.groupBy(*TEST).agg(F.bool_and("normal").alias("is_normal"))
+    equal = levene(median_distances(placed)).select(*TEST, (F.col("p_value") > 0.05).alias("is_equal"))
     n_rows = (counts if count_nulls else _valid(counts)).groupBy(*TEST).agg(F.sum("n").alias("rows"))
     ranks = average_ranks(counts, points)
     table = (

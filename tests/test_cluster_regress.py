@@ -110,8 +110,9 @@ def test_split_is_one_in_five_and_repeatable(rows):
     cells = regress.condition_cells(rows).filter("measure = 'CVR'")
     held = cells.filter("is_holdout").agg(F.sum("n")).first()[0]
     assert 120 < held < 240
-    assert cells.exceptAll(regress.condition_cells(rows.repartition(3)).filter("measure = 'CVR'").select(
-        cells.columns)).select("n").agg(F.count("*")).first()[0] <= cells.count()
+    keys = ["GMM_CLUSTER", *CONDITIONS, "is_holdout", "n"]
+    again = regress.condition_cells(rows.repartition(3)).filter("measure = 'CVR'")
+    assert cells.select(keys).exceptAll(again.select(keys)).isEmpty()
 
 
 def test_constant_target_needs_no_model(fitted):

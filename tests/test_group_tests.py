@@ -24,6 +24,14 @@ def counts(spark, samples, extra=()):
     return G.value_counts(facts(spark, samples, extra), ["g"], ["y"])
 
 
+def placed(table):
+    return G.positions(G.sized_counts(table))
+
+
+def moments_of(table):
+    return G.group_moments(G.sized_counts(table))
+
+
 def median(values):
     s, n = sorted(values), len(values)
     return (s[(n - 1) // 2] + s[n // 2]) / 2
@@ -61,12 +69,12 @@ def plain_welch(samples):
 
 def test_the_four_statistics(spark):
     table = counts(spark, SAMPLES)
-    moments = G.group_moments(table)
+    moments = moments_of(table)
     f, np2 = plain_anova(SAMPLES)
     row = G.anova(moments).first()
     assert (row.F, row.np2) == (pytest.approx(f), pytest.approx(np2))
     away = {g: [abs(v - median(vs)) for v in vs] for g, vs in SAMPLES.items()}
-    assert G.levene(moments).first().W == pytest.approx(plain_anova(away)[0])
+    assert G.levene(G.median_distances(placed(table))).first().W == pytest.approx(plain_anova(away)[0])
     f, df2 = plain_welch(SAMPLES)
     row = G.welch(moments).first()
     assert (row.F, row.df2) == (pytest.approx(f), pytest.approx(df2))
@@ -81,11 +89,11 @@ def test_random_samples_with_many_ties(spark, seed):
     samples = {g: [float(rng.randint(0, 6 + i)) for _ in range(rng.randint(5, 60))] for i, g in enumerate("abcd")}
     samples["a"] += [3.0] * 200  # a third of all rows is one value of one level
     table = counts(spark, samples)
-    moments = G.group_moments(table)
+    moments = moments_of(table)
     assert G.kruskal(table).first().H == pytest.approx(plain_kruskal(samples))
     assert G.anova(moments).first().F == pytest.approx(plain_anova(samples)[0])
     assert G.welch(moments).first().F == pytest.approx(plain_welch(samples)[0])
-    assert {r.level: r.median for r in moments.collect()} == {g: median(vs) for g, vs in samples.items()}
+    assert {r.level: r.median for r in G.median_distances(placed(table)).collect()} == {g: median(vs) for g, vs in samples.items()}
 
 
 def test_results_do_not_depend_on_row_order(spark):
@@ -98,7 +106,7 @@ def test_results_do_not_depend_on_row_order(spark):
 
 def test_known_shapiro_wilk_value(spark):
     sample = [148, 154, 158, 160, 161, 162, 166, 170, 182, 195, 236]
-    row = G.normality(counts(spark, {"x": sample, "y": [1, 2, 3]})).orderBy("level").collect()
+    row = G.shapiro(placed(counts(spark, {"x": sample, "y": [1, 2, 3]}))).orderBy("level").collect()
     assert (row[0].statistic, row[0].p_value) == (pytest.approx(0.78881, abs=1e-5), pytest.approx(0.006704, abs=1e-6))
     assert not row[0].normal
     assert row[1].statistic is None and row[1].normal is False  # too few values to test
@@ -127,8 +135,8 @@ def test_normal_samples_are_mostly_accepted():
 
 def test_constant_level_is_normal_and_has_no_welch_test(spark):
     table = counts(spark, {"a": [0.1] * 7, "b": [1.0, 2.0, 3.0, 4.0]})
-    moments = G.group_moments(table)
-    normal = {r.level: (r.statistic, r.normal) for r in G.normality(table).collect()}
+    moments = moments_of(table)
+    normal = {r.level: (r.statistic, r.normal) for r in G.shapiro(placed(table)).collect()}
     assert normal["a"] == (1.0, True)
     assert G.welch(moments).first().F is None
     assert {r.level: r.ss for r in moments.collect()}["a"] == 0
@@ -163,7 +171,7 @@ def test_effect_size_counts_missing_rows_on_request(spark):
 
 def test_jarque_bera(spark):
     values = [1.0, 2.0, 2.0, 3.0, 9.0, 4.0]
-    row = G.normality(counts(spark, {"a": values}), method="jarque_bera").first()
+    row = G.jarque_bera(moments_of(counts(spark, {"a": values}))).first()
     n, m = len(values), sum(values) / 6
     m2, m3, m4 = (sum((v - m) ** p for v in values) / n for p in (2, 3, 4))
     expected = n / 6 * (m3**2 / m2**3 + (m4 / m2**2 - 3) ** 2 / 4)
@@ -173,4 +181,4 @@ def test_jarque_bera(spark):
 def test_single_level_gives_no_result(spark):
     table = counts(spark, {"a": [1.0, 2.0, 3.0, 4.0]})
     assert G.kruskal(table).first().H is None
-    assert G.anova(G.group_moments(table)).first().F is None
+    assert G.anova(moments_of(table)).first().F is None
