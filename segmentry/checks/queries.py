@@ -683,9 +683,16 @@ def all_tests(spark, sf):
     return group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES)
 
 
+@query
+def test_decisions(spark, sf):
+    """Results of all tests without the p-values, which SQL cannot compute."""
+    return rounded(group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES).drop("p_value"))
+
+
 @query
 def factor_selection(spark, sf):
-    return labels.factor_decisions(group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES))
+    table = labels.factor_decisions(group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES))
+    return clean.cast_columns(table, ["all_rejected", "all_impactful", "kept"], "int")
 
 
 # Labels

@@ -14,7 +14,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _SAMPLE_PER_PIECE = 32
-_MAX_PIECES = 256
+_MAX_PIECES = 1024
 
 
 def split_points(df: DataFrame, column: str, pieces: int | None = None) -> list:
@@ -31,16 +31,20 @@ def split_points(df: DataFrame, column: str, pieces: int | None = None) -> list:
     return sorted({ordered[int(i * step)] for i in range(1, pieces)}) if ordered else []
 
 
-def piece_of(value: Column, points: Sequence) -> Column:
-    """Number of split points that are not above the value, by binary search."""
-
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value < F.lit(points[middle]), search(low, middle)).otherwise(search(middle + 1, high))
-
-    return search(0, len(points))
+def with_piece(df: DataFrame, column: str, points: Sequence, out: str) -> DataFrame:
+    """Add the number of split points that are not above the value: binary search, one projection per halving."""
+    value = F.col(f"`{column}`")
+    df = df.withColumn(out, F.lit(0))
+    if not points:
+        return df
+    table = F.array(*map(F.lit, points))
+    step = 1 << (len(points).bit_length() - 1)
+    while step:
+        # Past the end of the points the comparison is NULL and the position stays.
+        reached = F.get(table, F.col(out) + (step - 1)) <= value
+        df = df.withColumn(out, F.when(reached, F.col(out) + step).otherwise(F.col(out)))
+        step //= 2
+    return df
 
 
 def running_total(
@@ -52,7 +56,7 @@ def running_total(
     """
     if points is None:
         points = split_points(df, order)
-    pieces = df.withColumn("_piece", piece_of(F.col(f"`{order}`"), points))
+    pieces = with_piece(df, order, points, "_piece")
     by_piece = W.partitionBy(*keys).orderBy("_piece").rowsBetween(W.unboundedPreceding, -1)
     starts = (
         pieces.groupBy(*keys, "_piece").agg(F.sum(weight).alias("_total"))

@@ -229,27 +229,37 @@ def _fit_one(rows: DataFrame, cluster: int, measure: str, search: Search):
         held.unpersist()
 
 
-def fit_models(
-    cells: DataFrame,
-    search: Search = Search(),
-    conditions: Sequence[str] = CONDITION_COLUMNS,
-    clusters: Sequence[int] | None = None,
-) -> Fitted:
-    """Fit every cluster and measure of the cells (or of the listed clusters).
+@dataclass(frozen=True)
+class Training:
+    """Encoded cells in one folder per model, with the category means and the constant models."""
 
-    The encoded cells are written once, partitioned by model, so each fit reads its own files only.
-    """
+    rows: DataFrame
+    means: DataFrame
+    constants: DataFrame
+    todo: tuple[tuple[int, str], ...]
+
+
+def prepare_training(cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS) -> Training:
+    """Write the encoded cells once, so that each fit reads its own files only."""
     cells = cut(cells)
     constants, means = cut(constant_models(cells)), cut(target_means(cells, conditions))
-    training = cut(encode(cells, means, conditions), MODEL)
-    todo = cells.select(*MODEL).distinct().join(constants, MODEL, "left_anti").orderBy(*MODEL).collect()
-    todo = [(row.GMM_CLUSTER, row.measure) for row in todo if clusters is None or row.GMM_CLUSTER in clusters]
+    rows = cut(encode(cells, means, conditions), MODEL)
+    # One row per cluster and measure.
+    todo = means.filter(F.col("column").isNull()).select(*MODEL).join(constants, MODEL, "left_anti").orderBy(*MODEL)
+    return Training(rows, means, constants, tuple((r.GMM_CLUSTER, r.measure) for r in todo.collect()))
+
+
+def fit_training(
+    training: Training, search: Search = Search(), clusters: Sequence[int] | None = None
+) -> Fitted:
+    """Fit every cluster and measure (or those of the listed clusters), several side by side."""
 
     def fit(key: tuple[int, str]):
-        rows = training.filter((F.col("GMM_CLUSTER") == key[0]) & (F.col("measure") == key[1]))
+        rows = training.rows.filter((F.col("GMM_CLUSTER") == key[0]) & (F.col("measure") == key[1]))
         return key, *_fit_one(rows, *key, search)
 
-    fitted = Fitted(means, constants)
+    fitted = Fitted(training.means, training.constants)
+    todo = [key for key in training.todo if clusters is None or key[0] in clusters]
     with ThreadPool(search.parallelism) as pool:
         for key, model, trials, curves in pool.imap(fit, todo):
             fitted.models[key] = model
@@ -258,6 +268,15 @@ def fit_models(
     return fitted
 
 
+def fit_models(
+    cells: DataFrame,
+    search: Search = Search(),
+    conditions: Sequence[str] = CONDITION_COLUMNS,
+    clusters: Sequence[int] | None = None,
+) -> Fitted:
+    return fit_training(prepare_training(cells, conditions), search, clusters)
+
+
 def predict(
     facts: DataFrame,
     fitted: Fitted,

@@ -24,10 +24,17 @@ def test_split_points_do_not_depend_on_partitions(spark):
     df = spark.range(10_000).select((F.col("id") % 5000).alias("v"))
     points = ordering.split_points(df, "v", 16)
     assert points == ordering.split_points(df.repartition(13), "v", 16)
-    sizes = df.distinct().groupBy(ordering.piece_of(F.col("v"), points).alias("p")).count().collect()
+    sizes = ordering.with_piece(df.distinct(), "v", points, "p").groupBy("p").count().collect()
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 5000 / 16 * 2.5
 
 
+@pytest.mark.parametrize("n_points", [0, 1, 2, 3, 7, 8, 9, 100])
+def test_piece_is_the_number_of_points_not_above(spark, n_points):
+    points = [i * 3 for i in range(n_points)]
+    got = ordering.with_piece(spark.range(-2, 320), "id", points, "p").collect()
+    assert all(r.p == sum(1 for x in points if x <= r.id) for r in got)
+
+
 def test_split_points_of_nothing(spark):
     empty = spark.createDataFrame([], "NAME string")
     assert ordering.split_points(empty, "NAME", 4) == []
