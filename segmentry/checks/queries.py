@@ -633,7 +633,7 @@ def level_moments(spark, sf):
 @query
 def levene(spark, sf):
     placed = group_tests.positions(group_tests.sized_counts(counted(spark, sf)))
-    table = group_tests.levene(group_tests.median_distances(cut(placed)))
+    table = group_tests.levene(group_tests.median_distances(placed))
     return rounded(table.select("factor", "measure", "k", "n", "W"), 4)
 
 
@@ -788,7 +788,7 @@ def constant_fallback(spark, sf):
 @query
 def target_means(spark, sf):
     cells = regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout())
-    return rounded(regress.target_means(cells))
+    return rounded(regress.target_means(cut(cells)))
 
 
 @query

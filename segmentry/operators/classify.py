@@ -39,9 +39,9 @@ def prompt_template(
     )
 
 
-def build_batches(names: DataFrame, size: int = 100, points: Sequence | None = None) -> DataFrame:
+def build_batches(names: DataFrame, size: int = 100) -> DataFrame:
     """Distinct names with dense ids and a batch number."""
-    return batch_numbers(dense_ids(names, "NAME", "ADS_IDX", points), "ADS_IDX", size)
+    return batch_numbers(dense_ids(names, "NAME", "ADS_IDX"), "ADS_IDX", size)
 
 
 def build_prompts(batches: DataFrame, template: str) -> DataFrame:
@@ -125,17 +125,14 @@ def classification_round(
 def cascade(
     names: DataFrame, classifiers: Sequence[Classifier], size: int = 100, concurrency: int = 50
 ) -> list[DataFrame]:
-    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only.
-
-    `names` is read once.
-    """
+    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only."""
     settings = [
         (prompt_template(), parse_strict),
         (prompt_template(), parse_lenient),
         (prompt_template(answer_only=True), parse_lenient),
     ]
     rounds: list[DataFrame] = []
-    left = cut(names.select("NAME").distinct())
+    left = names
     for classifier, (template, parse) in zip(classifiers, settings):
         rounds.append(classification_round(left, classifier, template, parse, size, concurrency))
         left = unanswered(rounds[-1])

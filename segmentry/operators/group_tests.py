@@ -74,8 +74,9 @@ def group_moments(sized: DataFrame) -> DataFrame:
 
 
 def positions(sized: DataFrame, points: Sequence | None = None) -> DataFrame:
-    """Sized counts with the number of smaller values in the same level (`before`)."""
-    return running_total(sized, GROUP, "value", "n", split_points(sized, "value") if points is None else points)
+    """Sized counts with the number of smaller values in the same level (`before`), stored for reuse."""
+    points = split_points(sized, "value") if points is None else points
+    return cut(running_total(sized, GROUP, "value", "n", points))
 
 
 def median_distances(placed: DataFrame) -> DataFrame:
@@ -272,7 +273,7 @@ def run_all_tests(
         raise ValueError(f"unknown normality test: {normality}")
     counts = value_counts(facts, factors, measures)
     points = split_points(_valid(counts), "value")
-    placed = cut(positions(sized_counts(counts), points))
+    placed = positions(sized_counts(counts), points)
     moments = group_moments(placed)
     by_level = shapiro(placed, alpha) if normality == "shapiro" else jarque_bera(moments, alpha)
     normal = by_level.groupBy(*TEST).agg(F.bool_and("normal").alias("is_normal"))

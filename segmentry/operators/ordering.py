@@ -13,19 +13,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from segmentry.session import cut
+
 _SAMPLE_PER_PIECE = 32
 _MAX_PIECES = 1024
 
 
-def split_points(df: DataFrame, column: str, pieces: int | None = None) -> list:
+def split_points(df: DataFrame, column: str, pieces: int | None = None, is_distinct: bool = False) -> list:
     """At most `pieces - 1` values that cut the distinct values into pieces of similar size."""
     if pieces is None:
         pieces = min(_MAX_PIECES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     value = F.col(f"`{column}`")
-    sample = (
-        df.select(value.alias("v")).dropna().distinct()
-        .orderBy(F.xxhash64("v"), "v").limit(pieces * _SAMPLE_PER_PIECE)
-    )
+    values = df.select(value.alias("v")).dropna()
+    values = values if is_distinct else values.distinct()
+    sample = values.orderBy(F.xxhash64("v"), "v").limit(pieces * _SAMPLE_PER_PIECE)
     ordered = [row.v for row in sample.orderBy("v").collect()]  # bounded by the limit above
     step = len(ordered) / pieces
     return sorted({ordered[int(i * step)] for i in range(1, pieces)}) if ordered else []
@@ -77,10 +78,11 @@ def running_total(
     )
 
 
-def dense_ids(df: DataFrame, column: str, out: str, points: Sequence | None = None) -> DataFrame:
-    """Distinct non-NULL values of a column with ids 1..n in value order."""
-    names = df.select(column).dropna().distinct().withColumn("_one", F.lit(1).cast("long"))
-    ranked = running_total(names, [], column, "_one", points)
+def dense_ids(df: DataFrame, column: str, out: str) -> DataFrame:
+    """Distinct non-NULL values of a column with ids 1..n in value order. The table is read once."""
+    names = cut(df.select(column).dropna().distinct())
+    points = split_points(names, column, is_distinct=True)
+    ranked = running_total(names.withColumn("_one", F.lit(1).cast("long")), [], column, "_one", points)
     return ranked.select(column, (F.col("before") + 1).alias(out))
 
 

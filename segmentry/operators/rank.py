@@ -11,6 +11,7 @@ from segmentry.config import CONDITION_COLUMNS, GOAL_LABELS, GOALS
 from segmentry.functions.scalar import weighted_score
 from segmentry.operators.joins import sized_broadcast
 from segmentry.operators.ordering import top_per_group
+from segmentry.session import cut
 
 
 def distinct_conditions(
@@ -27,9 +28,11 @@ def scale_0_100(
 ) -> DataFrame:
     """Min-max scale per cluster to 0..100; a constant column gives 0.
 
-    The bounds come from a partial aggregate and one small row per cluster, not from a window that would
-    bring a whole cluster to one task.
+    The predictions are stored first, as they are read for the bounds and for the scaling. The bounds come
+    from a partial aggregate and one small row per cluster, not from a window that would bring a whole cluster
+    to one task.
     """
+    predictions = cut(predictions)
     bounds = predictions.groupBy(cluster).agg(
         *[F.min(f"Pred_{n}").alias(f"_low_{n}") for n in names],
         *[F.max(f"Pred_{n}").alias(f"_high_{n}") for n in names],

@@ -101,15 +101,14 @@ def target_means(
 
 def encode(rows: DataFrame, means: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS) -> DataFrame:
     """Add the feature vector of target means to rows that have cluster, measure and the condition columns."""
+    means = sized_broadcast(means)  # the hint holds for the parts of the table below
     prior = means.filter(F.col("column").isNull()).select(*MODEL, F.col("encoded").alias("_prior"))
-    table = rows.join(sized_broadcast(prior), MODEL)
+    table = rows.join(prior, MODEL)
     for c in conditions:
         known = means.filter(F.col("column") == c).select(
             *MODEL, F.col("category").alias(c), F.col("encoded").alias(f"_{c}")
         )
-        table = table.join(sized_broadcast(known), [*MODEL, c], "left").withColumn(
-            f"_{c}", F.coalesce(f"_{c}", "_prior")
-        )
+        table = table.join(known, [*MODEL, c], "left").withColumn(f"_{c}", F.coalesce(f"_{c}", "_prior"))
     assembled = VectorAssembler(inputCols=[f"_{c}" for c in conditions], outputCol="features").transform(table)
     return assembled.select(*rows.columns, "features")
 
