@@ -33,7 +33,8 @@ def query(fn: Query) -> Query:
 
 def dates_as_text(df: DataFrame) -> DataFrame:
     """Dates and times as text, so that engines compare them alike."""
-    moments = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DateType, T.TimestampType))]
+    kinds = (T.DateType, T.TimestampType, T.TimestampNTZType)
+    moments = [f.name for f in df.schema.fields if isinstance(f.dataType, kinds)]
     return clean.cast_columns(df, moments, "string") if moments else df
 
 
@@ -113,7 +114,7 @@ def quarter_bucket(spark, sf):
 @query
 def daypart_bucket(spark, sf):
     moment = F.col("RPT_TIME_TIME")
-    return V.reports(spark, sf).groupBy(F.hour(moment).alias("hour"), scalar.daypart(moment).alias("DAYPART")).agg(
+    return V.reports(spark, sf).groupBy(F.hour(moment).cast("long").alias("hour"), scalar.daypart(moment).alias("DAYPART")).agg(
         F.count(F.lit(1)).alias("n")
     )
 
@@ -551,7 +552,7 @@ def reset_table(spark, sf):
     writers.write_parquet(rows.withColumn("s_name", F.lit("old")), path)
     writers.reset(rows, path)
     emptied = readers.read_columns(spark, path).agg(F.count(F.lit(1)).alias("n")).first().n
-    writers.write_parquet(rows.withColumn("rows_between", F.lit(emptied)), path)
+    writers.write_parquet(rows.withColumn("rows_between", F.lit(emptied).cast("long")), path)
     return readers.read_columns(spark, path)
 
 

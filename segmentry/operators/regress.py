@@ -123,7 +123,6 @@ class Search:
     depth: tuple[int, int] = (4, 8)
     rate: tuple[float, float] = (0.005, 0.05)
     gap_weight: float = 0.7
-    degenerate_score: float = 100.0
     seed: int = 42
     parallelism: int = 4
 

@@ -65,7 +65,8 @@ def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
     order = F.col("l_orderkey")
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_shipdate").cast("date").alias("RPT_TIME_DATE"),
-        (F.col("l_shipdate") + F.make_dt_interval(F.lit(0), (order % 24).cast("int"))).alias("RPT_TIME_TIME"),
+        (F.col("l_shipdate").cast("timestamp") + F.make_dt_interval(F.lit(0), (order % 24).cast("int")))
+        .alias("RPT_TIME_TIME"),
         F.col("l_partkey").alias("ADS_IDX"),
         F.col("l_suppkey").alias("MDA_IDX"),
         F.col("l_quantity").cast("long").alias("RPT_TIME_CLK"),
