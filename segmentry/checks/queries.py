@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -761,8 +762,12 @@ def projection_2d(spark, sf):
 
 @query
 def attach_cluster(spark, sf):
-    """Rows keep their number; every label gets one cluster."""
-    return cluster.attach_cluster(labelled(spark, sf), clustered_labels(spark, sf)).groupBy("GMM_CLUSTER").agg(
+    """Rows keep their number. Labels without an attainment have no cluster; a fixed rule stands in for the fit."""
+    rows = labelled(spark, sf)
+    lookup = cut(cluster.label_means(rows).dropna(subset=["avg_ATS"])).select(
+        "MASTER_LABEL", (F.col("MASTER_LABEL") % 3).cast("int").alias("GMM_CLUSTER")
+    )
+    return cluster.attach_cluster(rows, lookup).groupBy("GMM_CLUSTER").agg(
         F.count(F.lit(1)).alias("n"), F.countDistinct("MASTER_LABEL").alias("n_labels")
     )
 
@@ -792,6 +797,18 @@ def target_means(spark, sf):
     return rounded(regress.target_means(cut(cells)))
 
 
+@query
+def encoded_conditions(spark, sf):
+    """Training means of the three categories as features; categories of held-out rows may be unseen."""
+    cells = cut(regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout()))
+    encoded = regress.encode(cells, cut(regress.target_means(cells)))
+    features = vector_to_array("features")
+    return encoded.select(
+        "GMM_CLUSTER", "measure", *C.CONDITION_COLUMNS, F.col("is_holdout").cast("int").alias("is_holdout"), "n",
+        *[near(features[i]).alias(f"f_{c}") for i, c in enumerate(C.CONDITION_COLUMNS)],
+    )
+
+
 @query
 def stable_split_sizes(spark, sf):
     return by_quarter(spark, sf).groupBy("GMM_CLUSTER", integer_holdout().cast("int").alias("is_holdout")).agg(
