@@ -132,9 +132,8 @@ class Search:
         return [(rng.randint(*self.depth), math.exp(rng.uniform(low, high))) for _ in range(self.trials)]
 
 
-def rmse_curve(model: GBTRegressionModel, cells: DataFrame) -> list[float]:
-    """RMSE after each tree over all rows behind the weighted cells, their spread inside the cells included."""
-    inside = cells.agg((F.sum("ss") / F.sum("n")).alias("mse")).first().mse
+def rmse_curve(model: GBTRegressionModel, cells: DataFrame, inside: float) -> list[float]:
+    """RMSE after each tree over all rows behind the weighted cells; `inside` is their mean squared spread in the cells."""
     return [math.sqrt(loss + inside) for loss in model.evaluateEachIteration(cells, "squared")]
 
 
@@ -198,15 +197,14 @@ def _grow(train: DataFrame, depth: int, rate: float, trees: int, seed: int) -> G
     ).fit(train)
 
 
-def _fit_one(rows: DataFrame, cluster: int, measure: str, search: Search):
+def _fit_one(rows: DataFrame, cluster: int, measure: str, inside: Mapping[bool, float], search: Search):
     train, held = rows.filter(~F.col("is_holdout")).persist(), rows.filter(F.col("is_holdout")).persist()
     try:
-        has_holdout = not held.isEmpty()
         trials, best = [], None
         for number, (depth, rate) in enumerate(search.candidates(cluster, measure)):
             model = _grow(train, depth, rate, search.max_iter, search.seed)
-            train_curve = rmse_curve(model, train)
-            val_curve = rmse_curve(model, held) if has_holdout else train_curve
+            train_curve = rmse_curve(model, train, inside[False])
+            val_curve = rmse_curve(model, held, inside[True]) if True in inside else train_curve
             trees, grown = stop_early(val_curve, search.patience)
             gap = abs(val_curve[trees - 1] - min(train_curve[:grown]))
             score = val_curve[trees - 1] + search.gap_weight * gap
@@ -229,12 +227,15 @@ def _fit_one(rows: DataFrame, cluster: int, measure: str, search: Search):
 
 @dataclass(frozen=True)
 class Training:
-    """Encoded cells in one folder per model, with the category means and the constant models."""
+    """Encoded cells in one folder per model, with the category means and the constant models.
+
+    `inside` lists the models to fit, with the mean squared spread inside the cells per split.
+    """
 
     rows: DataFrame
     means: DataFrame
     constants: DataFrame
-    todo: tuple[tuple[int, str], ...]
+    inside: Mapping[tuple[int, str], Mapping[bool, float]]
 
 
 def prepare_training(cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS) -> Training:
@@ -242,9 +243,12 @@ def prepare_training(cells: DataFrame, conditions: Sequence[str] = CONDITION_COL
     cells = cut(cells)
     constants, means = cut(constant_models(cells)), cut(target_means(cells, conditions))
     rows = cut(encode(cells, means, conditions), MODEL)
-    # One row per cluster and measure.
-    todo = means.filter(F.col("column").isNull()).select(*MODEL).join(constants, MODEL, "left_anti").orderBy(*MODEL)
-    return Training(rows, means, constants, tuple((r.GMM_CLUSTER, r.measure) for r in todo.collect()))
+    spread = cells.groupBy(*MODEL, "is_holdout").agg((F.sum("ss") / F.sum("n")).alias("mse"))
+    inside: dict[tuple[int, str], dict[bool, float]] = {}
+    # One row per cluster, measure and split.
+    for row in spread.join(constants, MODEL, "left_anti").orderBy(*MODEL).collect():
+        inside.setdefault((row.GMM_CLUSTER, row.measure), {})[row.is_holdout] = row.mse
+    return Training(rows, means, constants, inside)
 
 
 def fit_training(
@@ -254,10 +258,10 @@ def fit_training(
 
     def fit(key: tuple[int, str]):
         rows = training.rows.filter((F.col("GMM_CLUSTER") == key[0]) & (F.col("measure") == key[1]))
-        return key, *_fit_one(rows, *key, search)
+        return key, *_fit_one(rows, *key, training.inside[key], search)
 
     fitted = Fitted(training.means, training.constants)
-    todo = [key for key in training.todo if clusters is None or key[0] in clusters]
+    todo = [key for key in training.inside if clusters is None or key[0] in clusters]
     with ThreadPool(search.parallelism) as pool:
         for key, model, trials, curves in pool.imap(fit, todo):
             fitted.models[key] = model
