@@ -71,7 +71,7 @@ def test_text_helpers(spark):
     assert column(spark, [" \t a b \n"], "string", text.strip) == ["a b"]
     assert column(spark, ["a|b||", "", "x"], "string", text.separators) == [3, 0, 0]
     assert column(spark, ["12", "", "1a", "-1"], "string", text.all_digits) == [True, False, False, False]
-    assert column(spark, ["/x/y.d/ive.tar.CSV", "/x/plain"], "string", text.extension) == [".csv", ""]
+    assert column(spark, ["/x/y.d/a.tar.CSV", "/x/plain"], "string", text.extension) == [".csv", ""]
     assert column(spark, ["/x/y.d/a_b.csv", "/x/plain"], "string", text.base_name) == ["a_b", "plain"]
 
 
