@@ -10,29 +10,52 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import bpe, decontam, langid, simhash
+from segmentry.llm import bpe, decontam, langid, repeats, simhash, suffixdedup
 from segmentry.llm.queries import table, vocabulary_path
 from segmentry.session import fresh_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of the given ids. Rows without an id have numbers here (`with_ids`) and lose them again."""
+    return repeats.without_ids(docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")).select(docs.columns)
+
+
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; a text without letters goes."""
-    found = langid.identify(docs, langid.learn(docs)).filter(langid.is_known(F.col("lang_pred")))
-    return docs.join(found.select("doc_id").distinct(), "doc_id", "left_semi")
+    docs = repeats.with_ids(docs)
+    return _kept(docs, langid.identify(docs, langid.learn(docs)).filter(langid.is_known(F.col("lang_pred"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
+    """The document with the smallest id of each group of near-duplicates, once."""
+    docs = repeats.with_ids(docs)
     found = simhash.near_duplicates(docs, size=3, max_bits=2)
-    return docs.join(found.filter("doc_id = component_id").select("doc_id"), "doc_id", "left_semi")
+    return _kept(docs.dropDuplicates(["doc_id"]), found.filter("doc_id = component_id"))
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 100 bytes that start earlier; parts of letters at the cuts go, empty texts stay."""
+    docs = repeats.with_ids(docs)
+    kept = suffixdedup.deduplicate(docs, length=100).filter(F.size("spans") > 0)
+    kept = kept.select("doc_id", F.col("kept").cast("string").alias("_kept")).dropDuplicates(["doc_id"])
+    whole_letters = F.coalesce(
+        F.try_validate_utf8("_kept"), F.regexp_replace(F.make_valid_utf8("_kept"), "\ufffd", "")
+    )
+    joined = docs.join(kept, "doc_id", "left")
+    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(whole_letters)
+    changed = joined.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return repeats.without_ids(changed).select(docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of a benchmark item."""
+    docs = repeats.with_ids(docs)
     found = decontam.find_items(docs, table(spark, sf_dir, "benchmark"), window=10)
-    return docs.join(found.filter(F.size("spans") == 0).select("doc_id"), "doc_id", "left_semi")
+    return _kept(docs, found.filter(F.size("spans") == 0))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -43,6 +66,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES: list[tuple[str, Stage]] = [
     ("language", language),
     ("near_duplicates", near_duplicates),
+    ("repeated_strings", repeated_strings),
     ("decontaminate", decontaminate),
     ("tokenize", tokenize),
 ]

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import bpe, decontam, langid, simhash
+from segmentry.llm import bpe, decontam, langid, phrasededup, simhash, suffixdedup
 from segmentry.llm.common import fold
 
 
@@ -25,6 +25,17 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), size=3, max_bits=2)
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixdedup.deduplicate(table(spark, sf_dir, "documents"), length=100)
+    return found.select(
+        "doc_id",
+        "n_bytes",
+        suffixdedup.n_removed(F.col("spans")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path()))
 
@@ -42,6 +53,16 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrasededup.deduplicate(table(spark, sf_dir, "documents"), window=35)
+    return found.select(
+        "doc_id",
+        "n_words",
+        phrasededup.n_removed(F.col("spans")).alias("n_removed"),
+        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"),
+    )
+
+
 def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     is_held_out = fold(F.col("doc_id"), 5) == 0
@@ -52,8 +73,10 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op4_bpe": op4_bpe,
     "op6_decontaminate": op6_decontaminate,
+    "op9_phrase_dedup": op9_phrase_dedup,
     "op10_language": op10_language,
 }
 
