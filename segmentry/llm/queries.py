@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import bpe, decontam, langid, phrasededup, simhash, suffixdedup
+from segmentry.llm import bpe, decontam, langid, ordermin, phrasededup, simhash, suffixdedup, warc
 from segmentry.llm.common import fold
+from segmentry.session import cut
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +41,14 @@ def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path()))
 
 
+def op5_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = ordermin.edited_fingerprints(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "fingerprint",
+        "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     n_hit = decontam.hit_words(F.col("spans"))
@@ -53,6 +62,19 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = cut(warc.bundles(warc.typed_pages(table(spark, sf_dir, "pages"))))
+    read = warc.read_bundles(written)
+    is_response = F.col("record_type") == "response"
+    return read.select(
+        "page_id",
+        F.when(is_response, F.length("payload")).otherwise(F.col("payload_bytes")).cast("long").alias("payload_bytes"),
+        F.when(is_response, F.sha2("payload", 256)).otherwise(F.col("payload_digest")).alias("payload_digest"),
+        "record_type",
+        "refers_to",
+    )
+
+
 def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrasededup.deduplicate(table(spark, sf_dir, "documents"), window=35)
     return found.select(
@@ -75,9 +97,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op4_bpe": op4_bpe,
+    "op5_order_minhash": op5_order_minhash,
     "op6_decontaminate": op6_decontaminate,
+    "op7_warc": op7_warc,
     "op9_phrase_dedup": op9_phrase_dedup,
     "op10_language": op10_language,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc": """
+        WITH p AS (
+            SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+            FROM pages
+        ), f AS (
+            SELECT payload_digest, min(page_id) AS first FROM p WHERE payload_bytes >= 100 GROUP BY payload_digest
+        )
+        SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, p.payload_digest,
+               CASE WHEN first IS NULL OR first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f ON p.payload_digest = f.payload_digest
+    """,
+}
