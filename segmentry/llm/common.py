@@ -6,6 +6,7 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +46,12 @@ def map_texts(df: DataFrame, schema: str, start: Callable[[], Worker], finish: b
     return df.mapInArrow(run, schema)
 
 
+def send(df: DataFrame, value: object) -> Callable[[], object]:
+    """Broadcast a value of bounded size with its class, so that executors need no copy of this package."""
+    shared = df.sparkSession.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: cloudpickle.loads(shared.value)
+
+
 def as_bytes(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """A text column as UTF-8 bytes; NULL is empty."""
     values = batch.column(name)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.llm.common import as_bytes, column, map_texts, picked
+from segmentry.llm.common import as_bytes, column, map_texts, picked, send
 
 #: Text of the benchmark items that is broadcast at a time.
 BLOCK_BYTES = 8 << 20
@@ -156,15 +156,16 @@ def _blocks(items: DataFrame, id_column: str, text_column: str, window: int, blo
 
 
 def _count(texts: DataFrame, block: Block) -> np.ndarray:
-    shared = texts.sparkSession.sparkContext.broadcast(block)
+    shared = send(texts, block)
 
     def start():
-        total = np.zeros(len(shared.value.shingles), np.int64)
+        block = shared()
+        total = np.zeros(len(block.shingles), np.int64)
 
         def work(batch):
             nonlocal total
             if batch is not None:
-                total += shared.value.count(as_bytes(batch))
+                total += block.count(as_bytes(batch))
                 return
             at = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["shingle", "n"])
@@ -215,10 +216,10 @@ def find_items(
 
 def _mark(marked: DataFrame, block: Block) -> DataFrame:
     """Add the spans (start and end packed in a long) and items of one block."""
-    shared = marked.sparkSession.sparkContext.broadcast(block)
+    shared = send(marked, block)
 
     def start():
-        block = shared.value
+        block = shared()
 
         def work(batch):
             marks, items, sizes = [], [], []

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.llm.common import as_text, column, map_texts, picked
+from segmentry.llm.common import as_text, column, map_texts, picked, send
 
 UNDETERMINED = "und"
 BUCKET_BITS = 16
@@ -143,10 +143,10 @@ def learn(docs: DataFrame, lang_column: str = "lang", text_column: str = "text")
 
 def identify(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`doc_id`, `lang_pred`, `score` (share of that language), `languages` (kept ones, largest first), `shares`."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = send(docs, model)
 
     def start():
-        model = shared.value
+        model = shared()
         known: dict[str, int] = {}
         table = np.empty((0, len(model.langs)), np.float32)
 

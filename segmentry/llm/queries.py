@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from segmentry.llm import bpe, decontam, langid, ordermin, phrasededup, simhash, suffixdedup, warc
+from segmentry.llm import bpe, decontam, langid, ordermin, phrasededup, quality, simhash, suffixdedup, toxicity, warc
 from segmentry.llm.common import fold
 from segmentry.session import cut
 
@@ -37,6 +37,13 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    is_held_out = fold(F.col("doc_id"), 3) == 1
+    found = toxicity.score(docs, toxicity.learn(docs, labels.filter(~is_held_out), label="toxic"))
+    return found.select("doc_id", is_held_out.alias("held_out"), "score", toxicity.predicted(F.col("score"), 0.7).alias("predicted"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encoding_digests(bpe.encode_documents(table(spark, sf_dir, "documents"), vocabulary_path()))
 
@@ -75,6 +82,14 @@ def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    is_held_out = fold(F.col("doc_id"), 3) == 1
+    model = quality.learn(docs.filter(~is_held_out), labels.filter(~is_held_out), label="quality")
+    found = quality.score(docs, model)
+    return found.select("doc_id", is_held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_phrase_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrasededup.deduplicate(table(spark, sf_dir, "documents"), window=35)
     return found.select(
@@ -96,10 +111,12 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": op1_simhash,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_bpe": op4_bpe,
     "op5_order_minhash": op5_order_minhash,
     "op6_decontaminate": op6_decontaminate,
     "op7_warc": op7_warc,
+    "op8_quality": op8_quality,
     "op9_phrase_dedup": op9_phrase_dedup,
     "op10_language": op10_language,
 }
