@@ -527,7 +527,7 @@ def source_columns(spark, sf):
 def unload_csv(spark, sf):
     """NULL goals and media lists survive a warehouse unload."""
     path = fresh_path(spark, "unload")
-    writers.unload_csv(V.schedules(spark, sf).select(C.SCHEDULE_SCHEMA.names), path, single_file=True)
+    writers.unload_csv(V.schedules(spark, sf).select(C.SCHEDULE_SCHEMA.names), path)
     return readers.read_lenient(spark, path, C.SCHEDULE_SCHEMA)
 
 
@@ -820,8 +820,8 @@ def clustered(spark: SparkSession, sf: str) -> DataFrame:
     return cut(cluster.attach_cluster(labelled(spark, sf), clustered_labels(spark, sf)))
 
 
-# Few and shallow trees keep the checks short; the search works the same way with more.
-QUICK = regress.Search(trials=1, max_iter=3, depth=(3, 4), parallelism=8)
+# A high learning rate and little patience keep the checks short; every fit still ends by its own patience.
+QUICK = regress.Search(trials=1, depth=(3, 4), rate=(0.3, 0.5), patience=3, parallelism=8)
 
 
 @query
@@ -837,7 +837,7 @@ def loss_curve(spark, sf):
 
 @query
 def tuning(spark, sf):
-    search = regress.Search(trials=3, max_iter=3, depth=(3, 5), patience=2, parallelism=8)
+    search = regress.Search(trials=3, depth=(3, 5), rate=(0.3, 0.5), patience=2, parallelism=8)
     return regress.fit_models(regress.condition_cells(clustered(spark, sf)), search).trial_table(spark)
 
 

@@ -11,14 +11,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-from pyspark.errors import PySparkException
 from pyspark.ml.clustering import GaussianMixture, GaussianMixtureModel
 from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.operators.joins import sized_broadcast
 from segmentry.session import cut
 
 
@@ -73,8 +71,30 @@ def scaled_features(means: DataFrame, kind: str = "robust") -> DataFrame:
     return VectorAssembler(inputCols=scaled, outputCol="features").transform(table).drop(*scaled)
 
 
-def fit_mixture(features: DataFrame, k: int, seed: int = 42, max_iter: int = 100, tol: float = 1e-3) -> GaussianMixtureModel:
-    return GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol, predictionCol="GMM_CLUSTER").fit(features)
+#: Added to every variance of a cluster, in squared units of the scaled features, so that each k can be scored.
+RIDGE = 1e-6
+
+
+def with_ridge(features: DataFrame, ridge: float = RIDGE) -> DataFrame:
+    """Each point as pairs of points beside it along every axis, with the weight of one together.
+
+    Weighted means stay as they are, and the covariance of any group of points grows by `ridge` on each axis.
+    """
+    dims = F.size(vector_to_array("features"))
+    step = F.sqrt(dims * F.lit(ridge))
+    moves = F.explode(F.sequence(F.lit(1), 2 * dims)).alias("_move")
+    spread = features.select(vector_to_array("features").alias("_x"), dims.cast("double").alias("_dims"), step.alias("_step"), moves)
+    sign = F.when(F.col("_move") % 2 == 0, 1.0).otherwise(-1.0)
+    axis = F.floor((F.col("_move") - 1) / 2)
+    moved = F.transform("_x", lambda x, i: x + F.when(i == axis, sign * F.col("_step")).otherwise(0.0))
+    return spread.select(array_to_vector(moved).alias("features"), (1 / (2 * F.col("_dims"))).alias("_weight"))
+
+
+def fit_mixture(
+    features: DataFrame, k: int, seed: int = 42, max_iter: int = 100, tol: float = 1e-3, ridge: float = RIDGE
+) -> GaussianMixtureModel:
+    mixture = GaussianMixture(k=k, seed=seed, maxIter=max_iter, tol=tol, predictionCol="GMM_CLUSTER", weightCol="_weight")
+    return mixture.fit(with_ridge(features, ridge))
 
 
 def bic(log_likelihood: float, k: int, dims: int, n: int) -> float:
@@ -83,29 +103,19 @@ def bic(log_likelihood: float, k: int, dims: int, n: int) -> float:
 
 
 def bic_sweep(
-    features: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 100, parallelism: int = 8
+    features: DataFrame, ks: Sequence[int] = range(2, 11), seed: int = 42, max_iter: int = 100, parallelism: int = 8,
+    ridge: float = RIDGE,
 ) -> DataFrame:
-    """Score per number of clusters.
-
-    A k has no score if there are too few labels for it, or if a fitted cluster holds fewer labels than its
-    covariance needs: the likelihood of such a cluster grows without limit and says nothing.
-    """
+    """Score of every number of clusters."""
     shape = features.select(F.count(F.lit(1)), F.max(F.size(vector_to_array("features")))).first()
     n, dims = shape[0], shape[1] or 0
 
     def score(k: int):
-        if n < k * (dims + 1):
-            return k, None
-        try:
-            model = fit_mixture(features, k, seed, max_iter)
-            if min(model.weights) * n < dims + 1:
-                return k, None
-            return k, float(bic(model.summary.logLikelihood, k, dims, n))
-        except PySparkException as error:
-            if "singular values" in str(error):
-                return k, None
-            raise
+        model = fit_mixture(features, k, seed, max_iter, ridge=ridge)
+        return k, float(bic(model.summary.logLikelihood, k, dims, n))
 
+    if not n:
+        return features.sparkSession.createDataFrame([], "k int, bic double")
     with ThreadPool(parallelism) as pool:
         rows = pool.map(score, list(ks), chunksize=1)
     return features.sparkSession.createDataFrame(rows, "k int, bic double")
@@ -118,8 +128,10 @@ def best_k(scores: DataFrame) -> int:
     return row.k
 
 
-def assign_clusters(features: DataFrame, k: int, seed: int = 42, max_iter: int = 100) -> DataFrame:
-    model = fit_mixture(features, k, seed, max_iter)
+def assign_clusters(
+    features: DataFrame, k: int, seed: int = 42, max_iter: int = 100, ridge: float = RIDGE
+) -> DataFrame:
+    model = fit_mixture(features, k, seed, max_iter, ridge=ridge)
     return cut(model.transform(features).drop("probability"))
 
 
@@ -138,6 +150,6 @@ def project_2d(features: DataFrame) -> DataFrame:
 
 def attach_cluster(facts: DataFrame, clusters: DataFrame) -> DataFrame:
     """Cluster of every row by its label; rows without a label keep a NULL cluster."""
-    return facts.join(sized_broadcast(clusters.select("MASTER_LABEL", "GMM_CLUSTER")), "MASTER_LABEL", "left").select(
+    return facts.join(clusters.select("MASTER_LABEL", "GMM_CLUSTER"), "MASTER_LABEL", "left").select(
         *facts.columns, "GMM_CLUSTER"
     )

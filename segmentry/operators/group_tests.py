@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from segmentry.functions.normality import shapiro_p_value, shapiro_weight
 from segmentry.functions.scalar import effect_label
 from segmentry.functions.special import chi2_p, f_p
-from segmentry.operators.joins import sized_broadcast
 from segmentry.operators.ordering import running_total, split_points
 from segmentry.session import cut
 
@@ -58,7 +57,7 @@ def sized_counts(counts: DataFrame) -> DataFrame:
     levels = valid.groupBy(*GROUP).agg(
         F.sum("n").alias("size"), F.when(low == high, low).otherwise(weighted).alias("mean")
     )
-    return valid.join(sized_broadcast(levels), GROUP)
+    return valid.join(levels, GROUP)
 
 
 def group_moments(sized: DataFrame) -> DataFrame:
@@ -88,7 +87,7 @@ def median_distances(placed: DataFrame) -> DataFrame:
     ]
     medians = placed.groupBy(*GROUP).agg(((middle[0] + middle[1]) / 2).alias("median"))
     distance = F.abs(value - F.col("median"))
-    return placed.join(sized_broadcast(medians), GROUP).groupBy(*GROUP).agg(
+    return placed.join(medians, GROUP).groupBy(*GROUP).agg(
         F.first("size").alias("size"),
         F.first("median").alias("median"),
         F.sum(n * distance).alias("distance"),

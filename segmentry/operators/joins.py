@@ -1,14 +1,11 @@
 """Joins of campaigns, shapes, schedules, reports and industries.
 
-The dimension side is assembled first, so the reports are joined (and at worst shuffled) once. A dimension
-that is measured to be small is broadcast; beyond the bound the join shuffles and adaptive execution
-splits hot campaigns.
+The dimension side is assembled first, so the reports are joined (and at worst shuffled) once. Adaptive execution
+broadcasts a side whose real size is small and otherwise splits hot campaigns; building a plan starts no job.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,24 +15,6 @@ from segmentry.config import (
 from segmentry.functions.scalar import limit_type, safe_ratio
 from segmentry.operators.clean import cast_columns, require
 
-BROADCAST_BYTES = 64 << 20
-
-
-def measured_bytes(df: DataFrame) -> int:
-    """Size of the rows: text by length, everything else by eight bytes. One aggregate, no rows to the driver."""
-    widths = [
-        F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) if f.dataType.typeName() == "string" else F.lit(0)
-        for f in df.schema.fields
-    ]
-    row = reduce(lambda a, b: a + b, widths, F.lit(8 * len(widths)))
-    return df.agg(F.coalesce(F.sum(row), F.lit(0))).first()[0]
-
-
-def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast hint if the measured rows fit the bound; otherwise the frame as it is, for a shuffle join."""
-    return F.broadcast(df) if measured_bytes(df) <= max_bytes else df
-
-
 def with_shape(campaigns: DataFrame, shapes: DataFrame) -> DataFrame:
     """Add SHAPE by SAVE_WAY. Campaigns without a shape are dropped, repeated shapes multiply rows."""
     lookup = shapes.select(F.col("ADS_SAVE_WAY").alias("SAVE_WAY"), F.col("ADS_SHAPE").alias("SHAPE"))
@@ -57,11 +36,10 @@ def campaign_dimension(campaigns: DataFrame, schedules: DataFrame, shapes: DataF
     )
 
 
-def analytics(reports: DataFrame, dimension: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def analytics(reports: DataFrame, dimension: DataFrame) -> DataFrame:
     """Reports with their campaign, schedule and shape; rows with a missing required value are dropped."""
     facts = require(reports, REQUIRED_REPORT)
-    side = sized_broadcast(dimension, max_bytes)
-    return facts.join(side, "KEY").select(*reports.columns, *[c for c in dimension.columns if c != "KEY"])
+    return facts.join(dimension, "KEY").select(*reports.columns, *[c for c in dimension.columns if c != "KEY"])
 
 
 def with_industry(dimension: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -16,13 +16,15 @@ from pyspark.sql import functions as F
 from segmentry.session import cut
 
 _SAMPLE_PER_PIECE = 32
-_MAX_PIECES = 1024
 
 
 def split_points(df: DataFrame, column: str, pieces: int | None = None, is_distinct: bool = False) -> list:
-    """At most `pieces - 1` values that cut the distinct values into pieces of similar size."""
+    """At most `pieces - 1` values that cut the distinct values into pieces of similar size.
+
+    By default there are as many pieces as shuffle partitions, so parallelism grows with the cluster.
+    """
     if pieces is None:
-        pieces = min(_MAX_PIECES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     value = F.col(f"`{column}`")
     values = df.select(value.alias("v")).dropna()
     values = values if is_distinct else values.distinct()

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from segmentry.config import CONDITION_COLUMNS, GOAL_LABELS, GOALS
 from segmentry.functions.scalar import weighted_score
-from segmentry.operators.joins import sized_broadcast
 from segmentry.operators.ordering import top_per_group
 from segmentry.session import cut
 
@@ -45,7 +44,7 @@ def scale_0_100(
         for n in names
     }
     kept = [*predictions.columns, *scaled]
-    return predictions.join(sized_broadcast(bounds), cluster).withColumns(scaled).select(kept)
+    return predictions.join(F.broadcast(bounds), cluster).withColumns(scaled).select(kept)
 
 
 def score_goals(scaled: DataFrame, goals: Mapping[str, Mapping[str, float]] = GOALS) -> DataFrame:

@@ -13,6 +13,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 from multiprocessing.pool import ThreadPool
 
+from pyspark import SparkContext
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,7 +21,6 @@ from pyspark.sql import functions as F
 
 from segmentry.config import CONDITION_COLUMNS, MEASURES, PREDICTION_NAMES
 from segmentry.functions.scalar import holdout
-from segmentry.operators.joins import sized_broadcast
 from segmentry.operators.rank import distinct_conditions
 from segmentry.session import cut
 
@@ -28,7 +28,7 @@ MODEL = ["GMM_CLUSTER", "measure"]
 ROW_KEYS = ["KEY", "MDA", "DATE", "TIME"]
 
 
-def condition_cells(
+def cell_statistics(
     facts: DataFrame,
     conditions: Sequence[str] = CONDITION_COLUMNS,
     measures: Sequence[str] = MEASURES,
@@ -36,7 +36,8 @@ def condition_cells(
 ) -> DataFrame:
     """Per cluster, measure, condition and split: rows, mean, sum of squares around it, smallest and largest value.
 
-    One in five rows is held out, by default chosen by a hash of the row's keys.
+    Every condition that occurs has rows here, also where a measure has no value (`n` is 0). One in five rows is
+    held out, by default chosen by a hash of the row's keys.
     """
     if is_holdout is None:
         is_holdout = holdout([F.col(c) for c in ROW_KEYS if c in facts.columns])
@@ -55,7 +56,12 @@ def condition_cells(
             ).alias(f"_{m}")
         )
     cells = rows.groupBy(*keys).agg(*statistics)
-    return cells.select(*keys, F.inline(F.array(*[F.col(f"`_{m}`") for m in measures]))).filter(F.col("n") > 0)
+    return cells.select(*keys, F.inline(F.array(*[F.col(f"`_{m}`") for m in measures])))
+
+
+def condition_cells(facts: DataFrame, *args, **options) -> DataFrame:
+    """The cells of `cell_statistics` that have a value."""
+    return cell_statistics(facts, *args, **options).filter(F.col("n") > 0)
 
 
 def constant_models(cells: DataFrame) -> DataFrame:
@@ -83,10 +89,9 @@ def target_means(
         F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in conditions])
     )
     by_category = (
-        train.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in conditions]))
-        .select(*MODEL, "n", "y", pairs).groupBy(*MODEL, "column", "category")
+        train.select(*MODEL, "n", "y", pairs).filter(F.col("category").isNotNull()).groupBy(*MODEL, "column", "category")
         .agg(total.alias("total"), F.sum("n").alias("rows"))
-        .join(sized_broadcast(prior), MODEL)
+        .join(F.broadcast(prior), MODEL)  # one row per cluster and measure
         .select(
             *MODEL, "column", "category",
             ((F.col("total") + smoothing * F.col("prior")) / (F.col("rows") + smoothing)).alias("encoded"),
@@ -101,7 +106,6 @@ def target_means(
 
 def encode(rows: DataFrame, means: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS) -> DataFrame:
     """Add the feature vector of target means to rows that have cluster, measure and the condition columns."""
-    means = sized_broadcast(means)  # the hint holds for the parts of the table below
     prior = means.filter(F.col("column").isNull()).select(*MODEL, F.col("encoded").alias("_prior"))
     table = rows.join(prior, MODEL)
     for c in conditions:
@@ -115,10 +119,13 @@ def encode(rows: DataFrame, means: DataFrame, conditions: Sequence[str] = CONDIT
 
 @dataclass(frozen=True)
 class Search:
-    """Settings of the search: `trials` random pairs of depth and learning rate, each with early stopping."""
+    """Settings of the search: `trials` random pairs of depth and learning rate, each with early stopping.
+
+    A model grows until its validation error has not improved for `patience` trees, or to `max_iter` trees.
+    """
 
     trials: int = 5
-    max_iter: int = 100
+    max_iter: int = 1500
     patience: int = 100
     depth: tuple[int, int] = (4, 8)
     rate: tuple[float, float] = (0.005, 0.05)
@@ -197,29 +204,58 @@ def _grow(train: DataFrame, depth: int, rate: float, trees: int, seed: int) -> G
     ).fit(train)
 
 
+def ladder(search: Search) -> list[int]:
+    """Numbers of trees to try: doubled until `max_iter`, so that growing again costs at most as much as before."""
+    steps = [min(search.max_iter, 2 * search.patience)]
+    while steps[-1] < search.max_iter:
+        steps.append(min(search.max_iter, 2 * steps[-1]))
+    return steps
+
+
+def prefix(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
+    """The model of the first trees."""
+    if trees == model.getNumTrees:
+        return model
+    context = SparkContext.getOrCreate()
+    gateway, java = context._gateway, model._java_obj
+    own = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
+    weights = gateway.new_array(gateway.jvm.double, trees)
+    all_trees, all_weights = java.trees(), java.treeWeights()
+    for i in range(trees):
+        own[i], weights[i] = all_trees[i], all_weights[i]
+    return GBTRegressionModel(gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), own, weights))
+
+
+def _grow_until_patient(train: DataFrame, held: DataFrame, inside: Mapping[bool, float], depth: int, rate: float, search: Search):
+    """(model, training curve, validation curve, best number of trees, trees grown). The same seed gives the same first trees."""
+    for size in ladder(search):
+        model = _grow(train, depth, rate, size, search.seed)
+        train_curve = rmse_curve(model, train, inside[False])
+        val_curve = rmse_curve(model, held, inside[True]) if True in inside else train_curve
+        trees, grown = stop_early(val_curve, search.patience)
+        if grown - trees >= search.patience:
+            break
+    return model, train_curve[:grown], val_curve[:grown], trees, grown
+
+
 def _fit_one(rows: DataFrame, cluster: int, measure: str, inside: Mapping[bool, float], search: Search):
     train, held = rows.filter(~F.col("is_holdout")).persist(), rows.filter(F.col("is_holdout")).persist()
     try:
         trials, best = [], None
         for number, (depth, rate) in enumerate(search.candidates(cluster, measure)):
-            model = _grow(train, depth, rate, search.max_iter, search.seed)
-            train_curve = rmse_curve(model, train, inside[False])
-            val_curve = rmse_curve(model, held, inside[True]) if True in inside else train_curve
-            trees, grown = stop_early(val_curve, search.patience)
-            gap = abs(val_curve[trees - 1] - min(train_curve[:grown]))
+            model, train_curve, val_curve, trees, grown = _grow_until_patient(train, held, inside, depth, rate, search)
+            gap = abs(val_curve[trees - 1] - min(train_curve))
             score = val_curve[trees - 1] + search.gap_weight * gap
             trials.append((cluster, measure, number, depth, rate, trees, val_curve[trees - 1], gap, score))
             if best is None or score < best[0]:
-                best = score, depth, rate, trees, model, train_curve[:grown], val_curve[:grown]
-        _, depth, rate, trees, model, train_curve, val_curve = best
-        if trees < search.max_iter:  # same seed, so the shorter model has the same first trees
-            model = _grow(train, depth, rate, trees, search.seed)
+                best = score, trees, model, train_curve, val_curve
+        _, trees, model, train_curve, val_curve = best
         curves = [
             (cluster, measure, name, step, value)
             for name, curve in (("train_rmse", train_curve), ("val_rmse", val_curve))
             for step, value in enumerate(curve)
         ]
-        return model, trials, curves
+        return prefix(model, trees), trials, curves
     finally:
         train.unpersist()
         held.unpersist()
@@ -285,7 +321,11 @@ def predict(
     names: Mapping[str, str] = PREDICTION_NAMES,
     conditions: Sequence[str] = CONDITION_COLUMNS,
 ) -> DataFrame:
-    """Distinct conditions of each cluster with one predicted column per measure."""
+    """Distinct conditions of each cluster with one predicted column per measure.
+
+    `facts` may be any table with cluster and conditions, such as the cells. A measure without a model or a
+    constant in a cluster is NULL there.
+    """
     asked = distinct_conditions(facts, conditions)
     measures = F.explode(F.array(*map(F.lit, names))).alias("measure")
     by_measure = asked.select("*", measures)
@@ -297,7 +337,8 @@ def predict(
         ).select(*keys, "measure", "value")
         for (cluster, measure), model in fitted.models.items()
     ]
-    fixed = by_measure.join(sized_broadcast(fitted.constants), MODEL).select(*keys, "measure", "value")
+    constants = F.broadcast(fitted.constants)  # one row per cluster and measure at most
+    fixed = by_measure.join(constants, MODEL, "left").select(*keys, "measure", F.col("value").cast("double").alias("value"))
     values = reduce(DataFrame.unionByName, [*frames, fixed])
     columns = [
         F.max(F.when(F.col("measure") == m, F.col("value"))).alias(f"Pred_{name}") for m, name in names.items()

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,9 +12,8 @@ LAST_WORDS = ["anvil", "bolt", "gear", "gizmo", "plate", "ring", "rod", "widget"
 WORD_HINTS = {industry: [f"{word}$"] for industry, word in zip(INDUSTRIES, LAST_WORDS)}
 
 
-@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A benchmark table. Views share one frame, so the file footers are read once."""
+    """A benchmark table."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -2,16 +2,19 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from segmentry.functions.text import base_name, extension
+from segmentry.functions.text import base_name
 from segmentry.operators.clean import keep_columns
+from segmentry.sources.writers import write_csv
 
 _BAD_LINE = "_bad_line"
 
@@ -30,21 +33,34 @@ def _parse_all(df: DataFrame, schema: T.StructType) -> DataFrame:
     return df.filter(F.xxhash64(*schema.names) >= F.lit(-(2**63)))
 
 
+def _without_halves(lines: DataFrame, schema: T.StructType) -> DataFrame:
+    """Mark lines with an odd number of quotes in a cell: halves of a cell with a line break look like that."""
+    texts = [F.coalesce(F.col(f"`{f.name}`"), F.lit("")) for f in schema.fields if isinstance(f.dataType, T.StringType)]
+    odd = [F.length(F.regexp_replace(t, '[^"]', "")) % 2 == 1 for t in texts]
+    is_half = reduce(lambda a, b: a | b, odd, F.lit(False))
+    line = F.to_csv(F.struct(*schema.names), {"escape": '"', "nullValue": "\\N"})
+    return lines.withColumn(_BAD_LINE, F.coalesce(F.col(_BAD_LINE), F.when(is_half, line)))
+
+
 def read_marked(
     spark: SparkSession, path: str | list[str], schema: T.StructType, pattern: str | None = None,
-    check_header: bool = True, multi_line: bool = False,
+    check_header: bool = True, multi_line: bool = True,
 ) -> DataFrame:
-    """All lines; those that do not fit the schema carry their text in `_bad_line`.
+    """All rows; those that do not fit the schema carry their text in `_bad_line`.
 
     Columns match by position. `check_header` fails the read if a file's header names differ from the
-    schema, instead of loading shifted columns. `multi_line` is for quoted line breaks; such files cannot
-    be split over tasks.
+    schema, instead of loading shifted columns. Quoted line breaks are part of their cell, so a file is read by
+    one task: convert large files to parquet once, at intake. With `multi_line=False` files are split over tasks
+    and every line is a row; a line with an odd number of quotes in a cell is then a bad line, as it may be the
+    half of a broken cell.
     """
     marked = T.StructType([*schema.fields, T.StructField(_BAD_LINE, T.StringType())])
     lines = (
         _csv(spark, pattern, check_header, multi_line).option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _BAD_LINE).schema(marked).csv(path)
     )
+    if not multi_line:
+        lines = _without_halves(lines, schema)
     return _parse_all(lines, schema)
 
 
@@ -61,7 +77,7 @@ def read_rejects(spark: SparkSession, path: str | list[str], schema: T.StructTyp
 
 def read_strict(
     spark: SparkSession, path: str | list[str], schema: T.StructType, pattern: str | None = None,
-    check_header: bool = True, multi_line: bool = False,
+    check_header: bool = True, multi_line: bool = True,
 ) -> DataFrame:
     """Fails on the first line that does not fit the schema."""
     rows = _csv(spark, pattern, check_header, multi_line).option("mode", "FAILFAST").schema(schema).csv(path)
@@ -106,24 +122,22 @@ def intake_files(
 
     A file that is missing, of another kind, or fails does not stop the others.
     """
-    kinds = spark.createDataFrame([(n,) for n in names], "file string").select(
-        "file", base_name(F.col("file")).alias("stem"), extension(F.concat(F.lit("/"), F.col("file"))).alias("kind")
-    ).collect()
     rows = []
-    for file in kinds:
-        if file.kind != ".csv":
-            rows.append((file.file, "unsupported", 0))
+    for name in names:
+        stem, kind = os.path.splitext(os.path.basename(name))
+        if kind != ".csv":
+            rows.append((name, "unsupported", 0))
             continue
         try:
-            raw = spark.read.option("header", True).option("escape", '"').csv(f"{folder}/{file.file}")
+            raw = _csv(spark, None, False, True).csv(f"{folder}/{name}")
             kept = keep_columns(raw, columns) if columns else raw
-            kept.write.mode("overwrite").option("header", True).option("escape", '"').csv(f"{out_dir}/{file.stem}")
-            rows.append((file.file, "copied", len(kept.columns)))
+            write_csv(kept, f"{out_dir}/{stem}")
+            rows.append((name, "copied", len(kept.columns)))
         except AnalysisException as error:
             missing = error.getCondition() == "PATH_NOT_FOUND"
-            rows.append((file.file, "missing" if missing else "failed", 0))
+            rows.append((name, "missing" if missing else "failed", 0))
         except PySparkException:
-            rows.append((file.file, "failed", 0))
+            rows.append((name, "failed", 0))
     return spark.createDataFrame(rows, "file string, status string, n_columns int")
 
 

@@ -7,36 +7,27 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.operators.joins import measured_bytes
+def _csv(df: DataFrame):
+    """Quotes are doubled, breaks and spaces stay as they are, empty text is quoted and NULL is \\N: all can be read back."""
+    options = {
+        "header": True, "escape": '"', "nullValue": "\\N", "emptyValue": '""', "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
+    return df.write.mode("overwrite").options(**options)
 
-# Fixed value: size limit of a single-file unload.
-SINGLE_FILE_BYTES = 5_368_709_120
 
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with a header, a file per task; what was there is replaced."""
+    _csv(df).csv(path)
 
-def _one_file(df: DataFrame, single_file: bool) -> DataFrame:
-    """One partition on request, for tables that are measured to stay under the limit."""
-    if not single_file:
-        return df
-    if measured_bytes(df) > SINGLE_FILE_BYTES:
-        raise ValueError("the table is too large for a single file; write it as a folder of files")
-    return df.coalesce(1)
 
+def unload_csv(df: DataFrame, path: str) -> None:
+    """Uncompressed CSV for a warehouse."""
+    _csv(df).option("compression", "none").csv(path)
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """CSV with a header; what was there is replaced."""
-    _one_file(df, single_file).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
 
-
-def unload_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
-    """Uncompressed CSV for a warehouse: NULL as \\N, empty text left empty."""
-    (
-        _one_file(df, single_file).write.mode("overwrite").option("header", True).option("escape", '"')
-        .option("nullValue", "\\N").option("emptyValue", "").option("compression", "none").csv(path)
-    )
-
-
-def write_parquet(df: DataFrame, path: str, single_file: bool = False) -> None:
-    _one_file(df, single_file).write.mode("overwrite").option("compression", "snappy").parquet(path)
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").option("compression", "snappy").parquet(path)
 
 
 def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -46,8 +37,9 @@ def save_table(df: DataFrame, name: str, path: str | None = None) -> None:
 
 
 def split_by_key(df: DataFrame, path: str, key: str) -> None:
-    """One folder per key value, in a single pass. Rows stay in their tasks, so a large key is written by many."""
-    df.write.mode("overwrite").partitionBy(key).parquet(path)
+    """One folder per key value. Rows of a key are brought together in parts of a size, so a large key is written by
+    many tasks and a small one in few files."""
+    df.hint("rebalance", key).write.mode("overwrite").partitionBy(key).parquet(path)
 
 
 def write_batches(df: DataFrame, path: str, batch: str = "batch") -> None:

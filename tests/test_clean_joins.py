@@ -106,11 +106,10 @@ def literal_joins(campaigns, schedules, reports, shapes):
     return joined.dropna(subset=C.REQUIRED_REPORT + C.REQUIRED_CAMPAIGN + C.REQUIRED_SCHEDULE)
 
 
-@pytest.mark.parametrize("max_bytes", [joins.BROADCAST_BYTES, 0])
-def test_analytics_equals_the_literal_joins(spark, max_bytes):
+def test_analytics_equals_the_literal_joins(spark):
     campaigns, schedules, reports, shapes, _ = tables(spark)
     dimension = campaign_table.dimension_table(campaigns, schedules, shapes)
-    got = joins.analytics(clean.clean_reports(reports), dimension, max_bytes)
+    got = joins.analytics(clean.clean_reports(reports), dimension)
     expected = literal_joins(campaigns, schedules, reports, shapes).select(got.columns)
     assert got.count() == 400 * 4 + 1
     assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty()
@@ -133,14 +132,6 @@ def test_final_table_has_the_fixed_columns(spark):
     assert all(dict(got.dtypes)[c] == "double" for c in C.FLOAT_COLUMNS)
 
 
-def test_large_sides_are_not_broadcast(spark):
-    df = spark.range(1000).withColumn("t", F.lit("x" * 50))
-    assert joins.measured_bytes(df) == 1000 * (16 + 50)
-    small, large = joins.sized_broadcast(df, 66_000), joins.sized_broadcast(df, 65_999)
-    assert "strategy=broadcast" in small._jdf.queryExecution().analyzed().toString()
-    assert "strategy=broadcast" not in large._jdf.queryExecution().analyzed().toString()
-
-
 def test_a_hot_campaign_is_split_when_the_dimension_is_too_large(spark):
     """Two thirds of the reports belong to one campaign; adaptive execution cuts its partition up."""
     settings = {
@@ -159,7 +150,7 @@ def test_a_hot_campaign_is_split_when_the_dimension_is_too_large(spark):
             F.sha2(F.col("id").cast("string"), 256).alias("payload"),
         )
         dimension = spark.range(60_000).select(F.col("id").alias("KEY"), F.col("id").alias("x"))
-        got = joins.analytics(keys, dimension, max_bytes=0)
+        got = joins.analytics(keys, dimension)
         assert len(got.collect()) == 60_000
         assert "skew=true" in got._jdf.queryExecution().executedPlan().toString()
     finally:

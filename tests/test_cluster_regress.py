@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
@@ -29,10 +30,20 @@ def test_two_blobs_are_found(spark, blobs):
     assert sorted((r.low, r.high) for r in groups.collect()) == [(0, 199), (200, 399)]
 
 
-def test_too_many_clusters_have_no_score(spark, blobs):
-    features = cluster.scaled_features(blobs.filter("MASTER_LABEL % 40 = 0"))
-    scores = {r.k: r.bic for r in cluster.bic_sweep(features, [2, 3]).collect()}
-    assert scores[2] is not None and scores[3] is None
+def test_every_number_of_clusters_has_a_score(spark, blobs):
+    """Ten labels, some of them equal: clusters of one label have no spread of their own."""
+    few = blobs.filter("MASTER_LABEL % 40 = 0")
+    features = cluster.scaled_features(few.unionByName(few.withColumn("MASTER_LABEL", F.col("MASTER_LABEL") + 1000)))
+    scores = {r.k: r.bic for r in cluster.bic_sweep(features, range(2, 11)).collect()}
+    assert sorted(scores) == list(range(2, 11)) and all(map(math.isfinite, scores.values()))
+
+
+def test_ridge_adds_to_the_variances_only(spark, blobs):
+    features = cluster.scaled_features(blobs)
+    plain, moved = cluster.fit_mixture(features, 2, ridge=0.0), cluster.fit_mixture(features, 2, ridge=0.01)
+    for a, b in zip(plain.gaussiansDF.collect(), moved.gaussiansDF.collect(), strict=True):
+        assert a["mean"].toArray() == pytest.approx(b["mean"].toArray(), abs=1e-6)
+        assert (b["cov"].toArray() - a["cov"].toArray()) == pytest.approx(0.01 * np.eye(3), abs=1e-6)
 
 
 def test_bic_formula():
@@ -170,6 +181,33 @@ def test_listed_clusters_only(rows):
     assert {k[0] for k in regress.fit_models(regress.condition_cells(rows), one, clusters=[1]).models} == {1}
 
 
+def test_a_missing_category_costs_only_its_own_column(spark):
+    """Rows of media 1 are 1 and 9, the 9 without a shape; the mean of all training rows is 4."""
+    data = [(0, "CVR", "a", "1", "PM", False, 1, 1.0), (0, "CVR", None, "1", "PM", False, 1, 9.0), (0, "CVR", "a", "2", "AM", False, 1, 2.0)]
+    cells = spark.createDataFrame(data, f"GMM_CLUSTER int, measure string, {', '.join(c + ' string' for c in CONDITIONS)}, is_holdout boolean, n long, y double")
+    got = {(r.column, r.category): r.encoded for r in regress.target_means(cells).collect()}
+    assert got[None, None] == 4.0
+    assert got["MDA", "1"] == pytest.approx(14 / 3) and got["START_TIME", "PM"] == pytest.approx(14 / 3)
+    assert got["SHAPE", "a"] == pytest.approx((3 + 4) / 3) and ("SHAPE", None) not in got
+
+
+def test_clusters_without_values_keep_their_conditions(spark, rows, fitted):
+    empty = spark.createDataFrame([(7, "x", 3, "AM"), (7, None, 3, "AM")], "GMM_CLUSTER int, SHAPE string, MDA long, START_TIME string")
+    got = regress.predict(rows.select("GMM_CLUSTER", *CONDITIONS).limit(3).unionByName(empty), fitted)
+    lost = got.filter("GMM_CLUSTER = 7")
+    assert lost.count() == 2 and lost.filter("coalesce(Pred_CVR, Pred_EFF, Pred_ATS) is not null").isEmpty()
+
+
+def test_curves_end_by_patience_and_the_prefix_is_kept(spark, rows):
+    search = regress.Search(trials=1, depth=(3, 3), rate=(0.4, 0.5), patience=4, parallelism=4)
+    fitted = regress.fit_models(regress.condition_cells(rows), search, clusters=[0])
+    for (c, m), model in fitted.models.items():
+        curve = [x[4] for x in fitted.curves if x[:3] == (c, m, "val_rmse")]
+        best = curve.index(min(curve)) + 1
+        assert model.getNumTrees == best and (len(curve) == best + 4 or len(curve) == search.max_iter)
+    assert regress.ladder(regress.Search()) == [200, 400, 800, 1500]
+
+
 @pytest.mark.parametrize(
     "curve, patience, expected",
     [([3, 2, 1], 5, (3, 3)), ([3, 2, 4, 5, 1], 2, (2, 4)), ([3, 2, 4, 5, 1], 9, (5, 5)), ([1], 1, (1, 1)), ([2, 2, 2], 1, (1, 2))],

@@ -102,20 +102,29 @@ def test_catalogue_views(spark, tmp_path):
     assert spark.sql("select count(*) from schedule_raw join ids_raw on SCH_IDX = id").first()[0] == 1
 
 
-def test_unload_writes_null_marks_and_one_file(spark, tmp_path):
-    df = spark.createDataFrame([(1, None, ""), (2, 'a "b", c', "x")], "i int, a string, b string")
-    writers.unload_csv(df, str(tmp_path / "u"), single_file=True)
-    files = list((tmp_path / "u").glob("*.csv"))
-    assert len(files) == 1
-    assert sorted(files[0].read_text().splitlines()) == sorted(["i,a,b", "1,\\N,", '2,"a ""b"", c",x'])
-
-
-def test_single_file_is_refused_for_large_tables(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(writers, "SINGLE_FILE_BYTES", 100)
-    with pytest.raises(ValueError):
-        writers.write_csv(spark.range(100), str(tmp_path / "x"), single_file=True)
-    writers.write_csv(spark.range(100), str(tmp_path / "x"))
-    assert spark.read.option("header", True).csv(str(tmp_path / "x")).count() == 100
+ODD_CELLS = [
+    (1, None, ""), (2, 'a "b", c', "x"), (3, "line1\nline2", "y"), (4, '"', "\n"), (5, "N", "\r\n tail"), (6, "", None),
+    (7, 'half"\n"other', ","),
+]
+
+
+@pytest.mark.parametrize("write", [writers.write_csv, writers.unload_csv])
+def test_breaks_quotes_empty_text_and_null_survive(spark, tmp_path, write):
+    df = spark.createDataFrame(ODD_CELLS, "i int, a string, b string")
+    write(df, str(tmp_path / "u"))
+    back = readers.read_lenient(spark, str(tmp_path / "u"), df.schema)
+    assert sorted(map(tuple, back.collect()), key=lambda r: r[0]) == ODD_CELLS
+    assert readers.read_rejects(spark, str(tmp_path / "u"), df.schema).isEmpty()
+    strict = readers.read_strict(spark, str(tmp_path / "u"), df.schema)
+    assert strict.count() == len(ODD_CELLS)
+
+
+def test_lines_read_apart_put_both_halves_aside(spark, tmp_path):
+    df = spark.createDataFrame([("line1\nline2", "y"), ("whole", "z")], "a string, b string").coalesce(1)
+    writers.write_csv(df, str(tmp_path / "u"))
+    good = readers.read_lenient(spark, str(tmp_path / "u"), df.schema, multi_line=False)
+    assert [tuple(r) for r in good.collect()] == [("whole", "z")]
+    assert readers.read_rejects(spark, str(tmp_path / "u"), df.schema, multi_line=False).count() == 2
 
 
 def test_split_keeps_missing_keys_apart(spark, tmp_path):
