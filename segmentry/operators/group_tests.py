@@ -7,11 +7,12 @@ works on these counts, which are as many as there are distinct values, not as th
 from __future__ import annotations
 
 from collections.abc import Sequence
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.functions.normality import shapiro_p_value, shapiro_weight
+from segmentry.functions.normality import normal_p, shapiro_z, with_weight
 from segmentry.functions.scalar import effect_label
 from segmentry.functions.special import chi2_p, f_p
 from segmentry.operators.ordering import running_total, split_points
@@ -201,14 +202,14 @@ def kruskal(counts: DataFrame, ranks: DataFrame | None = None) -> DataFrame:
     )
 
 
-def _verdict(table: DataFrame, p_value: Column, alpha: float) -> DataFrame:
+def _verdict(table: DataFrame, p_value: Column, is_normal: Column) -> DataFrame:
     """Levels under four values cannot be tested and count as not normal."""
     testable = F.col("size") > 3
     return table.withColumns(
         {
             "statistic": F.when(testable, F.col("statistic")),
             "p_value": F.when(testable, p_value),
-            "normal": testable & (p_value > alpha),
+            "normal": testable & is_normal,
         }
     )
 
@@ -219,14 +220,15 @@ def shapiro(placed: DataFrame, alpha: float = 0.05) -> DataFrame:
     It follows the published approximation, which was fitted up to 5,000 values and is extrapolated beyond.
     """
     away = F.col("value") - F.col("mean")
-    weight = shapiro_weight(F.col("before"), F.col("n"), F.col("size"))
-    weighted = placed.select(*GROUP, "n", "size", away.alias("away"), weight.alias("weight"))
+    weighted = with_weight(placed.select(*GROUP, "n", "size", "before", away.alias("away")), "before", "n", "weight")
     fit = F.sum(F.col("weight") * F.col("away"))
     spread = F.sum(F.col("n") * F.col("away") * F.col("away"))
     # A level of one repeated value fits perfectly.
     statistic = F.when(spread > 0, F.least(fit * fit / F.nullif(spread, F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
     table = weighted.groupBy(*GROUP).agg(F.first("size").alias("size"), statistic.alias("statistic"))
-    return _verdict(table, shapiro_p_value(F.col("statistic"), F.col("size")), alpha)
+    table = table.withColumn("z", F.when(F.col("size") > 3, shapiro_z(F.col("statistic"), F.col("size"))))
+    critical = NormalDist().inv_cdf(1 - alpha)  # the verdict needs no tail probability, so no Python
+    return _verdict(table, normal_p(F.col("z")), F.col("z") < critical).drop("z")
 
 
 def jarque_bera(moments: DataFrame, alpha: float = 0.05) -> DataFrame:
@@ -236,7 +238,8 @@ def jarque_bera(moments: DataFrame, alpha: float = 0.05) -> DataFrame:
     excess = F.try_divide(F.col("quartics") / size, variance * variance) - 3
     statistic = size / 6 * (skew * skew + excess * excess / 4)
     table = moments.select(*GROUP, "size", F.coalesce(statistic, F.lit(0.0)).alias("statistic"))
-    return _verdict(table, F.exp(-F.col("statistic") / 2), alpha)
+    p_value = F.exp(-F.col("statistic") / 2)
+    return _verdict(table, p_value, p_value > alpha)
 
 
 def effect_sizes(kruskal_table: DataFrame, welch_table: DataFrame, anova_table: DataFrame) -> DataFrame:

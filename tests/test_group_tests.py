@@ -1,5 +1,6 @@
 import math
 import random
+from statistics import NormalDist
 
 import pytest
 from pyspark.sql import functions as F
@@ -112,27 +113,61 @@ def test_known_shapiro_wilk_value(spark):
     assert row[1].statistic is None and row[1].normal is False  # too few values to test
 
 
-def test_shapiro_weights_of_runs_match_single_ranks():
-    for n in (4, 5, 6, 11, 12, 50, 3000):
-        scores = N._Scores(n)
-        single = [scores.weight(i, 1) for i in range(n)]
-        assert sum(single) == pytest.approx(0, abs=1e-9)
-        assert sum(w * w for w in single) == pytest.approx(1, abs=2e-3)
-        assert scores.weight(1, n - 3) == pytest.approx(sum(single[1 : n - 2]))
-        assert all(a == pytest.approx(-b) for a, b in zip(single, reversed(single)))
+def exact_weights(n):
+    """Weights from all normal scores, one by one."""
+    m = [NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    total, u = sum(x * x for x in m), 1 / math.sqrt(n)
+    poly = lambda c: sum(x * u**i for i, x in enumerate(c))
+    last, near = poly(N._LAST) - m[0] / math.sqrt(total), poly(N._NEXT_TO_LAST) - m[1] / math.sqrt(total)
+    if n > 5:
+        scale = math.sqrt((total - 2 * m[0] ** 2 - 2 * m[1] ** 2) / (1 - 2 * last**2 - 2 * near**2))
+        return [-last, -near, *[x / scale for x in m[2:-2]], near, last]
+    scale = math.sqrt((total - 2 * m[0] ** 2) / (1 - 2 * last**2))
+    return [-last, *[x / scale for x in m[1:-1]], last]
 
 
-def test_normal_samples_are_mostly_accepted():
+@pytest.mark.parametrize("n", [4, 5, 6, 11, 12, 47, 48, 49, 50, 51, 1500, 5001])
+def test_shapiro_weights_equal_the_single_scores(spark, n):
+    expected = exact_weights(n)
+    ranks = spark.range(n).select(F.lit(n).cast("long").alias("size"), F.col("id").alias("before"), F.lit(1).cast("long").alias("n"))
+    single = [r.w for r in N.with_weight(ranks, "before", "n", "w").orderBy("before").collect()]
+    assert single == pytest.approx(expected, abs=1e-9) and sum(w * w for w in single) == pytest.approx(1, abs=1e-9)
+    runs = spark.createDataFrame([(n, b, c) for b, c in ((0, n), (1, n - 3), (n // 3, n // 2), (0, 1))], "size long, before long, n long")
+    got = {(r.before, r.n): r.w for r in N.with_weight(runs, "before", "n", "w").collect()}
+    assert all(w == pytest.approx(sum(expected[b : b + c]), abs=1e-8) for (b, c), w in got.items())
+
+
+def test_quantile_equals_the_library_one(spark):
+    ps = [1e-12, 1e-6, 0.001, 0.07, 0.075, 0.3, 0.5, 0.6, 0.925, 0.93, 0.9999, 1 - 1e-9]
+    rows = N.with_quantile(spark.createDataFrame([(p,) for p in ps], "p double"), F.col("p"), "z").collect()
+    assert all(r.z == pytest.approx(NormalDist().inv_cdf(r.p), rel=1e-13, abs=1e-15) for r in rows)
+
+
+def test_normal_samples_are_mostly_accepted(spark):
     rng = random.Random(5)
-    rejected = 0
-    for _ in range(300):
-        values = sorted(rng.gauss(3, 2) for _ in range(60))
-        mean, scores = sum(values) / 60, N._Scores(60)
-        fit = sum(scores.weight(i, 1) * (v - mean) for i, v in enumerate(values))
-        rejected += N.shapiro_p(fit**2 / sum((v - mean) ** 2 for v in values), 60) < 0.05
+    samples = {f"s{i}": [rng.gauss(3, 2) for _ in range(60)] for i in range(300)}
+    rejected = G.shapiro(placed(counts(spark, samples))).filter("not normal").count()
     assert 3 <= rejected <= 30
 
 
+def test_no_python_below_an_aggregate(spark):
+    """The choice of the test needs verdicts only, so no row goes to Python before the result rows."""
+    table = counts(spark, {"a": [1.0, 2.0, 4.0, 4.0, 9.0], "b": [1.0, 2.0, 3.0, 4.0]})
+    for frame in (G.shapiro(placed(table)), G.run_all_tests(facts(spark, SAMPLES), ["g"], ["y"])):
+        plan = frame._jdf.queryExecution().optimizedPlan().toString().split("\n")
+        python = [line.index("ArrowEvalPython") for line in plan if "ArrowEvalPython" in line]
+        assert python
+        for i, line in enumerate(plan):
+            if "Aggregate" in line:
+                below = [x for x in plan[i + 1 :] if "EvalPython" in x and x.index("EvalPython") > line.index("Aggregate")]
+                deeper = []
+                for x in plan[i + 1 :]:
+                    if len(x) - len(x.lstrip(" :+-")) <= len(line) - len(line.lstrip(" :+-")):
+                        break
+                    deeper.append(x)
+                assert not [x for x in below if x in deeper]
+
+
 def test_constant_level_is_normal_and_has_no_welch_test(spark):
     table = counts(spark, {"a": [0.1] * 7, "b": [1.0, 2.0, 3.0, 4.0]})
     moments = moments_of(table)
@@ -143,7 +178,7 @@ def test_constant_level_is_normal_and_has_no_welch_test(spark):
 
 
 def normal_scores(n, mean, sd):
-    return [mean + sd * N._NORMAL.inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
+    return [mean + sd * NormalDist().inv_cdf((i - 0.375) / (n + 0.25)) for i in range(1, n + 1)]
 
 
 @pytest.mark.parametrize(
