@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry.llm import bpe, decontam, langid, repeats, simhash, suffixdedup
+from segmentry.llm.common import column
 from segmentry.llm.queries import table, vocabulary_path
 from segmentry.session import fresh_path
 
@@ -19,7 +20,7 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of the given ids. Rows without an id have numbers here (`with_ids`) and lose them again."""
-    return repeats.without_ids(docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")).select(docs.columns)
+    return repeats.without_ids(docs.join(ids.select("doc_id").distinct(), "doc_id", "left_semi")).select(*map(column, docs.columns))
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +49,7 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     changed = joined.withColumn("text", text)
     if "n_chars" in docs.columns:
         changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return repeats.without_ids(changed).select(docs.columns)
+    return repeats.without_ids(changed).select(*map(column, docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

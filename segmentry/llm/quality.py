@@ -33,7 +33,9 @@ from segmentry.llm.toxicity import label_rows, smallest_hashes
 #: Documents that training reads at most.
 POSITIVE_ROWS, UNLABELLED_ROWS = 6000, 9000
 SHORT_WORD, WORD_BUCKETS = 4, 256
-STEPS, RATE, DECAY = 400, 0.05, 1e-3
+STEPS, RATE = 400, 0.05
+#: Weight decay for n positives is DECAY_ROWS / n, and more for the discriminator of the prior, which must not overfit.
+DECAY_ROWS, PRIOR_DECAY_ROWS = 5.0, 30.0
 #: The prior looks at scores that at least this share of the positives reach.
 LEAST_REACH = 0.5
 N_FEATURES = 128 + WORD_BUCKETS + 8
@@ -97,12 +99,12 @@ def empty_model() -> Model:
     return Model(np.zeros(N_FEATURES), np.ones(N_FEATURES), np.zeros(N_FEATURES), -40.0, 0.0)
 
 
-def _descend(n: int, gradient, steps: int = STEPS) -> np.ndarray:
+def _descend(n: int, gradient, decay: float, steps: int = STEPS) -> np.ndarray:
     """Adam on the weights and the bias (the last entry)."""
     w, mean, square = np.zeros(n + 1), np.zeros(n + 1), np.zeros(n + 1)
     for step in range(1, steps + 1):
         g = gradient(w)
-        g[:-1] += DECAY * w[:-1]
+        g[:-1] += decay * w[:-1]
         mean += 0.1 * (g - mean)
         square += 0.01 * (g * g - square)
         w -= RATE * (1 - step / (steps + 1)) * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-9)
@@ -112,6 +114,8 @@ def _descend(n: int, gradient, steps: int = STEPS) -> np.ndarray:
 def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Least ratio of the unlabelled to the positive share above a score, each fold scored by the other's discriminator."""
     ratios = []
+    random = np.random.default_rng(11)  # rows may come in an order that says something about them
+    positive, unlabelled = (x[random.permutation(len(x))] for x in (positive, unlabelled))
     for fold in (0, 1):
         p, u = positive[fold::2], unlabelled[fold::2]
         ones_p, ones_u = np.column_stack((p, np.ones(len(p)))), np.column_stack((u, np.ones(len(u))))
@@ -120,7 +124,7 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
             miss_p, miss_u = _sigmoid(ones_p @ w) - 1, _sigmoid(ones_u @ w)
             return ones_p.T @ miss_p / len(ones_p) + ones_u.T @ miss_u / len(ones_u)
 
-        w = _descend(p.shape[1], gradient, STEPS // 2)
+        w = _descend(p.shape[1], gradient, PRIOR_DECAY_ROWS / max(1, len(p)), STEPS // 2)
         other_p, other_u = positive[1 - fold :: 2] @ w[:-1], unlabelled[1 - fold :: 2] @ w[:-1]
         if not len(other_p) or not len(other_u):
             continue
@@ -148,7 +152,7 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
         as_negative = u.T @ _sigmoid(at_u) / len(u) - prior * (p.T @ _sigmoid(at_p) / len(p))
         return prior * as_positive + as_negative if negative_risk >= 0 else -as_negative
 
-    w = _descend(p.shape[1] - 1, gradient)
+    w = _descend(p.shape[1] - 1, gradient, DECAY_ROWS / len(p))
     return Model(mean, scale, w[:-1], float(w[-1]), prior)
 
 

@@ -1,7 +1,7 @@
 """Toxicity scores: subword-bag embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word's vector is half that of the whole word and half the mean of its character n-grams' (with borders), all hashed
-to one table; a document's vector is the mean over its words; two logits are linear in it. Table and softmax are
+A word's vector is the weighted sum of the vectors of the whole word and of its character n-grams (with borders), all
+hashed to one table; a document's vector is the mean over its words; two logits are linear in it. Table and softmax are
 trained together by gradient descent on a bounded sample of labelled documents. An unseen misspelling shares most of its n-grams
 with words that were seen. As all is linear until the softmax, scoring needs one number per table row and word.
 
@@ -46,8 +46,9 @@ def words_of(text: str) -> list[str]:
 
 
 def weights_of(sizes: np.ndarray) -> np.ndarray:
-    """Weights of the rows of words with so many rows: half for the whole word, half for its n-grams together."""
-    weights = np.repeat(0.5 / np.maximum(sizes - 1, 1), sizes)
+    """Weights of the rows of words with so many rows: one half for the whole word; its k n-grams weigh half a root of k
+    together, so that both parts learn equally fast and neither leaves all evidence to the other."""
+    weights = np.repeat(0.5 / np.sqrt(np.maximum(sizes - 1, 1)), sizes)
     weights[np.cumsum(sizes) - sizes] = 0.5
     return weights
 
