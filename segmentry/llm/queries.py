@@ -122,6 +122,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op6_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents
+        ), b AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark
+        ), windows AS (
+            SELECT DISTINCT item, size, array_to_string(ws[i:i + size - 1], ' ') AS words
+            FROM (SELECT item, ws, least(10, len(ws)) AS size, unnest(range(1, len(ws) - least(10, len(ws)) + 2)) AS i FROM b WHERE len(ws) > 0)
+        ), places AS (
+            SELECT doc_id, size, i, array_to_string(ws[i:i + size - 1], ' ') AS words
+            FROM (SELECT doc_id, ws, size, unnest(range(1, len(ws) - size + 2)) AS i FROM d, (SELECT DISTINCT size FROM windows) WHERE len(ws) >= size)
+        ), found AS (
+            SELECT doc_id, item, i, places.size FROM places JOIN windows ON places.words = windows.words AND places.size = windows.size
+        ), hit AS (
+            SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS j FROM found) GROUP BY doc_id
+        ), named AS (
+            SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items FROM (SELECT DISTINCT doc_id, item FROM found) GROUP BY doc_id
+        )
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit ON d.doc_id = hit.doc_id LEFT JOIN named ON d.doc_id = named.doc_id
+    """,
+    "op9_phrase_dedup": r"""
+        WITH d AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+        ), places AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 34], ' ') AS words
+            FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 33)) AS i FROM d WHERE len(ws) >= 35)
+        ), again AS (
+            SELECT words FROM places GROUP BY words HAVING count(*) > 1
+        ), covered AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS j FROM places JOIN again ON places.words = again.words
+        ), words AS (
+            SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS j FROM d
+        ), kept AS (
+            SELECT w.doc_id, string_agg(word, ' ' ORDER BY w.j) AS text, count(*) AS n
+            FROM words w LEFT JOIN covered c ON w.doc_id = c.doc_id AND w.j = c.j WHERE c.j IS NULL GROUP BY w.doc_id
+        )
+        SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed,
+               sha256(coalesce(text, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON d.doc_id = kept.doc_id
+    """,
     "op7_warc": """
         WITH p AS (
             SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
