@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -525,9 +526,15 @@ def source_columns(spark, sf):
 
 @query
 def unload_csv(spark, sf):
-    """NULL goals and media lists survive a warehouse unload."""
+    """NULL goals, empty media lists, and lists with breaks, quotes and outer spaces survive a warehouse unload."""
     path = fresh_path(spark, "unload")
-    writers.unload_csv(V.schedules(spark, sf).select(C.SCHEDULE_SCHEMA.names), path)
+    pick, media = F.col("SCH_IDX") % 7, F.col("MDA_IDX_ARR")
+    odd = (
+        F.when(pick == 0, "").when(pick == 1, F.concat(media, F.lit('\n"next", line'))).when(pick == 2, F.concat(F.lit(' "'), media))
+        .when(pick == 3, "\\N of it").otherwise(media)
+    )
+    rows = V.schedules(spark, sf).withColumn("MDA_IDX_ARR", odd)
+    writers.unload_csv(rows.select(C.SCHEDULE_SCHEMA.names), path)
     return readers.read_lenient(spark, path, C.SCHEDULE_SCHEMA)
 
 
@@ -642,7 +649,7 @@ def levene(spark, sf):
 @query
 def welch(spark, sf):
     table = group_tests.welch(moments(spark, sf))
-    return rounded(table.filter("measure <> 'ATS'").select("factor", "measure", "k", "n", "df2", "F"), 4)
+    return rounded(table.select("factor", "measure", "k", "n", "df2", "F"), 4)
 
 
 @query
@@ -660,7 +667,7 @@ def effect_sizes(spark, sf):
     )
     return rounded(
         table.select(
-            "factor", "measure", "epsilon_squared", "eta_squared",
+            "factor", "measure", "epsilon_squared", "omega_squared", "eta_squared",
             scalar.effect_label(F.col("epsilon_squared")).alias("epsilon_label"),
             scalar.effect_label(F.col("eta_squared")).alias("eta_label"),
         )
@@ -670,14 +677,18 @@ def effect_sizes(spark, sf):
 @query
 def jarque_bera(spark, sf):
     table = group_tests.jarque_bera(moments(spark, sf))
-    return table.filter("measure <> 'ATS'").select(
+    return table.select(
         "factor", "measure", "level", "size", near(F.col("statistic") / F.col("size"), 4).alias("per_row")
     )
 
 
 @query
 def normality(spark, sf):
-    return group_tests.shapiro(group_tests.positions(group_tests.sized_counts(counted(spark, sf))))
+    """Shapiro-Wilk W and verdict of every level."""
+    table = group_tests.shapiro(group_tests.positions(group_tests.sized_counts(counted(spark, sf))))
+    return table.select(
+        "factor", "measure", "level", "size", near(F.col("statistic"), 6).alias("w"), F.col("normal").cast("int").alias("is_normal")
+    )
 
 
 @query
@@ -743,21 +754,34 @@ def range_scale(spark, sf):
 
 @query
 def bic_sweep(spark, sf):
-    return cluster.bic_sweep(cluster.scaled_features(cluster.label_means(labelled(spark, sf))), max_iter=30)
+    """Every number of clusters has a finite score; the scores themselves depend on the fit."""
+    scores = cluster.bic_sweep(cluster.scaled_features(cluster.label_means(labelled(spark, sf))))
+    is_scored = F.col("bic").isNotNull() & ~F.isnan("bic") & (F.abs("bic") < float("inf"))
+    return scores.select(F.col("k").cast("long").alias("k"), is_scored.cast("int").alias("is_scored"))
 
 
 def clustered_labels(spark: SparkSession, sf: str) -> DataFrame:
-    return segments.cluster_labels(labelled(spark, sf), k=3, max_iter=30)[1]
+    """Labels with the cluster of the best-scored mixture."""
+    return segments.cluster_labels(labelled(spark, sf))[1]
 
 
 @query
 def cluster_assign(spark, sf):
-    return clustered_labels(spark, sf).drop("features", "PCA_x", "PCA_y")
+    """Best number of clusters, then the assignment: every label with all means has one of at most ten clusters."""
+    rows = clustered_labels(spark, sf).drop("features", "PCA_x", "PCA_y")
+    return rounded(rows.withColumn("is_in_range", F.col("GMM_CLUSTER").between(0, 9).cast("int")).drop("GMM_CLUSTER"))
 
 
 @query
 def projection_2d(spark, sf):
-    return clustered_labels(spark, sf).select("MASTER_LABEL", "GMM_CLUSTER", "PCA_x", "PCA_y")
+    """The two axes are centred, uncorrelated, and ordered by spread."""
+    rows = clustered_labels(spark, sf)
+    return rows.agg(
+        F.count(F.lit(1)).alias("n"),
+        near(F.abs(F.avg("PCA_x"))).alias("mean_x"), near(F.abs(F.avg("PCA_y"))).alias("mean_y"),
+        near(F.abs(F.covar_pop("PCA_x", "PCA_y"))).alias("covariance"),
+        (F.var_pop("PCA_x") >= F.var_pop("PCA_y")).cast("int").alias("is_ordered"),
+    )
 
 
 @query
@@ -817,7 +841,7 @@ def stable_split_sizes(spark, sf):
 
 
 def clustered(spark: SparkSession, sf: str) -> DataFrame:
-    return cut(cluster.attach_cluster(labelled(spark, sf), clustered_labels(spark, sf)))
+    return cluster.attach_cluster(labelled(spark, sf), clustered_labels(spark, sf))
 
 
 # A high learning rate and little patience keep the checks short; every fit still ends by its own patience.
@@ -826,25 +850,48 @@ QUICK = regress.Search(trials=1, depth=(3, 4), rate=(0.3, 0.5), patience=3, para
 
 @query
 def fit_predict(spark, sf):
-    rows = clustered(spark, sf)
-    return regress.predict(rows, regress.fit_models(regress.condition_cells(rows), QUICK))
+    """Every condition of every quarter has all three predictions, inside the range that trees of means can give."""
+    rows = by_quarter(spark, sf)
+    statistics = cut(regress.cell_statistics(rows))
+    got = regress.predict(statistics, regress.fit_models(statistics.filter("n > 0"), QUICK))
+    missing = reduce(lambda a, b: a | b, [F.col(f"Pred_{n}").isNull() for n in C.PREDICTION_NAMES.values()])
+    return got.groupBy("GMM_CLUSTER").agg(F.count(F.lit(1)).alias("n"), F.sum(missing.cast("int")).alias("n_missing"))
 
 
 @query
 def loss_curve(spark, sf):
-    return regress.fit_models(regress.condition_cells(clustered(spark, sf)), QUICK).curve_table(spark)
+    """Each curve ends `patience` trees after its best one, or at the budget; training and validation have equal length."""
+    cells = regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout())
+    curves = regress.fit_models(cells, QUICK).curve_table(spark)
+    lengths = curves.groupBy("GMM_CLUSTER", "measure").pivot("metric", ["train_rmse", "val_rmse"]).agg(
+        F.count(F.lit(1)).alias("n"), F.min_by("step", F.struct("value", "step")).alias("best")
+    )
+    by_patience = F.col("val_rmse_n") == F.col("val_rmse_best") + 1 + QUICK.patience
+    return lengths.select(
+        "GMM_CLUSTER", "measure",
+        (by_patience | (F.col("val_rmse_n") == QUICK.max_iter)).cast("int").alias("ends_right"),
+        (F.col("train_rmse_n") == F.col("val_rmse_n")).cast("int").alias("same_length"),
+    )
 
 
 @query
 def tuning(spark, sf):
+    """Three trials per model in the ranges searched; the objective follows from its parts."""
     search = regress.Search(trials=3, depth=(3, 5), rate=(0.3, 0.5), patience=2, parallelism=8)
-    return regress.fit_models(regress.condition_cells(clustered(spark, sf)), search).trial_table(spark)
+    cells = regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout())
+    trials = regress.fit_models(cells, search).trial_table(spark)
+    again = F.col("val_rmse") + search.gap_weight * F.col("rmse_gap")
+    return trials.select(
+        "GMM_CLUSTER", "measure", F.col("trial").cast("long").alias("trial"),
+        (F.col("depth").between(*search.depth) & F.col("learning_rate").between(*search.rate)).cast("int").alias("is_in_range"),
+        (F.abs(F.col("total_score") - again) < 1e-12).cast("int").alias("adds_up"),
+    )
 
 
 @query
 def model_roundtrip(spark, sf):
     """Largest difference between predictions of models before and after saving."""
-    rows = clustered(spark, sf)
+    rows = by_quarter(spark, sf)
     fitted = regress.fit_models(regress.condition_cells(rows), QUICK)
     path = fresh_path(spark, "models")
     fitted.save(path)
@@ -878,12 +925,25 @@ def observed_master(spark, sf):
 
 @query
 def pred_top10(spark, sf):
-    rows = clustered(spark, sf)
+    """Ranks 1 to 10 of every quarter and goal, by falling score."""
+    rows = by_quarter(spark, sf)
     fitted = regress.fit_models(regress.condition_cells(rows), QUICK)
-    return rank.top_conditions(rank.scale_0_100(regress.predict(rows, fitted)))
+    top = cut(rank.top_conditions(rank.scale_0_100(regress.predict(rows, fitted))))
+    ahead = F.lag("score").over(W.partitionBy("GMM_CLUSTER", "goal").orderBy("Rank"))
+    return top.withColumn("falls", F.coalesce(F.col("score") <= ahead, F.lit(True))).groupBy("GMM_CLUSTER", "goal").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("Rank").cast("long").alias("ranks"), F.min(F.col("falls").cast("int")).alias("falls")
+    )
 
 
 @query
 def master_table(spark, sf):
-    """The last report: tests aside, the whole chain from raw tables to the best conditions."""
-    return segments.best_conditions(clustered(spark, sf), QUICK)[1]
+    """The last report: tests aside, the chain from labels to the best conditions, with the best-scored mixture.
+
+    Shown per goal: how many labels its rows are ranked for, and whether ranks and scaled values are in range.
+    """
+    table = segments.best_conditions(clustered(spark, sf), QUICK)[1]
+    scaled = [F.col(f"{n}_scaled").between(-1e-9, 100 + 1e-9) | F.col(f"{n}_scaled").isNull() for n in ("CVR", "EFF", "ATS")]
+    return table.groupBy("Metric_Type").agg(
+        F.max("Rank").cast("long").alias("last_rank"),
+        F.min((reduce(lambda a, b: a & b, scaled) & F.col("Rank").between(1, 10)).cast("int")).alias("is_in_range"),
+    )
