@@ -67,6 +67,17 @@ def replace_runs(runs: DataFrame, path: str, experiment: str) -> None:
     )
 
 
+def log_rows(
+    rows: DataFrame, keys: Sequence[str], metrics: Sequence[str] = (), texts: Sequence[str] = (), step: str | None = None
+) -> DataFrame:
+    """Rows of any table in the one shape of the run log: `run`, `metric`, `step`, `value`, `text`."""
+    number, word = F.lit(None).cast("double"), F.lit(None).cast("string")
+    pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"), word.alias("text")) for m in metrics]
+    pairs += [F.struct(F.lit(t).alias("metric"), number.alias("value"), F.col(t).cast("string").alias("text")) for t in texts]
+    at = F.col(step).cast("int") if step else F.lit(None).cast("int")
+    return rows.select(F.concat_ws("/", *keys).alias("run"), at.alias("step"), F.inline(F.array(*pairs)))
+
+
 def unpivot_metrics(runs: DataFrame, keys: Sequence[str], metrics: Sequence[str]) -> DataFrame:
     """Long run log: one row per metric."""
     pairs = [F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics]

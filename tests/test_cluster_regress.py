@@ -223,8 +223,9 @@ def test_search_is_seeded_and_in_range():
     assert all(4 <= d <= 8 and 0.005 <= r <= 0.05 for d, r in found)
 
 
-def test_whole_chain(spark):
-    """From facts to the master table: all rows labelled, tested, clustered, fitted and ranked."""
+def test_whole_chain(spark, tmp_path):
+    """From facts to the master table: all rows labelled, tested, clustered, fitted, ranked and logged."""
+    log = str(tmp_path / "runs")
     rng = random.Random(9)
     data = []
     for i in range(1500):
@@ -237,10 +238,15 @@ def test_whole_chain(spark):
         "LIMIT_TYPE string, SHAPE string, START_TIME string, CVR double, `1000_W_EFFICIENCY` double, ATS double",
     ))
     done = segments.run_segments(
-        table, regress.Search(trials=1, max_iter=3, depth=(2, 3), parallelism=6), k=2, max_iter=20
+        table, regress.Search(trials=1, max_iter=3, depth=(2, 3), parallelism=6), max_iter=20, log=log
     )
     assert list(done.levels) == ["OS_TYPE", "START_QUARTER"]
     assert done.labels.count() == 12 and done.facts.count() == 1500
     best = done.best.collect()
     assert {r.Metric_Type for r in best} == {"이익", "비용", "안정성"}
     assert max(r.Rank for r in best) <= 10
+    assert segments.tests_from_log(spark, log).count() == 15
+    assert {r.experiment for r in spark.read.parquet(log).select("experiment").distinct().collect()} == {
+        "group_tests", "mixture", "trials", "curves"
+    }
+    assert spark.read.parquet(log).filter("experiment = 'mixture'").agg(F.countDistinct("step")).first()[0] == 9
