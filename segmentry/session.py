@@ -5,7 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,9 +40,29 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_work_folders: list[str] = []
+
+
+@contextmanager
+def work_folder(spark: SparkSession) -> Iterator[str]:
+    """Inside the block all written tables lie in one folder of the shared one, which is removed at its end.
+
+    Keep what is to stay by writing it elsewhere before the block ends: frames that were cut inside read these tables.
+    """
+    path = fresh_path(spark, "work")
+    _work_folders.append(path)
+    try:
+        yield path
+    finally:
+        _work_folders.remove(path)
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
-    """A new, unused path under the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unused path under the shared folder, or under the innermost work folder."""
+    base = _work_folders[-1] if _work_folders else shared_dir(spark).rstrip("/")
+    return f"{base}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame, partition_by: Sequence[str] = ()) -> DataFrame:
