@@ -154,12 +154,13 @@ def occurrences(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) ->
 
 
 def candidates(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) -> DataFrame:
-    """The occurrences whose anchor occurs at least twice, with `uniform`: all its contexts are equal. Written once."""
+    """The occurrences whose anchor occurs at least twice. Written once.
+
+    The anchors are written first, so that both sides of the join come straight from a shuffle and adaptive
+    execution can split the part of an anchor that many documents share.
+    """
     found = occurrences(texts, tokenizer, window, k)
-    keys = (
-        found.groupBy("key").agg(F.count("*").alias("n"), F.min("context").alias("low"), F.max("context").alias("high"))
-        .filter("n > 1").select("key", (F.col("low") == F.col("high")).alias("uniform"))
-    )
+    keys = cut(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
     return cut(found.join(keys, "key"))
 
 

@@ -23,11 +23,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.llm import repeats
-from segmentry.llm.common import as_bytes, map_texts, picked
+from segmentry.llm.common import as_bytes, column, map_texts, picked
 from segmentry.llm.suffixes import Disk, suffix_groups
+from segmentry.session import cut
 
-#: Bytes of the anchor; at least as long as the shortest strings that are worth telling apart, at most `length`.
-ANCHOR = 16
+#: Bytes of the anchor. Shards for each shuffle partition: small ones need less disk at a time.
+ANCHOR, SHARDS = 32, 2
 
 
 def _byte_tokenizer():
@@ -65,15 +66,12 @@ def later_windows(disk: Disk, contexts: list[np.ndarray], ids: np.ndarray, start
     sizes = np.fromiter(map(len, contexts), np.int64)
     begin = np.cumsum(sizes + 1) - (sizes + 1)
     text = disk.array(int((sizes + 1).sum()) + 1, np.uint16)
-    owner = disk.array(len(text), np.int32)
-    text[-1], owner[-1] = 0, len(contexts)
-    for i, (at, context) in enumerate(zip(begin.tolist(), contexts, strict=True)):
-        text[at : at + len(context)] = context
-        text[at : at + len(context)] += 2
+    text[-1] = 0
+    for at, context in zip(begin.tolist(), contexts, strict=True):
+        text[at : at + len(context)] = context.astype(np.uint16) + 2
         text[at + len(context)] = 1
-        owner[at : at + len(context) + 1] = i
     for positions, prefixes in suffix_groups(disk, text, 258, length):
-        own = owner[positions]
+        own = np.searchsorted(begin, positions, side="right") - 1
         inner = positions - begin[own]
         is_window = inner + length <= sizes[own]
         positions, own, inner = positions[is_window], own[is_window], inner[is_window]
@@ -99,8 +97,7 @@ def later_spans(contexts: DataFrame, length: int) -> DataFrame:
         with Disk() as disk:
             texts, ids, starts = [], [], []
             for batch in batches:  # the bytes go to disk, batch after batch
-                column = batch.column("context").cast(pa.binary())
-                raw = [np.frombuffer(x, np.uint8) for x in column.to_pylist()]
+                raw = [np.frombuffer(x, np.uint8) for x in batch.column("context").cast(pa.binary()).to_pylist()]
                 if raw:
                     kept = disk.keep(np.concatenate(raw))
                     edges = np.cumsum([len(x) for x in raw])
@@ -123,38 +120,86 @@ def later_spans(contexts: DataFrame, length: int) -> DataFrame:
                     ["doc_id", "start", "end"],
                 )
 
-    return contexts.repartition("key").mapInArrow(shard, "doc_id long, start long, end long")
+    n = SHARDS * int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return contexts.repartition(n, "key").mapInArrow(shard, "doc_id long, start long, end long")
 
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """`doc_id`, `start`, `end` of strings that also start earlier; spans may overlap."""
     found = repeats.candidates(texts, _byte_tokenizer, length, min(ANCHOR, 1 << (length.bit_length() - 1)))
-    found = found.withColumns(repeats.unpacked(F.col("place")))
-    firsts = found.groupBy("key", "context").agg(F.min("doc_id").alias("first_id"))
+    # Written, as it is used twice and joined with rows of hot contexts.
+    firsts = cut(found.groupBy("key", "context").agg(F.min("doc_id").alias("first_id")))
+    several = firsts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
     found = found.join(firsts, ["key", "context"])
-    is_first = (F.col("doc_id") == F.col("first_id")) & ~F.col("again")
-    whole = found.filter(~is_first).select("doc_id", "start", (F.col("start") + F.col("windows") + (length - 1)).alias("end"))
-    contexts = cut_contexts(found.filter(is_first & ~F.col("uniform")).select("key", "doc_id", "place"), texts, length)
-    return whole.unionByName(later_spans(contexts, length))
+    run = repeats.unpacked(F.col("place"))
+    is_first = (F.col("doc_id") == F.col("first_id")) & ~run["again"]
+    whole = found.filter(~is_first).select(
+        "doc_id", run["start"].alias("start"), (run["start"] + run["windows"] + (length - 1)).alias("end")
+    )
+    wanted = found.filter(is_first).select("key", "doc_id", "place").join(several, "key")
+    return whole.unionByName(later_spans(cut_contexts(wanted, texts, length), length))
+
+
+def _kept(text: bytes, spans: list | None) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The bytes outside of the spans, and the spans as disjoint ones in order."""
+    begin = np.array([x["start"] for x in spans or ()], np.int64)
+    end = np.array([x["end"] for x in spans or ()], np.int64)
+    begin, end = repeats.covered_spans(begin, end)
+    edges = [0, *np.column_stack((begin, end)).ravel().tolist(), len(text)]
+    return b"".join([text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)]), begin, end
+
+
+def _gathered(texts: DataFrame, length: int) -> DataFrame:
+    """`doc_id`, `_spans`: all spans of a document, which may overlap."""
+    return repeated_spans(texts, length).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("_spans"))
+
+
+def cleaned(docs: DataFrame, length: int = 100) -> DataFrame:
+    """The documents with all their columns; `text` without the repeated strings, and `n_chars`, if there, counted again.
+
+    Parts of letters that are left at the cuts go. Untouched rows stay as they are, NULL texts too.
+    """
+    numbered = repeats.with_ids(docs)
+    columns = docs.columns  # carried by number, whatever their names are
+    text_at, size_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
+    rows = numbered.join(_gathered(picked(numbered), length), "doc_id", "left").select(
+        *[column(c).alias(f"c{i}") for i, c in enumerate(columns)], "_spans"
+    )
+
+    def start():
+        def work(batch):
+            arrays = [batch.column(i) for i in range(len(columns))]
+            spans, texts = batch.column("_spans"), arrays[text_at].to_pylist()
+            changed = [i for i, own in enumerate(spans.is_valid().to_pylist()) if own]
+            for i in changed:
+                texts[i] = _kept(texts[i].encode(), spans[i].as_py())[0].decode("utf-8", "ignore")
+            arrays[text_at] = pa.array(texts, arrays[text_at].type)
+            if size_at is not None:
+                sizes = arrays[size_at].to_pylist()
+                for i in changed:
+                    sizes[i] = len(texts[i])
+                arrays[size_at] = pa.array(sizes, arrays[size_at].type)
+            yield pa.RecordBatch.from_arrays(arrays, [f"c{i}" for i in range(len(columns))])
+
+        return work
+
+    back = map_texts(rows, rows.drop("_spans").schema, start).select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(columns)])
+    return repeats.without_ids(back).select(*map(column, columns))
 
 
 def deduplicate(docs: DataFrame, length: int = 100, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """`doc_id`, `n_bytes`, `spans` (array of removed [start, end) in bytes, disjoint, in order), `kept` (binary)."""
     texts = repeats.with_ids(picked(docs, id_column, text_column))
-    spans = repeated_spans(texts, length).groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    rows = texts.join(spans, "doc_id", "left")
+    rows = texts.join(_gathered(texts, length), "doc_id", "left")
 
     def start():
         def work(batch):
             sizes, kept, removed = [], [], []
-            for text, own in zip(as_bytes(batch), batch.column("spans").to_pylist(), strict=True):
+            for text, own in zip(as_bytes(batch), batch.column("_spans").to_pylist(), strict=True):
                 sizes.append(len(text))
-                begin = np.array([x["start"] for x in own or ()], np.int64)
-                end = np.array([x["end"] for x in own or ()], np.int64)
-                begin, end = repeats.covered_spans(begin, end)
+                rest, begin, end = _kept(text, own)
                 removed.append([{"start": i, "end": j} for i, j in zip(begin.tolist(), end.tolist(), strict=True)])
-                edges = [0, *np.column_stack((begin, end)).ravel().tolist(), len(text)]
-                kept.append(b"".join([text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)]))
+                kept.append(rest)
             span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(span)), pa.array(kept, pa.binary())],

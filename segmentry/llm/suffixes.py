@@ -38,7 +38,7 @@ class Disk:
     def array(self, n: int, dtype) -> np.ndarray:
         self._n += 1
         path = os.path.join(self._folder.name, str(self._n))
-        return np.memmap(path, dtype, "w+", shape=(max(n, 1),))[:n]
+        return np.memmap(path, dtype, "w+", shape=(max(n, 1),)).view(np.ndarray)[:n]
 
     def keep(self, values: np.ndarray) -> np.ndarray:
         out = self.array(len(values), values.dtype)
@@ -245,7 +245,7 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
     def pair(a: int, b: int) -> int:
         return int(common_prefixes(text, np.array([a]), np.array([b]), limit)[0])
 
-    def passes(seeds, prefixes, limit):
+    def passes(disk, seeds, prefixes, limit):
         up = _induce(disk, text, large, seeds, prefixes, alphabet, limit, False, pair)
         down_prefixes = None
         if limit:  # going down, a tuple's neighbour before it is the next larger one
@@ -254,10 +254,12 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
         down = _induce(disk, text, small, up.positions[::-1], down_prefixes, alphabet, limit, True, pair)
         return up, down
 
-    by_symbol = leftmost[np.argsort(text[leftmost], kind="stable")]
-    _, down = passes(disk.keep(by_symbol), None, 0)
-    ordered = down.positions[::-1]
-    ordered = np.concatenate(([n - 1], ordered[is_leftmost[ordered]])).astype(np.int32)
+    with Disk() as first_disk:  # the arrays of the first round go when the substrings are sorted
+        by_symbol = first_disk.keep(leftmost[np.argsort(text[leftmost], kind="stable")])
+        down = passes(first_disk, by_symbol, None, 0)[1]
+        ordered = down.positions[::-1]
+        ordered = np.concatenate(([n - 1], ordered[is_leftmost[ordered]])).astype(np.int32)
+        del by_symbol, down
     # Names: equal neighbours among the sorted substrings share one. A substring ends with the next leftmost S.
     place = np.searchsorted(leftmost, ordered)
     lengths = np.append(np.diff(leftmost), 0)[place] + 1
@@ -273,15 +275,16 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
         live = live_long[same[live_long]]
     names = np.concatenate(([0], np.cumsum(~same)))
     if names[-1] + 1 < len(names):
-        reduced = disk.array(len(leftmost), np.int32)
-        reduced[place] = names
-        ordered = leftmost[_sort(disk, reduced, int(names[-1]) + 1, 0)]
+        with Disk() as disk_below:
+            reduced = disk_below.array(len(leftmost), np.int32)
+            reduced[place] = names
+            ordered = leftmost[_sort(disk_below, reduced, int(names[-1]) + 1, 0)]
     seeds = disk.keep(np.asarray(ordered, np.int32))
     prefixes = None
     if limit:
         prefixes = disk.array(len(seeds), np.uint8)
         prefixes[1:] = common_prefixes(text, seeds[:-1].astype(np.int64), seeds[1:].astype(np.int64), limit)
-    up, down = passes(seeds, prefixes, limit)
+    up, down = passes(disk, seeds, prefixes, limit)
     if limit:
         return _by_symbol(up, down, alphabet, pair)
     out = disk.array(n, np.int32)
