@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from segmentry.llm import repeats
 from segmentry.llm.common import as_bytes, map_texts, picked
+from segmentry.session import cut
 
 #: Words of the anchor, and words whose hashes a task remembers.
 ANCHOR, CACHE_WORDS, CACHE_LENGTH = 8, 300_000, 40
@@ -168,10 +169,10 @@ def recurring_spans(texts: DataFrame, window: int) -> DataFrame:
     """`doc_id`, `start`, `end` in words, for every place of every recurring passage; spans may overlap."""
     found = repeats.candidates(texts, word_tokenizer, window, min(ANCHOR, 1 << (window.bit_length() - 1)))
     # Each distinct context once, from its first place in the first document that holds it.
-    counted = found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id"))
+    counted = cut(found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
     firsts = found.filter(~repeats.unpacked(F.col("place"))["again"]).join(counted, ["key", "context", "doc_id"])
     contexts = cut_contexts(firsts.select("key", "context", "n", "doc_id", "place"), texts, window)
-    spans = locate(contexts, window).groupBy("key", "context").agg(F.first("spans").alias("spans"))
+    spans = cut(locate(contexts, window).groupBy("key", "context").agg(F.first("spans").alias("spans")))
     start = F.col("place_start") + F.col("span.start")
     return (
         found.join(spans, ["key", "context"])
