@@ -38,18 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the strings of 100 bytes that start earlier; parts of letters at the cuts go, empty texts stay."""
-    docs = repeats.with_ids(docs)
-    kept = suffixdedup.deduplicate(docs, length=100).filter(F.size("spans") > 0)
-    kept = kept.select("doc_id", F.col("kept").cast("string").alias("_kept")).dropDuplicates(["doc_id"])
-    whole_letters = F.coalesce(
-        F.try_validate_utf8("_kept"), F.regexp_replace(F.make_valid_utf8("_kept"), "\ufffd", "")
-    )
-    joined = docs.join(kept, "doc_id", "left")
-    text = F.when(F.col("_kept").isNull(), F.col("text")).otherwise(whole_letters)
-    changed = joined.withColumn("text", text)
-    if "n_chars" in docs.columns:
-        changed = changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return repeats.without_ids(changed).select(*map(column, docs.columns))
+    return suffixdedup.cleaned(docs, length=100)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
