@@ -6,6 +6,10 @@ recur, compiles the passages they form into an Aho-Corasick automaton over words
 streams all its contexts through the automaton to locate every occurrence of every passage. The places found then
 go back to every document that holds the context, so that all windows of all documents are judged.
 
+The contexts of a hot anchor (more than HOT_CONTEXTS distinct ones) never meet: each is dealt by its own hash, its
+windows are counted over all tasks with partial sums, and the windows that recur go back to the contexts, which are
+then located in blocks of bounded size.
+
 Defined cases: NULL text has no words; texts shorter than a window stay whole; rows that repeat another row repeat
 all its windows; rows that share an id hold the same text; an empty table gives an empty
 table; other columns are ignored.
@@ -28,8 +32,11 @@ from segmentry.session import cut
 
 #: Words of the anchor, and words whose hashes a task remembers.
 ANCHOR, CACHE_WORDS, CACHE_LENGTH = 8, 300_000, 40
-#: Words of the contexts that one automaton holds; the contexts of one anchor are never parted.
+#: Words of the contexts that one automaton holds; the contexts of an anchor are parted only if it is hot.
 BLOCK_WORDS = 400_000
+#: Distinct contexts of an anchor that one task compares in memory; the windows of other anchors are counted by Spark.
+HOT_CONTEXTS = 256
+SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
 def word_tokenizer():
@@ -53,27 +60,32 @@ def word_tokenizer():
     return tokens
 
 
+def window_digests(words: list[bytes], window: int) -> list[bytes]:
+    joined = b" ".join(words)
+    edges = np.cumsum([0, *[len(w) + 1 for w in words]])
+    return [
+        xxhash.xxh3_128_digest(joined[i:j])
+        for i, j in zip(edges[: len(words) - window + 1].tolist(), (edges[window:] - 1).tolist(), strict=True)
+    ]
+
+
+def passages_of(context: int, is_recurring: list[bool], window: int) -> list[tuple[int, int, int]]:
+    edges = np.flatnonzero(np.diff(np.array([0, *is_recurring, 0], np.int8)))
+    return [(context, a, b + window - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+
+
 def recurring(contexts: list[list[bytes]], counts: list[int], window: int) -> list[tuple[int, int, int]]:
     """Passages of one anchor's distinct contexts: context, first word, end. Every window in them occurs elsewhere."""
     if len(contexts) == 1:
         return [(0, 0, len(contexts[0]))] if counts[0] > 1 else []
-    seen: dict[int, int] = {}
+    seen: dict[bytes, int] = {}
     windows = []
     for words, n in zip(contexts, counts, strict=True):
-        joined = b" ".join(words)
-        edges = np.cumsum([0, *[len(w) + 1 for w in words]])
-        own = [
-            xxhash.xxh3_128_intdigest(joined[i:j])
-            for i, j in zip(edges[: len(words) - window + 1].tolist(), (edges[window:] - 1).tolist(), strict=True)
-        ]
+        own = window_digests(words, window)
         windows.append(own)
         for h in own:
             seen[h] = seen.get(h, 0) + n
-    out = []
-    for i, own in enumerate(windows):
-        edges = np.flatnonzero(np.diff(np.array([0, *[seen[h] > 1 for h in own], 0], np.int8)))
-        out += [(i, a, b + window - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
-    return out
+    return [p for i, own in enumerate(windows) for p in passages_of(i, [seen[h] > 1 for h in own], window)]
 
 
 def located(contexts: list[list[bytes]], passages: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
@@ -97,29 +109,53 @@ def located(contexts: list[list[bytes]], passages: list[tuple[int, int, int]]) -
             yield i, spans
 
 
-def _blocks(batches) -> Iterator[list[tuple[int, int, int, list[bytes]]]]:
-    """Rows (key, context, n, words) in blocks of whole keys; rows come sorted by key."""
-    block, size, key = [], 0, None
+def _blocks(batches) -> Iterator[tuple[bool, list[tuple[int, int, int, list[bytes]]]]]:
+    """Whether they are of hot anchors, and rows (key, context, n, words), which come sorted by key.
+
+    Blocks hold whole keys, or any contexts of hot ones.
+    """
+    block, size, last = [], 0, (None, None)
     for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("key", "context", "n", "words")]
-        for k, c, n, words in zip(*columns, strict=True):
-            if k != key and size >= BLOCK_WORDS:
-                yield block
+        columns = [batch.column(c).to_pylist() for c in ("key", "context", "n", "words", "hot")]
+        for k, c, n, words, hot in zip(*columns, strict=True):
+            if block and (hot != last[1] or size >= BLOCK_WORDS and (hot or k != last[0])):
+                yield last[1], block
                 block, size = [], 0
             words = words.split(b" ")
             block.append((k, c, n, words))
             size += len(words)
-            key = k
+            last = k, hot
     if block:
-        yield block
+        yield last[1], block
+
+
+def _located_columns(block: list[tuple], texts: list[list[bytes]], passages: list[tuple[int, int, int]]) -> list[pa.Array]:
+    found = list(located(texts, passages))
+    return [
+        pa.array([block[i][0] for i, _ in found], pa.int64()),
+        pa.array([block[i][1] for i, _ in found], pa.int64()),
+        pa.array([[{"start": a, "end": b} for a, b in spans] for _, spans in found], SPANS),
+    ]
 
 
 def locate(contexts: DataFrame, window: int) -> DataFrame:
-    """`key`, `context`, `spans` (words of the context under recurring windows), shard by shard."""
+    """`key`, `context`, `spans` (words of the context under recurring windows), shard by shard.
+
+    For contexts of hot anchors, which all tasks share, `spans` is NULL and `n`, `words` and the digests of the
+    `windows` are given instead.
+    """
 
     def shard(batches):
-        for block in _blocks(batches):
+        names = ["key", "context", "spans", "n", "words", "windows"]
+        for is_hot, block in _blocks(batches):
             texts = [row[3] for row in block]
+            if is_hot:
+                columns = [pa.array([row[i] for row in block], pa.int64()) for i in (0, 1, 2)]
+                columns.insert(2, pa.nulls(len(block), SPANS))
+                columns.append(pa.array([b" ".join(t) for t in texts], pa.binary()))
+                columns.append(pa.array([window_digests(t, window) for t in texts], pa.list_(pa.binary())))
+                yield pa.RecordBatch.from_arrays(columns, names)
+                continue
             passages, at = [], 0
             while at < len(block):
                 end = at
@@ -127,24 +163,51 @@ def locate(contexts: DataFrame, window: int) -> DataFrame:
                     end += 1
                 passages += [(at + i, a, b) for i, a, b in recurring(texts[at:end], [row[2] for row in block[at:end]], window)]
                 at = end
-            found = list(located(texts, passages))
-            span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([block[i][0] for i, _ in found], pa.int64()),
-                    pa.array([block[i][1] for i, _ in found], pa.int64()),
-                    pa.array([[{"start": a, "end": b} for a, b in spans] for _, spans in found], span),
-                ],
-                ["key", "context", "spans"],
-            )
+            columns = _located_columns(block, texts, passages)
+            size = len(columns[0])
+            columns += [pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.list_(pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "key long, context long, spans array<struct<start: int, end: int>>, n long, words binary, windows array<binary>"
+    # The contexts of a hot anchor are dealt one by one.
+    salt = F.when(F.col("hot"), F.col("context")).otherwise(F.lit(0))
+    return contexts.repartition("key", salt).sortWithinPartitions("key", "context").mapInArrow(shard, schema)
+
+
+def locate_hot(hot: DataFrame, window: int) -> DataFrame:
+    """`key`, `context`, `spans` of the distinct `key`, `context`, `n`, `words`, `windows` of hot anchors.
+
+    The recurring windows are written first, so that both sides of the join come straight from a shuffle and
+    adaptive execution can split the part of a window that many contexts share.
+    """
+    each = hot.select("key", "context", "n", F.posexplode("windows").alias("at", "window"))
+    again = cut(each.groupBy("key", "window").agg(F.sum("n").alias("n")).filter("n > 1").select("key", "window"))
+    places = each.join(again, ["key", "window"]).groupBy("key", "context").agg(F.collect_set("at").alias("places"))
+    rows = hot.select("key", "context", "words", F.size("windows").alias("n")).join(places, ["key", "context"])
+    rows = rows.withColumn("hot", F.lit(True))
+
+    def shard(batches):
+        places: list[list[int]] = []
+
+        def noted():
+            for batch in batches:
+                places.extend(batch.column("places").to_pylist())
+                yield batch
+
+        for _, block in _blocks(noted()):
+            own, places[: len(block)] = places[: len(block)], []
+            passages = []
+            for i, (row, at) in enumerate(zip(block, own, strict=True)):
+                at = set(at)
+                passages += passages_of(i, [k in at for k in range(row[2])], window)
+            yield pa.RecordBatch.from_arrays(_located_columns(block, [row[3] for row in block], passages), ["key", "context", "spans"])
 
-    schema = "key long, context long, spans array<struct<start: int, end: int>>"
-    return contexts.repartition("key").sortWithinPartitions("key", "context").mapInArrow(shard, schema)
+    return rows.mapInArrow(shard, "key long, context long, spans array<struct<start: int, end: int>>")
 
 
 def cut_contexts(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """`key`, `context`, `n`, `words` (joined by a space) for each wanted `key`, `context`, `n`, `doc_id`, `place`."""
-    per_document = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "key", "context", "n")).alias("runs"))
+    """`key`, `context`, `n`, `hot`, `words` (joined by a space) for each wanted `key`, `context`, `n`, `hot`, `doc_id`, `place`."""
+    per_document = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "key", "context", "n", "hot")).alias("runs"))
     rows = texts.join(per_document, "doc_id", "left")
 
     def start():
@@ -155,14 +218,15 @@ def cut_contexts(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
                 for run in own or ():
                     at = run["place"] >> 16
                     passage = b" ".join(words[at : at + (run["place"] >> 8 & 255) + window - 1])
-                    out.append((run["key"], run["context"], run["n"], passage))
-            columns = list(zip(*out, strict=True)) or [()] * 4
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["key", "context", "n", "words"])
+                    out.append((run["key"], run["context"], run["n"], run["hot"], passage))
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+            names = ["key", "context", "n", "hot", "words"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         return work
 
-    return map_texts(rows, "key long, context long, n long, words binary", start)
+    return map_texts(rows, "key long, context long, n long, hot boolean, words binary", start)
 
 
 def recurring_spans(texts: DataFrame, window: int) -> DataFrame:
@@ -170,9 +234,14 @@ def recurring_spans(texts: DataFrame, window: int) -> DataFrame:
     found = repeats.candidates(texts, word_tokenizer, window, min(ANCHOR, 1 << (window.bit_length() - 1)))
     # Each distinct context once, from its first place in the first document that holds it.
     counted = cut(found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
+    hot = cut(counted.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_CONTEXTS).select("key", F.lit(True).alias("hot")))
+    counted = counted.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     firsts = found.filter(~repeats.unpacked(F.col("place"))["again"]).join(counted, ["key", "context", "doc_id"])
-    contexts = cut_contexts(firsts.select("key", "context", "n", "doc_id", "place"), texts, window)
-    spans = cut(locate(contexts, window).groupBy("key", "context").agg(F.first("spans").alias("spans")))
+    contexts = cut_contexts(firsts.select("key", "context", "n", "hot", "doc_id", "place"), texts, window)
+    first = [F.first(c).alias(c) for c in ("spans", "n", "words", "windows")]
+    settled = cut(locate(contexts, window).groupBy("key", "context").agg(*first))
+    rest = cut(locate_hot(settled.filter("windows IS NOT NULL").drop("spans"), window))
+    spans = settled.filter("windows IS NULL").select("key", "context", "spans").unionByName(rest)
     start = F.col("place_start") + F.col("span.start")
     return (
         found.join(spans, ["key", "context"])

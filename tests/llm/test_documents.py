@@ -1,6 +1,7 @@
 """Each operator against a plain calculation of its definition, over copies, odd texts, repeated rows and extra columns."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -10,7 +11,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from llm_cases import table
+from llm_cases import prose, table
 from segmentry.llm import bpe, components, decontam, ordermin, phrasededup, repeats, simhash, suffixdedup, suffixes
 
 
@@ -188,6 +189,33 @@ def test_phrase_dedup_equals_the_plain_count(spark, cases, monkeypatch, window,
         assert (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) == expected[r.doc_id], r.doc_id
 
 
+def test_contexts_of_a_hot_anchor_are_not_held_together(spark, monkeypatch):
+    """A passage with other words around it in each document: workers see a bounded part of its contexts at a time."""
+    rng = random.Random(5)
+    passage = prose(rng, 40)
+    rows = [(i, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for i in range(120)]
+    rows += [(200, rows[0][1]), (201, prose(rng, 90)), (202, f"{passage} {passage}")]
+    located, recurring = phrasededup.located, phrasededup.recurring
+
+    def bounded(contexts, passages):
+        assert sum(map(len, contexts)) <= 400 + 8 * 62
+        yield from located(contexts, passages)
+
+    def few(contexts, counts, window):
+        assert len(contexts) <= 8
+        return recurring(contexts, counts, window)
+
+    monkeypatch.setattr(phrasededup, "HOT_CONTEXTS", 8, raising=False)
+    monkeypatch.setattr(phrasededup, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(phrasededup, "located", bounded)
+    monkeypatch.setattr(phrasededup, "recurring", few)
+    found = phrasededup.deduplicate(table(spark, rows), 35).collect()
+    expected = plain_phrase_dedup(rows, 35)
+    assert len(found) == len(rows) and sum(len(r.spans) > 0 for r in found) >= 121
+    for r in found:
+        assert (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) == expected[r.doc_id], r.doc_id
+
+
 def test_runs_cover_each_window_once(monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK", 300)
     rng = np.random.default_rng(1)
