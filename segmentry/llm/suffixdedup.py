@@ -6,8 +6,9 @@ contexts, is dealt by anchor to shards. A shard writes its contexts into one tex
 suffixes by external induced sorting with common prefixes (`suffixes`). Neighbours with a common prefix of `length`
 or more are the same string; the earliest of them stays, the others are removed.
 
-An anchor's contexts meet in one shard, whose memory is bounded by the run length of the sort, not by its size. Hot
-copies never meet: counting is partially aggregated and each distinct context goes to a shard once.
+An anchor's distinct contexts meet in one shard, so time, disk and memory of a shard grow with a passage that very
+many documents share with different bytes around it. Hot copies never meet: counting is partially aggregated and each
+distinct context goes to a shard once.
 
 Defined cases: NULL text is empty; documents without an id come before all others, in an order of their own; rows
 that share an id hold the same text, and strings at the same place of one are not earlier than each other, so

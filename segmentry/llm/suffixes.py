@@ -4,7 +4,9 @@ Suffixes are L or S type (larger or smaller than the next one). The leftmost S s
 their substrings' names; all others are induced by scanning: a popped suffix pushes the one before it into a queue.
 The queue orders its suffix tuples by first symbol and, within a symbol, by arrival, which is their final order. As
 the size of each symbol's part is known, its slots lie in one file on disk, with a head per symbol in memory; pops
-and pushes move whole runs of tuples, as far as all slots are filled, so memory is bounded by the run length.
+and pushes move whole runs of tuples, as far as all slots are filled. Types and leftmost S suffixes are found run by
+run too. The order and names of the leftmost S suffixes and the suffixes of one symbol are still held in memory, so
+that a shard's memory grows with its size.
 
 The tuples also carry the common prefix with the tuple before them in their part: one more than the least value
 between the two suffixes that pushed them. Values stop at `limit`.
@@ -20,6 +22,13 @@ import numpy as np
 
 #: Tuples that are popped and pushed at a time.
 RUN = 1 << 16
+#: Longest text whose positions and names are 32-bit numbers.
+NARROW = np.iinfo(np.int32).max
+
+
+def place_type(n: int) -> type:
+    """The integer type of positions in a text of n symbols."""
+    return np.int32 if n <= NARROW else np.int64
 
 
 class Disk:
@@ -49,12 +58,12 @@ class Disk:
 class Queue:
     """Disk-backed priority queue of suffix tuples: position and common prefix, by first symbol, then arrival."""
 
-    def __init__(self, disk: Disk, sizes: np.ndarray, limit: int):
+    def __init__(self, disk: Disk, sizes: np.ndarray, limit: int, kind: type):
         self.ends = np.cumsum(sizes)
         self.heads = self.ends - sizes
         self.starts = self.heads.copy()
         n = int(self.ends[-1])
-        self.positions = disk.array(n, np.int32)
+        self.positions = disk.array(n, kind)
         self.prefixes = disk.array(n, np.uint8) if limit else None
         self.limit = limit
         self.low = np.zeros(len(sizes), np.uint8)  # least prefix scanned since the last push of each symbol
@@ -108,14 +117,18 @@ def _range_minima(tables: list[np.ndarray], first: np.ndarray, last: np.ndarray)
     return out
 
 
-def _s_types(text: np.ndarray) -> np.ndarray:
+def _s_types(disk: Disk, text: np.ndarray) -> np.ndarray:
     """Which suffixes are smaller than the next one. The last symbol is the smallest and unique."""
     n = len(text)
-    less, equal = text[:-1] < text[1:], text[:-1] == text[1:]
-    decided = np.where(equal, n, np.arange(n - 1))
-    decided = np.minimum.accumulate(decided[::-1])[::-1]
-    out = np.ones(n, bool)
-    out[:-1] = less[np.minimum(decided, n - 2)]
+    out = disk.array(n, bool)
+    out[n - 1] = following = True
+    for stop in range(n - 1, 0, -RUN):  # downwards, with the type of the suffix after the run
+        at = max(0, stop - RUN)
+        here, after = text[at:stop], text[at + 1 : stop + 1]
+        decided = np.where(here == after, stop - at, np.arange(stop - at))
+        decided = np.minimum.accumulate(decided[::-1])[::-1]
+        out[at:stop] = np.append(here < after, following)[decided]
+        following = bool(out[at])
     return out
 
 
@@ -135,7 +148,8 @@ def _induce(
     for at in range(0, len(text), RUN):
         chosen = np.flatnonzero(fill[at : at + RUN]) + at
         sizes += np.bincount(symbol(chosen), minlength=alphabet)
-    queue = Queue(disk, sizes, limit)
+    kind = place_type(len(text))
+    queue = Queue(disk, sizes, limit, kind)
     seed_sizes = np.zeros(alphabet, np.int64)
     for at in range(0, len(seeds), RUN):
         seed_sizes += np.bincount(symbol(seeds[at : at + RUN]), minlength=alphabet)
@@ -147,7 +161,7 @@ def _induce(
         keep = fill[before]
         at, before = at[keep], before[keep]
         if len(at) or limit:
-            queue.push(symbol(before), before.astype(np.int32), at, prefixes)
+            queue.push(symbol(before), before.astype(kind), at, prefixes)
 
     def border(c: int) -> int:
         """Common prefix of the last filled suffix of a symbol and its first seed."""
@@ -195,7 +209,7 @@ def _induce(
         others = np.array(seeds[int(seed_ends[c] - seed_sizes[c]) : int(seed_ends[busy[last]])])
         own_sizes = sizes[chosen].copy()
         own_sizes[0] = queue.ends[c] - cursor
-        merged = np.empty(len(own) + len(others), np.int32)
+        merged = np.empty(len(own) + len(others), kind)
         ranks = np.arange(len(chosen))
         merged[_interleave(own_sizes, seed_sizes[chosen], ranks, False)] = own
         merged[_interleave(own_sizes, seed_sizes[chosen], ranks, True)] = others
@@ -214,8 +228,18 @@ def _interleave(own: np.ndarray, others: np.ndarray, ranks: np.ndarray, is_other
     return np.repeat(begin, sizes) + inner
 
 
-def _s_leftmost(types: np.ndarray) -> np.ndarray:
-    return np.flatnonzero(types[1:] & ~types[:-1]) + 1
+def _s_leftmost(disk: Disk, types: np.ndarray, kind: type) -> np.ndarray:
+    def within(at: int) -> np.ndarray:
+        stop = min(at + RUN, len(types))
+        return np.flatnonzero(types[at:stop] & ~types[at - 1 : stop - 1]) + at
+
+    starts = range(1, len(types), RUN)
+    out, filled = disk.array(sum(len(within(at)) for at in starts), kind), 0
+    for at in starts:
+        found = within(at)
+        out[filled : filled + len(found)] = found
+        filled += len(found)
+    return out
 
 
 def common_prefixes(text: np.ndarray, left: np.ndarray, right: np.ndarray, limit: int) -> np.ndarray:
@@ -235,11 +259,13 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
     n = len(text)
     if n == 1:
         return np.zeros(1, np.int32)
-    types = disk.keep(_s_types(text))
-    leftmost = disk.keep(_s_leftmost(types).astype(np.int32))
+    kind = place_type(n)
+    types = _s_types(disk, text)
+    leftmost = _s_leftmost(disk, types, kind)
     is_leftmost = disk.array(n, bool)
-    is_leftmost[leftmost] = True
-    large, small = disk.keep(~types), disk.keep(types)
+    for at in range(0, len(leftmost), RUN):
+        is_leftmost[leftmost[at : at + RUN]] = True
+    large, small = np.logical_not(types, out=disk.array(n, bool)), disk.keep(types)
     small[n - 1] = False  # the end of the text pushes nothing
 
     def pair(a: int, b: int) -> int:
@@ -258,7 +284,7 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
         by_symbol = first_disk.keep(leftmost[np.argsort(text[leftmost], kind="stable")])
         down = passes(first_disk, by_symbol, None, 0)[1]
         ordered = down.positions[::-1]
-        ordered = np.concatenate(([n - 1], ordered[is_leftmost[ordered]])).astype(np.int32)
+        ordered = np.concatenate(([n - 1], ordered[is_leftmost[ordered]])).astype(kind)
         del by_symbol, down
     # Names: equal neighbours among the sorted substrings share one. A substring ends with the next leftmost S.
     place = np.searchsorted(leftmost, ordered)
@@ -276,10 +302,10 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
     names = np.concatenate(([0], np.cumsum(~same)))
     if names[-1] + 1 < len(names):
         with Disk() as disk_below:
-            reduced = disk_below.array(len(leftmost), np.int32)
+            reduced = disk_below.array(len(leftmost), place_type(len(leftmost)))
             reduced[place] = names
             ordered = leftmost[_sort(disk_below, reduced, int(names[-1]) + 1, 0)]
-    seeds = disk.keep(np.asarray(ordered, np.int32))
+    seeds = disk.keep(np.asarray(ordered, kind))
     prefixes = None
     if limit:
         prefixes = disk.array(len(seeds), np.uint8)
@@ -287,7 +313,7 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
     up, down = passes(disk, seeds, prefixes, limit)
     if limit:
         return _by_symbol(up, down, alphabet, pair)
-    out = disk.array(n, np.int32)
+    out = disk.array(n, kind)
     large_sizes = up.ends - up.starts
     small_sizes = (down.ends - down.starts)[::-1].copy()
     small_sizes[0] += 1  # the end of the text

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -163,6 +164,33 @@ def test_suffixes_and_common_prefixes(monkeypatch, run):
         assert got == list(zip(order, common if order else [], strict=True))
 
 
+def test_long_texts_have_wide_positions(monkeypatch):
+    """Positions past 32 bits need a wider type; here all that are past 20 count as such."""
+    monkeypatch.setattr(suffixes, "NARROW", 20, raising=False)
+    text = np.append(np.tile(np.random.default_rng(2).integers(1, 4, 70), 3), 0).astype(np.uint16)
+    with suffixes.Disk() as disk:
+        parts = list(suffixes.suffix_groups(disk, text, 4, 10))
+        assert {ps.dtype for ps, _ in parts} == {np.dtype(np.int64)}
+        got = np.concatenate([ps for ps, _ in parts]).tolist()
+    assert got == sorted(range(len(text) - 1), key=lambda i: text[i:].tolist())
+
+
+def test_suffix_types_are_found_in_runs():
+    """Less memory than a byte per symbol, whatever lies on disk."""
+    text = np.append(np.random.default_rng(4).integers(1, 3, 4_000_000, np.uint16), 0).astype(np.uint16)
+    with suffixes.Disk() as disk:
+        tracemalloc.start()
+        types = suffixes._s_types(disk, text)
+        leftmost = suffixes._s_leftmost(disk, types, np.int32)
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < len(text)
+        differs = np.flatnonzero(text[:-1] != text[1:])
+        following = differs[np.searchsorted(differs, np.arange(len(text) - 1))]
+        assert np.array_equal(types, np.append(text[following] < text[following + 1], True))
+        assert np.array_equal(leftmost, np.flatnonzero(types[1:] & ~types[:-1]) + 1)
+
+
 # Phrase dedup
 
 
