@@ -24,9 +24,12 @@ def _kept(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; a text without letters goes."""
+    """Documents whose language can be told; a text without letters goes, and only such if no document names a language."""
     docs = repeats.with_ids(docs)
-    return _kept(docs, langid.identify(docs, langid.learn(docs)).filter(langid.is_known(F.col("lang_pred"))))
+    model = langid.learn(docs)
+    if not len(model.langs):
+        return _kept(docs, docs.filter(F.col("text").rlike(r"\p{L}")))
+    return _kept(docs, langid.identify(docs, model).filter(langid.is_known(F.col("lang_pred"))))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

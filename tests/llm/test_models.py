@@ -301,3 +301,10 @@ def test_stages_take_odd_rows_and_empty_tables(spark, number):
 def test_the_last_stage_gives_tokens_and_all_others_documents():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "near_duplicates", "repeated_strings", "decontaminate", "tokenize"]
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_language_stage_keeps_clean_documents_if_no_language_is_named(spark):
+    rows = [(1, "plain words", None), (2, "日本語", None), (3, "123 - 45", None), (4, None, None), (5, "", None), (None, "no id", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    kept = corpus_pipeline.language(spark, docs, SF).collect()
+    assert sorted((r.text, r.doc_id) for r in kept) == [("no id", None), ("plain words", 1), ("日本語", 2)]
