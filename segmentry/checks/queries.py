@@ -754,10 +754,8 @@ def range_scale(spark, sf):
 
 @query
 def bic_sweep(spark, sf):
-    """Every number of clusters has a finite score; the scores themselves depend on the fit."""
-    scores = cluster.bic_sweep(cluster.scaled_features(cluster.label_means(labelled(spark, sf))))
-    is_scored = F.col("bic").isNotNull() & ~F.isnan("bic") & (F.abs("bic") < float("inf"))
-    return scores.select(F.col("k").cast("long").alias("k"), is_scored.cast("int").alias("is_scored"))
+    """Score of every number of clusters."""
+    return cluster.bic_sweep(cluster.scaled_features(cluster.label_means(labelled(spark, sf))))
 
 
 def clustered_labels(spark: SparkSession, sf: str) -> DataFrame:
@@ -767,9 +765,8 @@ def clustered_labels(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def cluster_assign(spark, sf):
-    """Best number of clusters, then the assignment: every label with all means has one of at most ten clusters."""
-    rows = clustered_labels(spark, sf).drop("features", "PCA_x", "PCA_y")
-    return rounded(rows.withColumn("is_in_range", F.col("GMM_CLUSTER").between(0, 9).cast("int")).drop("GMM_CLUSTER"))
+    """Best number of clusters, then the cluster of every label with all means."""
+    return clustered_labels(spark, sf).drop("features", "PCA_x", "PCA_y")
 
 
 @query
@@ -844,55 +841,43 @@ def clustered(spark: SparkSession, sf: str) -> DataFrame:
     return cluster.attach_cluster(labelled(spark, sf), clustered_labels(spark, sf))
 
 
-# A high learning rate and little patience keep the checks short; every fit still ends by its own patience.
-QUICK = regress.Search(trials=1, depth=(3, 4), rate=(0.3, 0.5), patience=3, parallelism=8)
+def quarter_models(spark: SparkSession, sf: str) -> regress.Fitted:
+    """Models of the four quarters at the operator's own settings."""
+    return regress.fit_models(regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout()))
+
+
+@query
+def ordered_means(spark, sf):
+    """Statistics of the training cells from the cells before them: single categories, pairs, and all three."""
+    cells = cut(regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout()))
+    return rounded(regress.ordered_means(cells))
 
 
 @query
 def fit_predict(spark, sf):
-    """Every condition of every quarter has all three predictions, inside the range that trees of means can give."""
+    """Every condition of every quarter with its three predictions."""
     rows = by_quarter(spark, sf)
-    statistics = cut(regress.cell_statistics(rows))
-    got = regress.predict(statistics, regress.fit_models(statistics.filter("n > 0"), QUICK))
-    missing = reduce(lambda a, b: a | b, [F.col(f"Pred_{n}").isNull() for n in C.PREDICTION_NAMES.values()])
-    return got.groupBy("GMM_CLUSTER").agg(F.count(F.lit(1)).alias("n"), F.sum(missing.cast("int")).alias("n_missing"))
+    statistics = cut(regress.cell_statistics(rows, is_holdout=integer_holdout()))
+    return regress.predict(statistics, regress.fit_models(statistics.filter("n > 0")))
 
 
 @query
 def loss_curve(spark, sf):
-    """Each curve ends `patience` trees after its best one, or at the budget; training and validation have equal length."""
-    cells = regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout())
-    curves = regress.fit_models(cells, QUICK).curve_table(spark)
-    lengths = curves.groupBy("GMM_CLUSTER", "measure").pivot("metric", ["train_rmse", "val_rmse"]).agg(
-        F.count(F.lit(1)).alias("n"), F.min_by("step", F.struct("value", "step")).alias("best")
-    )
-    by_patience = F.col("val_rmse_n") == F.col("val_rmse_best") + 1 + QUICK.patience
-    return lengths.select(
-        "GMM_CLUSTER", "measure",
-        (by_patience | (F.col("val_rmse_n") == QUICK.max_iter)).cast("int").alias("ends_right"),
-        (F.col("train_rmse_n") == F.col("val_rmse_n")).cast("int").alias("same_length"),
-    )
+    """Training and validation error after every tree of the best trials."""
+    return quarter_models(spark, sf).curves
 
 
 @query
 def tuning(spark, sf):
-    """Three trials per model in the ranges searched; the objective follows from its parts."""
-    search = regress.Search(trials=3, depth=(3, 5), rate=(0.3, 0.5), patience=2, parallelism=8)
-    cells = regress.condition_cells(by_quarter(spark, sf), is_holdout=integer_holdout())
-    trials = regress.fit_models(cells, search).trial_table(spark)
-    again = F.col("val_rmse") + search.gap_weight * F.col("rmse_gap")
-    return trials.select(
-        "GMM_CLUSTER", "measure", F.col("trial").cast("long").alias("trial"),
-        (F.col("depth").between(*search.depth) & F.col("learning_rate").between(*search.rate)).cast("int").alias("is_in_range"),
-        (F.abs(F.col("total_score") - again) < 1e-12).cast("int").alias("adds_up"),
-    )
+    """All trials of every quarter and measure."""
+    return quarter_models(spark, sf).trials
 
 
 @query
 def model_roundtrip(spark, sf):
     """Largest difference between predictions of models before and after saving."""
     rows = by_quarter(spark, sf)
-    fitted = regress.fit_models(regress.condition_cells(rows), QUICK)
+    fitted = regress.fit_models(regress.condition_cells(rows))
     path = fresh_path(spark, "models")
     fitted.save(path)
     loaded = regress.Fitted.load(spark, path)
@@ -925,25 +910,13 @@ def observed_master(spark, sf):
 
 @query
 def pred_top10(spark, sf):
-    """Ranks 1 to 10 of every quarter and goal, by falling score."""
+    """Ranks 1 to 10 of every quarter and goal by predicted score."""
     rows = by_quarter(spark, sf)
-    fitted = regress.fit_models(regress.condition_cells(rows), QUICK)
-    top = cut(rank.top_conditions(rank.scale_0_100(regress.predict(rows, fitted))))
-    ahead = F.lag("score").over(W.partitionBy("GMM_CLUSTER", "goal").orderBy("Rank"))
-    return top.withColumn("falls", F.coalesce(F.col("score") <= ahead, F.lit(True))).groupBy("GMM_CLUSTER", "goal").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("Rank").cast("long").alias("ranks"), F.min(F.col("falls").cast("int")).alias("falls")
-    )
+    fitted = regress.fit_models(regress.condition_cells(rows))
+    return rank.top_conditions(rank.scale_0_100(regress.predict(rows, fitted)))
 
 
 @query
 def master_table(spark, sf):
-    """The last report: tests aside, the chain from labels to the best conditions, with the best-scored mixture.
-
-    Shown per goal: how many labels its rows are ranked for, and whether ranks and scaled values are in range.
-    """
-    table = segments.best_conditions(clustered(spark, sf), QUICK)[1]
-    scaled = [F.col(f"{n}_scaled").between(-1e-9, 100 + 1e-9) | F.col(f"{n}_scaled").isNull() for n in ("CVR", "EFF", "ATS")]
-    return table.groupBy("Metric_Type").agg(
-        F.max("Rank").cast("long").alias("last_rank"),
-        F.min((reduce(lambda a, b: a & b, scaled) & F.col("Rank").between(1, 10)).cast("int")).alias("is_in_range"),
-    )
+    """The last report: the chain from labels to the best conditions, with the best-scored mixture."""
+    return segments.best_conditions(clustered(spark, sf))[1]

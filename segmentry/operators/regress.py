@@ -1,22 +1,28 @@
 """One boosted regression per cluster and measure on three categorical columns.
 
-The facts are reduced to one weighted row per condition, cluster and split; squared loss has the same
-minimum on these rows. Categories become smoothed target means, joined in for all models at once.
+The facts are reduced to one weighted row per condition, cluster and split; squared loss has the same minimum on these
+rows. Categories, and their pairs and triples, become target statistics. A training row gets its statistics from the
+rows before it in a hash order, so that its own value does not leak into its features; all other rows get those of
+all training rows.
+
+Every pair of model and trial is a task of its own: symmetric trees are grown one by one on the binned statistics until
+the validation error has not improved for `patience` trees, so no tree is grown twice. Such a task holds the conditions of one
+cluster, about 150 bytes each; their number is bounded by the category lists, not by the facts.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
-from functools import reduce
-from multiprocessing.pool import ThreadPool
+from dataclasses import dataclass
 
-from pyspark import SparkContext
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressionModel, GBTRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segmentry.config import CONDITION_COLUMNS, MEASURES, PREDICTION_NAMES
@@ -75,21 +81,41 @@ def constant_models(cells: DataFrame) -> DataFrame:
     )
 
 
+def combinations(conditions: Sequence[str], combine: int) -> list[tuple[str, ...]]:
+    """The columns alone, then their pairs, and so on up to `combine` columns together."""
+    return [c for size in range(1, combine + 1) for c in itertools.combinations(conditions, size)]
+
+
+def _category(columns: Sequence[str]) -> Column:
+    """One text for the values of the columns, NULL if one of them is."""
+    known = F.lit(True)
+    for c in columns:
+        known = known & F.col(c).isNotNull()
+    return F.when(known, F.concat_ws("\x1f", *columns))
+
+
+def _by_combination(rows: DataFrame, conditions: Sequence[str], combine: int) -> DataFrame:
+    """Each row once per combination of condition columns, with `column` and `category`."""
+    pairs = [
+        F.struct(F.lit("+".join(c)).alias("column"), _category(c).alias("category")) for c in combinations(conditions, combine)
+    ]
+    return rows.select("*", F.inline(F.array(*pairs)))
+
+
 def target_means(
-    cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS, smoothing: float = 1.0
+    cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS, smoothing: float = 1.0, combine: int = 1
 ) -> DataFrame:
     """(cluster, measure, column, category) -> mean of the training rows, pulled to the overall mean by `smoothing` rows.
 
-    The row with a NULL category holds the overall mean, for categories not seen in training.
+    The row with a NULL category holds the overall mean, for categories not seen in training. With `combine` there are also rows
+    for up to so many columns together, named `A+B`.
     """
     train = cells.filter(~F.col("is_holdout"))
     total = F.sum(F.col("n") * F.col("y"))
     prior = train.groupBy(*MODEL).agg((total / F.sum("n")).alias("prior"))
-    pairs = F.inline(
-        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("category")) for c in conditions])
-    )
     by_category = (
-        train.select(*MODEL, "n", "y", pairs).filter(F.col("category").isNotNull()).groupBy(*MODEL, "column", "category")
+        _by_combination(train.select(*MODEL, *conditions, "n", "y"), conditions, combine)
+        .filter(F.col("category").isNotNull()).groupBy(*MODEL, "column", "category")
         .agg(total.alias("total"), F.sum("n").alias("rows"))
         .join(F.broadcast(prior), MODEL)  # one row per cluster and measure
         .select(
@@ -117,11 +143,47 @@ def encode(rows: DataFrame, means: DataFrame, conditions: Sequence[str] = CONDIT
     return assembled.select(*rows.columns, "features")
 
 
+def _features(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, column, encoded) rows -> one row with the array `features`, in the order of the column names."""
+    pairs = F.sort_array(F.collect_list(F.struct("column", "encoded")))
+    return rows.groupBy(*keys).agg(F.transform(pairs, lambda x: x["encoded"]).alias("features"))
+
+
+def full_statistics(
+    asked: DataFrame, means: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS, combine: int = 3
+) -> DataFrame:
+    """`features` of distinct conditions (cluster, measure, condition columns): the means of all training rows."""
+    prior = means.filter(F.col("column").isNull()).select(*MODEL, F.col("encoded").alias("_prior"))
+    known = means.filter(F.col("column").isNotNull())
+    rows = _by_combination(asked.select(*MODEL, *conditions), conditions, combine).join(prior, MODEL)
+    found = rows.join(known, [*MODEL, "column", "category"], "left").withColumn("encoded", F.coalesce("encoded", "_prior"))
+    return _features(found, [*MODEL, *conditions])
+
+
+def ordered_means(
+    cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS, smoothing: float = 1.0, combine: int = 3
+) -> DataFrame:
+    """Per training cell and combination of columns: `encoded`, the mean of the training rows of the same category that come
+    before the cell in the order of a hash of its conditions, pulled to the overall mean by `smoothing` rows."""
+    train = cells.filter(~F.col("is_holdout"))
+    n, total = F.col("n"), F.col("n") * F.col("y")
+    prior = train.groupBy(*MODEL).agg((F.sum(total) / F.sum(n)).alias("prior"))
+    place = F.md5(F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in conditions]).cast("binary"))
+    rows = _by_combination(train.select(*MODEL, *conditions, "n", "y", place.alias("_place")), conditions, combine)
+    before = W.partitionBy(*MODEL, "column", "category").orderBy("_place", *conditions).rowsBetween(W.unboundedPreceding, -1)
+    pull = smoothing * F.col("prior")
+    earlier = F.coalesce(F.sum(total).over(before), F.lit(0.0)), F.coalesce(F.sum(n).over(before), F.lit(0))
+    value = F.when(F.col("category").isNull(), F.col("prior")).otherwise((earlier[0] + pull) / (earlier[1] + smoothing))
+    # One row per cluster and measure.
+    return rows.join(F.broadcast(prior), MODEL).select(*MODEL, *conditions, "column", value.alias("encoded"))
+
+
 @dataclass(frozen=True)
 class Search:
     """Settings of the search: `trials` random pairs of depth and learning rate, each with early stopping.
 
-    A model grows until its validation error has not improved for `patience` trees, or to `max_iter` trees.
+    A model grows until its validation error has not improved for `patience` trees, or to `max_iter` trees. `bins` is the
+    number of steps of a feature that trees can split at, `l2` the weight, in rows, that pulls leaves to zero.
     """
 
     trials: int = 5
@@ -131,7 +193,8 @@ class Search:
     rate: tuple[float, float] = (0.005, 0.05)
     gap_weight: float = 0.7
     seed: int = 42
-    parallelism: int = 4
+    bins: int = 32
+    l2: float = 3.0
 
     def candidates(self, cluster: int, measure: str) -> list[tuple[int, float]]:
         rng = random.Random(f"{self.seed}/{cluster}/{measure}")
@@ -139,171 +202,194 @@ class Search:
         return [(rng.randint(*self.depth), math.exp(rng.uniform(low, high))) for _ in range(self.trials)]
 
 
-def rmse_curve(model: GBTRegressionModel, cells: DataFrame, inside: float) -> list[float]:
-    """RMSE after each tree over all rows behind the weighted cells; `inside` is their mean squared spread in the cells."""
-    return [math.sqrt(loss + inside) for loss in model.evaluateEachIteration(cells, "squared")]
+def borders(values: np.ndarray, bins: int) -> np.ndarray:
+    """At most `bins - 1` values between the distinct ones."""
+    distinct = np.unique(values)
+    between = (distinct[1:] + distinct[:-1]) / 2
+    if len(between) >= bins:
+        between = between[np.linspace(0, len(between) - 1, bins - 1).round().astype(int)]
+    return between
+
+
+def binned(features: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
+    """Number of borders below each value, a row per feature."""
+    return np.array([np.searchsorted(e, features[:, i]) for i, e in enumerate(edges)], np.int64).reshape(len(edges), -1)
 
 
-def stop_early(curve: Sequence[float], patience: int) -> tuple[int, int]:
-    """(trees of the best prefix, trees grown before stopping) for a validation curve."""
-    best = 0
-    for i, loss in enumerate(curve):
-        if loss < curve[best]:
-            best = i
-        elif i - best >= patience:
-            return best + 1, i + 1
-    return best + 1, len(curve)
+def grow_tree(bins: np.ndarray, used: Sequence[int], n: np.ndarray, pull: np.ndarray, depth: int, n_bins: int, l2: float):
+    """A symmetric tree, one split (feature, border) per level for all leaves, that fits the residuals with sums `pull`.
+
+    Only the `used` features are tried; without any there is nothing to split. Returns the splits and the leaf of each row.
+    """
+    k, rows = len(used), bins.shape[1]
+    leaf, splits = np.zeros(rows, np.int64), []
+    if not used:
+        return [(0, n_bins)] * depth, leaf
+    cell = bins[used] + (np.arange(k) * n_bins)[:, None]
+    n_all, pull_all = np.tile(n, k), np.tile(pull, k)
+    for level in range(depth):
+        at, shape = (leaf * (k * n_bins) + cell).ravel(), (1 << level, k, n_bins)
+        size = shape[0] * k * n_bins
+        weight = np.bincount(at, n_all, size).reshape(shape).cumsum(2)
+        total = np.bincount(at, pull_all, size).reshape(shape).cumsum(2)
+        left, right = total[..., :-1], total[..., -1:] - total[..., :-1]
+        gain = left * left / (weight[..., :-1] + l2) + right * right / (weight[..., -1:] - weight[..., :-1] + l2)
+        place, border = divmod(int(gain.sum(0).argmax()), n_bins - 1)
+        feature = used[place]
+        splits.append((feature, border))
+        leaf = 2 * leaf + (bins[feature] > border)
+    return splits, leaf
+
+
+def leaves_of(bins: np.ndarray, splits: Sequence[tuple[int, int]]) -> np.ndarray:
+    leaf = np.zeros(bins.shape[1], np.int64)
+    for feature, border in splits:
+        leaf = 2 * leaf + (bins[feature] > border)
+    return leaf
+
+
+def boost(features: np.ndarray, y: np.ndarray, n: np.ndarray, held: np.ndarray, inside: tuple[float, float], depth: int, rate: float, search: Search) -> dict:
+    """Grow trees until validation stops improving. `inside` is the mean squared spread inside the cells, (training, held out).
+
+    Without held-out rows the training rows stand in for them.
+    """
+    seen = held if held.any() else np.ones(len(y), bool)
+    edges = [borders(features[~held, i], search.bins) for i in range(features.shape[1])]
+    used = [i for i, e in enumerate(edges) if len(e)]
+    n_bins = 1 + max((len(e) for e in edges), default=0)
+    train, val = binned(features[~held], edges), binned(features[seen], edges)
+    y_t, n_t, y_v, n_v = y[~held], n[~held].astype(float), y[seen], n[seen].astype(float)
+    base = float(np.average(y_t, weights=n_t))
+    at_t, at_v = np.full(len(y_t), base), np.full(len(y_v), base)
+    trees, values, curves, best = [], [], ([], []), 0
+    while len(trees) < search.max_iter and len(trees) - 1 - best < search.patience:
+        splits, leaf = grow_tree(train, used, n_t, n_t * (y_t - at_t), depth, n_bins, search.l2)
+        size = 1 << depth
+        value = rate * np.bincount(leaf, n_t * (y_t - at_t), size) / (np.bincount(leaf, n_t, size) + search.l2)
+        at_t += value[leaf]
+        at_v += value[leaves_of(val, splits)]
+        trees.append(splits)
+        values.append(value)
+        curves[0].append(math.sqrt(np.average((y_t - at_t) ** 2, weights=n_t) + inside[0]))
+        curves[1].append(math.sqrt(np.average((y_v - at_v) ** 2, weights=n_v) + inside[1]))
+        if curves[1][-1] < curves[1][best]:
+            best = len(trees) - 1
+    kept = best + 1
+    gap = abs(curves[1][best] - min(curves[0]))
+    return {
+        "depth": depth, "learning_rate": rate, "trees": kept, "val_rmse": curves[1][best], "rmse_gap": gap,
+        "total_score": curves[1][best] + search.gap_weight * gap, "base": base, "borders": [e.tolist() for e in edges],
+        "splits": np.array(trees[:kept], np.int16).tobytes(), "leaves": np.array(values[:kept]).tobytes(),
+        "train_curve": curves[0], "val_curve": curves[1],
+    }
+
+
+def model_values(model: Mapping, features: np.ndarray) -> np.ndarray:
+    """Predictions of a fitted row (see `boost`)."""
+    edges = [np.array(e) for e in model["borders"]]
+    bins, depth = binned(features, edges), model["depth"]
+    splits = np.frombuffer(model["splits"], np.int16).reshape(-1, depth, 2).tolist()
+    leaves = np.frombuffer(model["leaves"]).reshape(-1, 1 << depth)
+    found = np.full(len(features), model["base"])
+    for tree, value in zip(splits, leaves):
+        found += value[leaves_of(bins, tree)]
+    return found
+
+
+_TRIAL = "depth int, learning_rate double, trees int, val_rmse double, rmse_gap double, total_score double"
+_FITTED = (
+    f"GMM_CLUSTER int, measure string, trial int, {_TRIAL}, base double, borders array<array<double>>, splits binary, "
+    "leaves binary, train_curve array<double>, val_curve array<double>"
+)
+
+
+def _matrix(features: pd.Series) -> np.ndarray:
+    """Features in single precision, so that sums added up in another order are the same feature."""
+    return np.array(features.tolist(), np.float32).astype(float).reshape(len(features), -1)
 
 
 @dataclass
 class Fitted:
-    """Models by (cluster, measure), constants for the degenerate ones, category means, and the fit history."""
+    """Category means, constants of the degenerate models, all trials with their curves, and the best model of each
+    (cluster, measure)."""
 
     means: DataFrame
     constants: DataFrame
-    models: dict[tuple[int, str], GBTRegressionModel] = field(default_factory=dict)
-    trials: list[tuple] = field(default_factory=list)
-    curves: list[tuple] = field(default_factory=list)
-
-    def trial_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.trials,
-            "GMM_CLUSTER int, measure string, trial int, depth int, learning_rate double, trees int, "
-            "val_rmse double, rmse_gap double, total_score double",
-        )
+    models: DataFrame
+    tried: DataFrame | None = None
 
-    def curve_table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(
-            self.curves, "GMM_CLUSTER int, measure string, metric string, step int, value double"
-        )
+    @property
+    def trials(self) -> DataFrame:
+        return self.tried.select(*MODEL, "trial", "depth", "learning_rate", "trees", "val_rmse", "rmse_gap", "total_score")
+
+    @property
+    def curves(self) -> DataFrame:
+        """Learning curves of the best trials: `metric` (train_rmse, val_rmse), `step`, `value`."""
+        one = [F.struct(F.lit(name).alias("metric"), F.col(c).alias("curve")) for name, c in (("train_rmse", "train_curve"), ("val_rmse", "val_curve"))]
+        rows = self.models.select(*MODEL, F.inline(F.array(*one)))
+        return rows.select(*MODEL, "metric", F.posexplode("curve").alias("step", "value"))
 
     def save(self, path: str) -> None:
-        self.means.write.mode("overwrite").parquet(f"{path}/means")
-        self.constants.write.mode("overwrite").parquet(f"{path}/constants")
-        index = self.means.sparkSession.createDataFrame(list(self.models), "GMM_CLUSTER int, measure string")
-        index.write.mode("overwrite").parquet(f"{path}/index")
-        for (cluster, measure), model in self.models.items():
-            model.write().overwrite().save(f"{path}/models/cluster={cluster}/measure={measure}")
+        for name in ("means", "constants", "models"):
+            getattr(self, name).write.mode("overwrite").parquet(f"{path}/{name}")
 
     @staticmethod
     def load(spark: SparkSession, path: str, clusters: Sequence[int] | None = None) -> Fitted:
         """All saved models, or those of the listed clusters."""
-        tables = [spark.read.parquet(f"{path}/{name}") for name in ("means", "constants", "index")]
+        tables = [spark.read.parquet(f"{path}/{name}") for name in ("means", "constants", "models")]
         if clusters is not None:
             tables = [t.filter(F.col("GMM_CLUSTER").isin(list(clusters))) for t in tables]
-        keys = [(row.GMM_CLUSTER, row.measure) for row in tables[2].collect()]
-        models = {
-            (c, m): GBTRegressionModel.load(f"{path}/models/cluster={c}/measure={m}") for c, m in keys
-        }
-        return Fitted(tables[0], tables[1], models)
-
-
-def _grow(train: DataFrame, depth: int, rate: float, trees: int, seed: int) -> GBTRegressionModel:
-    return GBTRegressor(
-        featuresCol="features", labelCol="y", weightCol="n", maxDepth=depth, stepSize=rate, maxIter=trees, seed=seed
-    ).fit(train)
-
-
-def ladder(search: Search) -> list[int]:
-    """Numbers of trees to try: doubled until `max_iter`, so that growing again costs at most as much as before."""
-    steps = [min(search.max_iter, 2 * search.patience)]
-    while steps[-1] < search.max_iter:
-        steps.append(min(search.max_iter, 2 * steps[-1]))
-    return steps
-
-
-def prefix(model: GBTRegressionModel, trees: int) -> GBTRegressionModel:
-    """The model of the first trees."""
-    if trees == model.getNumTrees:
-        return model
-    context = SparkContext.getOrCreate()
-    gateway, java = context._gateway, model._java_obj
-    own = gateway.new_array(gateway.jvm.org.apache.spark.ml.regression.DecisionTreeRegressionModel, trees)
-    weights = gateway.new_array(gateway.jvm.double, trees)
-    all_trees, all_weights = java.trees(), java.treeWeights()
-    for i in range(trees):
-        own[i], weights[i] = all_trees[i], all_weights[i]
-    return GBTRegressionModel(gateway.jvm.org.apache.spark.ml.regression.GBTRegressionModel(java.uid(), own, weights))
-
-
-def _grow_until_patient(train: DataFrame, held: DataFrame, inside: Mapping[bool, float], depth: int, rate: float, search: Search):
-    """(model, training curve, validation curve, best number of trees, trees grown). The same seed gives the same first trees."""
-    for size in ladder(search):
-        model = _grow(train, depth, rate, size, search.seed)
-        train_curve = rmse_curve(model, train, inside[False])
-        val_curve = rmse_curve(model, held, inside[True]) if True in inside else train_curve
-        trees, grown = stop_early(val_curve, search.patience)
-        if grown - trees >= search.patience:
-            break
-    return model, train_curve[:grown], val_curve[:grown], trees, grown
-
-
-def _fit_one(rows: DataFrame, cluster: int, measure: str, inside: Mapping[bool, float], search: Search):
-    train, held = rows.filter(~F.col("is_holdout")).persist(), rows.filter(F.col("is_holdout")).persist()
-    try:
-        trials, best = [], None
-        for number, (depth, rate) in enumerate(search.candidates(cluster, measure)):
-            model, train_curve, val_curve, trees, grown = _grow_until_patient(train, held, inside, depth, rate, search)
-            gap = abs(val_curve[trees - 1] - min(train_curve))
-            score = val_curve[trees - 1] + search.gap_weight * gap
-            trials.append((cluster, measure, number, depth, rate, trees, val_curve[trees - 1], gap, score))
-            if best is None or score < best[0]:
-                best = score, trees, model, train_curve, val_curve
-        _, trees, model, train_curve, val_curve = best
-        curves = [
-            (cluster, measure, name, step, value)
-            for name, curve in (("train_rmse", train_curve), ("val_rmse", val_curve))
-            for step, value in enumerate(curve)
-        ]
-        return prefix(model, trees), trials, curves
-    finally:
-        train.unpersist()
-        held.unpersist()
+        return Fitted(*tables)
 
 
 @dataclass(frozen=True)
 class Training:
-    """Encoded cells in one folder per model, with the category means and the constant models.
-
-    `inside` lists the models to fit, with the mean squared spread inside the cells per split.
-    """
+    """Cells with features, the category means and the constant models."""
 
     rows: DataFrame
     means: DataFrame
     constants: DataFrame
-    inside: Mapping[tuple[int, str], Mapping[bool, float]]
 
 
 def prepare_training(cells: DataFrame, conditions: Sequence[str] = CONDITION_COLUMNS) -> Training:
-    """Write the encoded cells once, so that each fit reads its own files only."""
+    """Write the cells with their statistics once: ordered ones for training cells, full ones for the held-out cells."""
     cells = cut(cells)
-    constants, means = cut(constant_models(cells)), cut(target_means(cells, conditions))
-    rows = cut(encode(cells, means, conditions), MODEL)
-    spread = cells.groupBy(*MODEL, "is_holdout").agg((F.sum("ss") / F.sum("n")).alias("mse"))
-    inside: dict[tuple[int, str], dict[bool, float]] = {}
-    # One row per cluster, measure and split.
-    for row in spread.join(constants, MODEL, "left_anti").orderBy(*MODEL).collect():
-        inside.setdefault((row.GMM_CLUSTER, row.measure), {})[row.is_holdout] = row.mse
-    return Training(rows, means, constants, inside)
-
-
-def fit_training(
-    training: Training, search: Search = Search(), clusters: Sequence[int] | None = None
-) -> Fitted:
-    """Fit every cluster and measure (or those of the listed clusters), several side by side."""
-
-    def fit(key: tuple[int, str]):
-        rows = training.rows.filter((F.col("GMM_CLUSTER") == key[0]) & (F.col("measure") == key[1]))
-        return key, *_fit_one(rows, *key, training.inside[key], search)
+    constants, means = cut(constant_models(cells)), cut(target_means(cells, conditions, combine=len(conditions)))
+    ordered = _features(ordered_means(cells, conditions, combine=len(conditions)), [*MODEL, *conditions]).withColumn("is_holdout", F.lit(False))
+    held = full_statistics(cells.filter("is_holdout"), means, conditions, len(conditions)).withColumn("is_holdout", F.lit(True))
+    keys = [*MODEL, *conditions, "is_holdout"]
+    same = F.lit(True)
+    features = ordered.unionByName(held).withColumnsRenamed({c: f"_{c}" for c in keys})
+    for c in keys:
+        same = same & F.col(c).eqNullSafe(F.col(f"_{c}"))
+    rows = cells.join(features, same).join(constants.select(*MODEL), MODEL, "left_anti")
+    return Training(cut(rows.select(*MODEL, *conditions, "is_holdout", "n", "y", "ss", "features")), means, constants)
+
+
+def fit_training(training: Training, search: Search = Search(), clusters: Sequence[int] | None = None) -> Fitted:
+    """Fit every cluster and measure (or those of the listed clusters), each trial in a task of its own."""
+
+    def fit(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        cluster, measure, trial = int(key[0]), key[1], int(key[2])
+        rows = rows.sort_values(["is_holdout", "place"], kind="stable")
+        held, n = rows["is_holdout"].to_numpy(), rows["n"].to_numpy()
+        inside = [float(rows["ss"][side].sum() / max(n[side].sum(), 1)) for side in (~held, held if held.any() else ~held)]
+        found = boost(
+            _matrix(rows["features"]), rows["y"].to_numpy(), n, held, tuple(inside), *search.candidates(cluster, measure)[trial], search
+        )
+        return pd.DataFrame([{"GMM_CLUSTER": cluster, "measure": measure, "trial": trial} | found])
 
-    fitted = Fitted(training.means, training.constants)
-    todo = [key for key in training.inside if clusters is None or key[0] in clusters]
-    with ThreadPool(search.parallelism) as pool:
-        for key, model, trials, curves in pool.imap(fit, todo):
-            fitted.models[key] = model
-            fitted.trials += trials
-            fitted.curves += curves
-    return fitted
+    rows = training.rows if clusters is None else training.rows.filter(F.col("GMM_CLUSTER").isin(list(clusters)))
+    place = F.xxhash64(*[c for c in rows.columns if c not in (*MODEL, "is_holdout", "n", "y", "ss", "features")])
+    tasks = 4 * rows.sparkSession.sparkContext.defaultParallelism  # stated, so that small inputs are not put into one task
+    per_trial = rows.select(
+        F.col("GMM_CLUSTER").cast("int").alias("GMM_CLUSTER"), "measure", "is_holdout", "n", "y", "ss", "features", place.alias("place"),
+        F.explode(F.sequence(F.lit(0), F.lit(search.trials - 1))).alias("trial"),
+    ).repartition(tasks, *MODEL, "trial")
+    tried = cut(per_trial.groupBy(*MODEL, "trial").applyInPandas(fit, _FITTED))
+    first = F.struct("total_score", "trial")
+    best = tried.groupBy(*MODEL).agg(F.min_by("trial", first).alias("trial"))
+    return Fitted(training.means, training.constants, cut(tried.join(best, [*MODEL, "trial"])), tried)
 
 
 def fit_models(
@@ -326,21 +412,24 @@ def predict(
     `facts` may be any table with cluster and conditions, such as the cells. A measure without a model or a
     constant in a cluster is NULL there.
     """
+
+    def apply(rows: pd.DataFrame, models: pd.DataFrame) -> pd.DataFrame:
+        if models.empty or rows.empty:
+            return rows[keys].assign(measure="", value=0.0).head(0)
+        value = model_values(models.iloc[0].to_dict(), _matrix(rows["features"]))
+        return rows[[*keys, "measure"]].assign(value=value)
+
     asked = distinct_conditions(facts, conditions)
     measures = F.explode(F.array(*map(F.lit, names))).alias("measure")
-    by_measure = asked.select("*", measures)
-    encoded = cut(encode(by_measure, fitted.means, conditions), MODEL)
+    by_measure = asked.select("*", measures).withColumn("GMM_CLUSTER", F.col("GMM_CLUSTER").cast("int"))
     keys = ["GMM_CLUSTER", *conditions]
-    frames = [
-        model.setPredictionCol("value").transform(
-            encoded.filter((F.col("GMM_CLUSTER") == cluster) & (F.col("measure") == measure))
-        ).select(*keys, "measure", "value")
-        for (cluster, measure), model in fitted.models.items()
-    ]
+    encoded = full_statistics(by_measure, fitted.means, conditions, len(conditions))
+    schema = "GMM_CLUSTER int, " + ", ".join(f"`{c}` string" for c in conditions) + ", measure string, value double"
+    tasks = 2 * facts.sparkSession.sparkContext.defaultParallelism
+    learned = encoded.repartition(tasks, *MODEL).groupBy(*MODEL).cogroup(fitted.models.groupBy(*MODEL)).applyInPandas(apply, schema)
     constants = F.broadcast(fitted.constants)  # one row per cluster and measure at most
     fixed = by_measure.join(constants, MODEL, "left").select(*keys, "measure", F.col("value").cast("double").alias("value"))
-    values = reduce(DataFrame.unionByName, [*frames, fixed])
     columns = [
         F.max(F.when(F.col("measure") == m, F.col("value"))).alias(f"Pred_{name}") for m, name in names.items()
     ]
-    return values.groupBy(*keys).agg(*columns)
+    return learned.unionByName(fixed).groupBy(*keys).agg(*columns)

@@ -50,13 +50,11 @@ def tests_from_log(spark: SparkSession, log: str) -> DataFrame:
 
 def log_fits(scores: DataFrame | None, fitted: Fitted, log: str) -> None:
     """Scores by number of clusters, trials of the search, and learning curves."""
-    spark = fitted.means.sparkSession
     if scores is not None:
         replace_runs(log_rows(scores.withColumn("name", F.lit("mixture")), ["name"], ["bic"], step="k"), log, "mixture")
     trials = ["depth", "learning_rate", "trees", "val_rmse", "rmse_gap", "total_score"]
-    replace_runs(log_rows(fitted.trial_table(spark), ["GMM_CLUSTER", "measure"], trials, step="trial"), log, "trials")
-    curves = fitted.curve_table(spark)
-    replace_runs(log_rows(curves, ["GMM_CLUSTER", "measure", "metric"], ["value"], step="step"), log, "curves")
+    replace_runs(log_rows(fitted.trials, ["GMM_CLUSTER", "measure"], trials, step="trial"), log, "trials")
+    replace_runs(log_rows(fitted.curves, ["GMM_CLUSTER", "measure", "metric"], ["value"], step="step"), log, "curves")
 
 
 def test_and_label(

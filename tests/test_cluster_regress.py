@@ -1,9 +1,12 @@
+import hashlib
+import itertools
 import math
 import random
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.clustering import GaussianMixture
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from segmentry.operators import cluster, regress
@@ -38,12 +41,51 @@ def test_every_number_of_clusters_has_a_score(spark, blobs):
     assert sorted(scores) == list(range(2, 11)) and all(map(math.isfinite, scores.values()))
 
 
-def test_ridge_adds_to_the_variances_only(spark, blobs):
-    features = cluster.scaled_features(blobs)
-    plain, moved = cluster.fit_mixture(features, 2, ridge=0.0), cluster.fit_mixture(features, 2, ridge=0.01)
-    for a, b in zip(plain.gaussiansDF.collect(), moved.gaussiansDF.collect(), strict=True):
-        assert a["mean"].toArray() == pytest.approx(b["mean"].toArray(), abs=1e-6)
-        assert (b["cov"].toArray() - a["cov"].toArray()) == pytest.approx(0.01 * np.eye(3), abs=1e-6)
+def as_points(features):
+    return np.array([r.features.toArray() for r in features.orderBy("MASTER_LABEL").collect()])
+
+
+def spark_mixture_likelihood(features, x, k):
+    """Log-likelihood of the points under Spark's own mixture, fitted to copies moved by the ridge along every axis."""
+    step = math.sqrt(x.shape[1] * cluster.RIDGE)
+    copies = [(i, Vectors.dense(p + s * step * e)) for i, p in enumerate(x) for e in np.eye(x.shape[1]) for s in (-1, 1)]
+    moved = features.sparkSession.createDataFrame(copies, ["i", "features"])
+    model = GaussianMixture(k=k, seed=42, maxIter=100, tol=1e-3).fit(moved)
+    rows = model.gaussiansDF.collect()
+    parts = np.array(model.weights), np.array([r["mean"].toArray() for r in rows]), np.array([r["cov"].toArray() for r in rows])
+    return cluster._total(cluster.log_densities(x, *parts)).sum()
+
+
+def test_seeded_mixture_is_never_less_likely_than_sparks_own(spark):
+    rng = np.random.default_rng(3)
+    x = np.vstack([rng.normal(c, 0.2 + 0.3 * (i % 3), (25, 3)) for i, c in enumerate([0, 1, 2, 4, 7, 7.5])] + [np.zeros((5, 3))])
+    df = spark.createDataFrame([(i, *map(float, p)) for i, p in enumerate(x)], "MASTER_LABEL long, a double, b double, c double")
+    features = cluster.scaled_features(df)
+    points = as_points(features)
+    fits = {r.k: r for r in cluster.fit_mixtures(features, range(2, 11)).collect()}
+    scores = {r.k: r.bic for r in cluster.bic_sweep(features).collect()}
+    for k in range(2, 11):
+        found = fits[k]
+        parts = [np.array(found[c]) for c in ("weights", "means", "covariances")]
+        # The value is that of the parameters, recomputed with plain determinants and inverses.
+        dense = sum(
+            w * np.exp(-0.5 * np.einsum("ni,ij,nj->n", points - m, np.linalg.inv(c), points - m)) / math.sqrt((2 * math.pi) ** 3 * np.linalg.det(c))
+            for w, m, c in zip(*parts)
+        )
+        assert found.log_likelihood == pytest.approx(np.log(dense).sum(), rel=1e-6)
+        assert scores[k] == pytest.approx(cluster.bic(found.log_likelihood, k, 3, len(x)), rel=1e-9)
+        assert sum(found.weights) == pytest.approx(1) and all(np.linalg.eigvalsh(c).min() > 0.9e-6 for c in parts[2])
+        assert found.log_likelihood >= spark_mixture_likelihood(features, points, k) - 0.05
+    sizes = sorted(r["count"] for r in cluster.assign_clusters(features, 4).groupBy("GMM_CLUSTER").count().collect())
+    own = cluster.log_densities(points, *[np.array(fits[4][c]) for c in ("weights", "means", "covariances")]).argmax(1)
+    assert sizes == sorted(np.bincount(own).tolist())
+
+
+def test_equal_labels_and_more_clusters_than_labels(spark):
+    df = spark.createDataFrame([(i, 1.0, 2.0) for i in range(4)], "MASTER_LABEL long, a double, b double")
+    fits = cluster.fit_mixtures(cluster.scaled_features(df), [2, 6]).collect()
+    assert sorted(r.k for r in fits) == [2, 6] and all(math.isfinite(r.log_likelihood) for r in fits)
+    assert cluster.bic_sweep(cluster.scaled_features(df.limit(0))).collect() == []
 
 
 def test_bic_formula():
@@ -101,7 +143,7 @@ def rows(spark):
     ))
 
 
-SEARCH = regress.Search(trials=2, max_iter=12, depth=(3, 4), rate=(0.3, 0.5), patience=4, parallelism=6)
+SEARCH = regress.Search(trials=2, max_iter=60, depth=(3, 4), rate=(0.2, 0.4), patience=10)
 
 
 @pytest.fixture(scope="module")
@@ -128,14 +170,14 @@ def test_split_is_one_in_five_and_repeatable(rows):
 
 def test_constant_target_needs_no_model(fitted):
     assert [(r.GMM_CLUSTER, r.measure, r.value) for r in fitted.constants.collect()] == [(1, "ATS", 0.5)]
-    assert set(fitted.models) == {
+    assert {(r.GMM_CLUSTER, r.measure) for r in fitted.models.collect()} == {
         (0, "CVR"), (0, "ATS"), (0, "1000_W_EFFICIENCY"), (1, "CVR"), (1, "1000_W_EFFICIENCY")
     }
 
 
 def test_planted_effect_beats_the_mean(rows, fitted):
     spread = rows.agg(F.stddev_pop("CVR")).first()[0]
-    best = min(t[6] for t in fitted.trials if t[1] == "CVR")
+    best = fitted.trials.filter("measure = 'CVR'").agg(F.max("val_rmse")).first()[0]
     assert best < spread / 2
 
 
@@ -146,11 +188,9 @@ def test_curve_equals_the_error_over_single_rows(spark, rows, fitted):
         "GMM_CLUSTER", *[F.col(c).cast("string").alias(c) for c in CONDITIONS], is_holdout.alias("is_holdout"),
         F.lit("CVR").alias("measure"), F.col("CVR").alias("y"),
     ).filter("GMM_CLUSTER = 0 and is_holdout")
-    model = fitted.models[(0, "CVR")]
-    error = model.setPredictionCol("p").transform(regress.encode(long, fitted.means)).agg(
-        F.sqrt(F.avg((F.col("p") - F.col("y")) ** 2))
-    ).first()[0]
-    curve = [c[4] for c in fitted.curves if c[:3] == (0, "CVR", "val_rmse")]
+    predicted = regress.predict(rows, fitted).select("GMM_CLUSTER", *CONDITIONS, F.col("Pred_CVR").alias("p"))
+    error = long.join(predicted, ["GMM_CLUSTER", *CONDITIONS]).agg(F.sqrt(F.avg((F.col("p") - F.col("y")) ** 2))).first()[0]
+    curve = [r.value for r in fitted.curves.filter("GMM_CLUSTER = 0 and measure = 'CVR' and metric = 'val_rmse'").collect()]
     assert min(curve) == pytest.approx(error)
 
 
@@ -173,12 +213,13 @@ def test_models_survive_saving(spark, rows, fitted, tmp_path):
     fitted.save(str(tmp_path))
     loaded = regress.Fitted.load(spark, str(tmp_path))
     assert regress.predict(rows, loaded).exceptAll(regress.predict(rows, fitted)).isEmpty()
-    assert set(regress.Fitted.load(spark, str(tmp_path), [1]).models) == {(1, "CVR"), (1, "1000_W_EFFICIENCY")}
+    some = regress.Fitted.load(spark, str(tmp_path), [1]).models.collect()
+    assert {(r.GMM_CLUSTER, r.measure) for r in some} == {(1, "CVR"), (1, "1000_W_EFFICIENCY")}
 
 
 def test_listed_clusters_only(rows):
-    one = regress.Search(trials=1, max_iter=1, depth=(2, 2), parallelism=4)
-    assert {k[0] for k in regress.fit_models(regress.condition_cells(rows), one, clusters=[1]).models} == {1}
+    one = regress.Search(trials=1, max_iter=1, depth=(2, 2))
+    assert {r.GMM_CLUSTER for r in regress.fit_models(regress.condition_cells(rows), one, clusters=[1]).models.collect()} == {1}
 
 
 def test_a_missing_category_costs_only_its_own_column(spark):
@@ -198,22 +239,93 @@ def test_clusters_without_values_keep_their_conditions(spark, rows, fitted):
     assert lost.count() == 2 and lost.filter("coalesce(Pred_CVR, Pred_EFF, Pred_ATS) is not null").isEmpty()
 
 
-def test_curves_end_by_patience_and_the_prefix_is_kept(spark, rows):
-    search = regress.Search(trials=1, depth=(3, 3), rate=(0.4, 0.5), patience=4, parallelism=4)
-    fitted = regress.fit_models(regress.condition_cells(rows), search, clusters=[0])
-    for (c, m), model in fitted.models.items():
-        curve = [x[4] for x in fitted.curves if x[:3] == (c, m, "val_rmse")]
-        best = curve.index(min(curve)) + 1
-        assert model.getNumTrees == best and (len(curve) == best + 4 or len(curve) == search.max_iter)
-    assert regress.ladder(regress.Search()) == [200, 400, 800, 1500]
-
-
-@pytest.mark.parametrize(
-    "curve, patience, expected",
-    [([3, 2, 1], 5, (3, 3)), ([3, 2, 4, 5, 1], 2, (2, 4)), ([3, 2, 4, 5, 1], 9, (5, 5)), ([1], 1, (1, 1)), ([2, 2, 2], 1, (1, 2))],
-)
-def test_early_stopping(curve, patience, expected):
-    assert regress.stop_early(curve, patience) == expected
+def test_curves_end_by_patience_and_no_tree_is_grown_twice(fitted, monkeypatch):
+    for r in fitted.tried.collect():
+        best = r.val_curve.index(min(r.val_curve)) + 1
+        assert r.trees == best and len(r.train_curve) == len(r.val_curve)
+        assert len(r.val_curve) == best + SEARCH.patience or len(r.val_curve) == SEARCH.max_iter
+        assert r.rmse_gap == pytest.approx(abs(r.val_curve[best - 1] - min(r.train_curve)))
+        assert r.total_score == pytest.approx(r.val_rmse + 0.7 * r.rmse_gap)
+        assert len(r.splits) == 2 * 2 * best * r.depth and len(r.leaves) == 8 * best * 2**r.depth
+    lowest = {}
+    for r in fitted.tried.collect():
+        key = r.GMM_CLUSTER, r.measure
+        lowest[key] = min(lowest.get(key, (9e9, 0)), (r.total_score, r.trial))
+    assert {(r.GMM_CLUSTER, r.measure): (r.total_score, r.trial) for r in fitted.models.collect()} == lowest
+    grown, grow = [], regress.grow_tree
+    monkeypatch.setattr(regress, "grow_tree", lambda *a: grown.append(1) or grow(*a))
+    x, y, held = boosting_data()
+    found = regress.boost(x, y, np.ones(len(y)), held, (0.0, 0.0), 3, 0.3, SEARCH)
+    assert len(grown) == len(found["val_curve"])
+
+
+def boosting_data():
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (240, 3)).astype(float)
+    return x, x[:, 0] * 0.5 + (x[:, 1] > 2) + rng.normal(0, 0.3, 240), np.arange(240) % 5 == 0
+
+
+def plain_boost(x, y, n, held, depth, rate, trees, l2=3.0):
+    """Every split of every level tried one by one, for all leaves together."""
+    at, curve = np.full(len(y), np.average(y[~held], weights=n[~held])), []
+    for _ in range(trees):
+        leaf = np.zeros(len(y), int)
+        for _ in range(depth):
+            best = None
+            for f in range(x.shape[1]):
+                values = np.unique(x[~held, f])
+                for edge in (values[1:] + values[:-1]) / 2:
+                    side = 2 * leaf + (x[:, f] > edge)
+                    gain = 0.0
+                    for part in np.unique(side[~held]):
+                        rows = ~held & (side == part)
+                        gain += (n[rows] * (y - at)[rows]).sum() ** 2 / (n[rows].sum() + l2)
+                    if best is None or gain > best[0] + 1e-9:
+                        best = gain, side
+            leaf = best[1]
+        step = np.zeros(len(y))
+        for part in np.unique(leaf):
+            rows = ~held & (leaf == part)
+            if rows.any():
+                step[leaf == part] = rate * (n[rows] * (y - at)[rows]).sum() / (n[rows].sum() + l2)
+        at = at + step
+        curve.append(math.sqrt(np.average((y - at)[held] ** 2, weights=n[held])))
+    return at, curve
+
+
+def test_boosting_equals_a_plain_one():
+    x, y, held = boosting_data()
+    n = 1 + np.arange(len(y)) % 4
+    search = regress.Search(max_iter=8, patience=100)
+    found = regress.boost(x, y, n, held, (0.0, 0.0), 3, 0.3, search)
+    at, curve = plain_boost(x, y, n, held, 3, 0.3, 8)
+    assert found["val_curve"] == pytest.approx(curve, rel=1e-9)
+    kept = found["trees"]
+    assert regress.model_values(found, x) == pytest.approx(plain_boost(x, y, n, held, 3, 0.3, kept)[0], rel=1e-9)
+
+
+def test_features_without_spread_and_without_held_rows():
+    x, y = np.ones((6, 2)), np.array([1.0, 2, 3, 4, 5, 6])
+    found = regress.boost(x, y, np.ones(6), np.zeros(6, bool), (0.0, 0.0), 4, 0.1, regress.Search(max_iter=5))
+    assert regress.model_values(found, x) == pytest.approx([3.5] * 6) and found["train_curve"] == found["val_curve"]
+
+
+def test_ordered_statistics_leave_out_the_row_itself(spark, rows):
+    """Against a plain walk over the cells in the order of their hash."""
+    cells = regress.condition_cells(rows).filter("measure = 'CVR' and GMM_CLUSTER = 0")
+    got = {(*(r[c] for c in CONDITIONS), r.column): r.encoded for r in regress.ordered_means(cells).collect()}
+    train = [r for r in cells.collect() if not r.is_holdout]
+    prior = sum(r.n * r.y for r in train) / sum(r.n for r in train)
+    train.sort(key=lambda r: hashlib.md5("|".join(r[c] for c in CONDITIONS).encode()).hexdigest())
+    sums = {}
+    for r in train:
+        for size in (1, 2, 3):
+            for c in itertools.combinations(CONDITIONS, size):
+                key = c, tuple(r[x] for x in c)
+                total, n = sums.get(key, (0.0, 0))
+                assert got[(*(r[x] for x in CONDITIONS), "+".join(c))] == pytest.approx((total + prior) / (n + 1))
+                sums[key] = total + r.n * r.y, n + r.n
+    assert len(got) == 7 * len(train)
 
 
 def test_search_is_seeded_and_in_range():
@@ -238,7 +350,7 @@ def test_whole_chain(spark, tmp_path):
         "LIMIT_TYPE string, SHAPE string, START_TIME string, CVR double, `1000_W_EFFICIENCY` double, ATS double",
     ))
     done = segments.run_segments(
-        table, regress.Search(trials=1, max_iter=3, depth=(2, 3), parallelism=6), max_iter=20, log=log
+        table, regress.Search(trials=1, max_iter=3, depth=(2, 3)), max_iter=20, log=log
     )
     assert list(done.levels) == ["OS_TYPE", "START_QUARTER"]
     assert done.labels.count() == 12 and done.facts.count() == 1500
