@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from segmentry import config as C
+from segmentry.functions import normality as normal_scores
 from segmentry.functions import scalar, text
 from segmentry.operators import classify as K
 from segmentry.operators import clean, cluster, group_tests, joins, labels, ordering, rank, regress
@@ -693,12 +694,25 @@ def normality(spark, sf):
 
 @query
 def all_tests(spark, sf):
-    return group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES)
+    return rounded(group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES))
+
+
+@query
+def branch_tests(spark, sf):
+    """Normal scores of the customers of three groups: shifted alike, spread apart, and bent. Each takes another test."""
+    rows = V.table(spark, sf, "customer").select("c_custkey", (F.col("c_nationkey") % 3).alias("g"), F.lit(1).cast("long").alias("one"))
+    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("size"))
+    placed = ordering.running_total(rows, ["g"], "c_custkey", "one").join(F.broadcast(sizes), "g")  # three rows
+    z, g = F.col("z"), F.col("g")
+    scored = normal_scores.with_quantile(placed, (F.col("before") + 0.5) / F.col("size"), "z").select(
+        g.cast("string").alias("GROUP"), (z + 0.1 * g).alias("shifted"), (z * (1 + g) + 0.1 * g).alias("spread"), (F.exp(2 * z) + 0.1 * g).alias("bent")
+    )
+    return rounded(group_tests.run_all_tests(cut(scored), ["GROUP"], ["shifted", "spread", "bent"]))
 
 
 @query
 def test_decisions(spark, sf):
-    """Results of all tests without the p-values, which SQL cannot compute."""
+    """Results of all tests without the p-values."""
     return rounded(group_tests.run_all_tests(facts(spark, sf), C.FACTORS, C.MEASURES).drop("p_value"))
 
 

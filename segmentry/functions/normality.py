@@ -11,12 +11,9 @@ import math
 from collections.abc import Sequence
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.functions.special import normal_tail
-
 ENDS = 24
 
 # Polynomial coefficients of Royston (1995), lowest power first.
@@ -150,12 +147,3 @@ def shapiro_z(w: Column, n: Column) -> Column:
     large = (y - _poly(_LARGE_MEAN, x)) / F.exp(_poly(_LARGE_LOG_SD, x))
     impossible = F.lit(float("inf"))
     return F.when(w >= 1, -impossible).when(n > 11, large).when(y >= bound, impossible).otherwise(small)
-
-
-def normal_p(z: Column) -> Column:
-    """Upper tail of the standard normal distribution, for small result tables."""
-
-    def tail(values: pd.Series) -> pd.Series:
-        return pd.Series([None if v != v else normal_tail(v) for v in values.astype("float64")], dtype="float64")
-
-    return F.pandas_udf(tail, "double")(z)

@@ -12,9 +12,9 @@ from statistics import NormalDist
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.functions.normality import normal_p, shapiro_z, with_weight
+from segmentry.functions.normality import shapiro_z, with_weight
 from segmentry.functions.scalar import effect_label
-from segmentry.functions.special import chi2_p, f_p
+from segmentry.functions.special import chi2_p, f_p, normal_p
 from segmentry.operators.ordering import running_total, split_points
 from segmentry.session import cut
 
@@ -227,7 +227,7 @@ def shapiro(placed: DataFrame, alpha: float = 0.05) -> DataFrame:
     statistic = F.when(spread > 0, F.least(fit * fit / F.nullif(spread, F.lit(0.0)), F.lit(1.0))).otherwise(1.0)
     table = weighted.groupBy(*GROUP).agg(F.first("size").alias("size"), statistic.alias("statistic"))
     table = table.withColumn("z", F.when(F.col("size") > 3, shapiro_z(F.col("statistic"), F.col("size"))))
-    critical = NormalDist().inv_cdf(1 - alpha)  # the verdict needs no tail probability, so no Python
+    critical = NormalDist().inv_cdf(1 - alpha)  # the verdict needs no tail probability
     return _verdict(table, normal_p(F.col("z")), F.col("z") < critical).drop("z")
 
 

@@ -1,6 +1,7 @@
 import datetime as dt
 import math
 
+import plain_tails
 import pytest
 from pyspark.sql import functions as F
 
@@ -78,13 +79,13 @@ def test_text_helpers(spark):
 @pytest.mark.parametrize(
     "got, expected",
     [
-        (special.f_tail(5, 2, 100), 0.0085185512795),
-        (special.chi2_tail(3.841458820694124, 1), 0.05),
-        (special.chi2_tail(18.307038053275146, 10), 0.05),
-        (special.normal_tail(1.6448536269514722), 0.05),
-        (special.f_tail(0, 2, 10), 1.0),
-        (special.chi2_tail(2.0, 2), math.exp(-1)),
-        (special.chi2_tail(60.0, 2), math.exp(-30)),
+        (plain_tails.f_tail(5, 2, 100), 0.0085185512795),
+        (plain_tails.chi2_tail(3.841458820694124, 1), 0.05),
+        (plain_tails.chi2_tail(18.307038053275146, 10), 0.05),
+        (plain_tails.normal_tail(1.6448536269514722), 0.05),
+        (plain_tails.f_tail(0, 2, 10), 1.0),
+        (plain_tails.chi2_tail(2.0, 2), math.exp(-1)),
+        (plain_tails.chi2_tail(60.0, 2), math.exp(-30)),
     ],
 )
 def test_tail_probabilities(got, expected):
@@ -93,7 +94,7 @@ def test_tail_probabilities(got, expected):
 
 def test_tails_fall_as_the_statistic_grows():
     for df in (1, 3, 30):
-        tails = [special.chi2_tail(x / 4, df) for x in range(1, 400)]
+        tails = [plain_tails.chi2_tail(x / 4, df) for x in range(1, 400)]
         assert tails == sorted(tails, reverse=True)
         assert all(0 <= t <= 1 for t in tails)
 
@@ -102,3 +103,28 @@ def test_p_value_columns_pass_nulls(spark):
     rows = spark.createDataFrame([(2.0, 2.0), (None, 2.0)], "s double, d double")
     got = [r.p for r in rows.select(special.chi2_p(F.col("s"), F.col("d")).alias("p")).collect()]
     assert got == [pytest.approx(math.exp(-1)), None]
+
+
+def test_tail_columns_equal_the_plain_ones(spark):
+    """Small, large and extreme parameters, where the sides of the functions meet, and infinities."""
+    cases = [(s, d1, d2) for s in (0.0, 1e-9, 0.3, 0.99, 1.0, 1.01, 2.5, 7.0, 40.0, 900.0) for d1 in (1.0, 2.0, 7.0) for d2 in (1.0, 3.5, 60.0, 4e3, 6e5)]
+    rows = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, s double, a double, b double").select(
+        "i", special.f_p(F.col("s"), F.col("a"), F.col("b")).alias("f"), special.chi2_p(F.col("s"), F.col("a")).alias("c"),
+        special.chi2_p(F.col("s") * F.col("b"), F.col("b")).alias("g"), special.normal_p(F.col("s") - 2).alias("z"),
+    )
+    for r in rows.collect():
+        s, a, b = cases[r.i]
+        assert r.f == pytest.approx(plain_tails.f_tail(s, a, b), rel=2e-6, abs=1e-300), (s, a, b)  # the plain one loses digits near 1
+        assert r.c == pytest.approx(plain_tails.chi2_tail(s, a), rel=1e-9, abs=1e-300), (s, a)
+        assert r.g == pytest.approx(plain_tails.chi2_tail(s * b, b), rel=1e-6, abs=1e-12), (s, b)
+        assert r.z == pytest.approx(plain_tails.normal_tail(s - 2), rel=1e-9, abs=1e-300), s
+
+
+def test_tails_at_infinity_and_log_gamma(spark):
+    inf = F.lit(float("inf"))
+    row = spark.range(1).select(
+        special.f_p(inf, F.lit(2.0), F.lit(9.0)).alias("f"), special.normal_p(inf).alias("high"), special.normal_p(-inf).alias("low"),
+        *[special.log_gamma(F.lit(x)).alias(str(i)) for i, x in enumerate((0.5, 1.0, 3.5, 200.0, 3e5))],
+    ).first()
+    assert row[:3] == (0.0, 0.0, 1.0)
+    assert row[3:] == pytest.approx([math.lgamma(x) for x in (0.5, 1.0, 3.5, 200.0, 3e5)], rel=1e-13, abs=1e-13)
