@@ -443,6 +443,29 @@ def cascade(spark, sf):
     return K.finalize_mapping(K.cascade(customer_names(spark, sf), [round_classifier(n) for n in (1, 2, 3)], 100, 4))
 
 
+@query
+def answer_ledger(spark, sf):
+    """Calls per batch when a first run fails on every third prompt and a second run makes up for it."""
+    path = fresh_path(spark, "ledger")
+    prompts = K.build_prompts(K.build_batches(customer_names(spark, sf), 10), "{names_list}")
+
+    def partial(prompt):
+        if int(prompt.split(" | ")[0]) // 10 % 3 == 0:
+            raise TimeoutError("busy")
+        return prompt
+
+    try:
+        K.classify_with_ledger(prompts, partial, path, 8, attempts=2)
+    except RuntimeError:
+        pass  # the batches that failed twice
+    answers = K.classify_with_ledger(prompts, lambda prompt: prompt, path, 8)
+    calls = K.ledger_rows(spark, path).groupBy("batch").agg(
+        F.count_if(F.col("error").isNull()).alias("n_answers"), F.count_if(F.col("error").isNotNull()).alias("n_failures")
+    )
+    lines = K.answer_lines(answers).groupBy("batch").agg(F.count(F.lit(1)).alias("n_lines"))
+    return calls.join(lines, "batch")
+
+
 # Sources and sinks
 
 

@@ -6,7 +6,8 @@ from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from segmentry.config import (
@@ -69,6 +70,68 @@ def classify(prompts: DataFrame, classifier: Classifier, concurrency: int = 50)
     return cut(prompts.repartition(concurrency, "batch").mapInPandas(ask, "batch long, answer string"))
 
 
+_LEDGER = "key string, batch long, answer string, error string, asked timestamp"
+
+
+def ledger_rows(spark: SparkSession, ledger: str) -> DataFrame:
+    """All calls of a ledger: `key` (hash of the prompt), `batch`, `answer` or `error`, `asked`. Empty before the first call."""
+    try:
+        return spark.read.schema(_LEDGER).parquet(ledger)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], _LEDGER)
+
+
+def ledger_state(spark: SparkSession, ledger: str) -> DataFrame:
+    """Per key: the first answer (NULL if there is none) and the number of failed calls."""
+    is_answer = F.col("error").isNull()
+    return ledger_rows(spark, ledger).groupBy("key").agg(
+        F.min_by(F.when(is_answer, F.col("answer")), F.when(is_answer, F.struct("asked", "answer"))).alias("answer"),
+        F.max(is_answer).alias("is_answered"), F.count_if(~is_answer).alias("failures"),
+    )
+
+
+def classify_with_ledger(
+    prompts: DataFrame, classifier: Classifier, ledger: str, concurrency: int = 50, wave: int = 1000, attempts: int = 3
+) -> DataFrame:
+    """As `classify`, but every call is kept in the ledger, and only prompts without an answer there are asked.
+
+    Calls are made in waves of at most `wave` prompts, in batch order; each wave is appended when it is done, so that a
+    stopped run loses one wave. A call that fails is noted and costs no other answer; it is made up to `attempts` times in
+    a run. Prompts that are then still without an answer end the run with an error; the next run asks only them.
+    """
+    spark = prompts.sparkSession
+
+    def ask(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for key, batch, prompt in zip(frame["key"], frame["batch"], frame["prompt"]):
+                answer, error = None, None
+                try:
+                    answer = classifier(prompt)
+                except Exception as failure:  # whatever the call raises is kept beside the prompt's key
+                    error = f"{type(failure).__name__}: {failure}"
+                yield pd.DataFrame({"key": [key], "batch": [batch], "answer": [answer], "error": [error], "asked": [pd.Timestamp.now()]})
+
+    keyed = cut(prompts.withColumn("key", F.sha2(F.col("prompt").cast("binary"), 256)).dropDuplicates(["key", "batch"]))
+    before = ledger_state(spark, ledger).select("key", F.col("failures").alias("earlier"))
+    before = cut(keyed.select("key").distinct().join(before, "key", "left").select("key", F.coalesce("earlier", F.lit(0)).alias("earlier")))
+    while True:
+        state = keyed.join(before, "key").join(ledger_state(spark, ledger), "key", "left")
+        is_open = ~F.coalesce("is_answered", F.lit(False))
+        may_ask = F.coalesce("failures", F.lit(0)) - F.col("earlier") < attempts
+        left = cut(state.filter(is_open & may_ask).select("key", "batch", "prompt").orderBy("batch", "key").limit(wave))
+        if left.isEmpty():
+            break
+        asked = left.dropDuplicates(["key"]).repartition(concurrency, "key").mapInPandas(ask, _LEDGER)
+        asked.write.mode("append").parquet(ledger)
+    found = cut(keyed.join(ledger_state(spark, ledger), "key", "left").select("batch", "answer", "is_answered"))
+    n_open = found.filter(~F.coalesce("is_answered", F.lit(False))).count()
+    if n_open:
+        raise RuntimeError(f"{n_open} prompts have no answer after {attempts} calls each; their errors are in {ledger}")
+    return found.select("batch", "answer")
+
+
 def answer_lines(answers: DataFrame) -> DataFrame:
     """Lines of each answer, numbered."""
     lines = F.posexplode(F.split(strip(F.col("answer")), "\n")).alias("line_no", "line")
@@ -115,17 +178,21 @@ def unanswered(classified: DataFrame) -> DataFrame:
 
 
 def classification_round(
-    names: DataFrame, classifier: Classifier, template: str, parse, size: int = 100, concurrency: int = 50
+    names: DataFrame, classifier: Classifier, template: str, parse, size: int = 100, concurrency: int = 50, ledger: str | None = None
 ) -> DataFrame:
     batches = cut(build_batches(names, size))
-    answers = parse(classify(build_prompts(batches, template), classifier, concurrency))
-    return cut(merge_answers(batches, answers))
+    prompts = build_prompts(batches, template)
+    answers = classify_with_ledger(prompts, classifier, ledger, concurrency) if ledger else classify(prompts, classifier, concurrency)
+    return cut(merge_answers(batches, parse(answers)))
 
 
 def cascade(
-    names: DataFrame, classifiers: Sequence[Classifier], size: int = 100, concurrency: int = 50
+    names: DataFrame, classifiers: Sequence[Classifier], size: int = 100, concurrency: int = 50, ledger: str | None = None
 ) -> list[DataFrame]:
-    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only."""
+    """Up to three rounds: strict parsing first, then lenient; later rounds see unanswered names only.
+
+    With a `ledger` folder each round keeps its calls there, and a run after a failure goes on where the last one ended.
+    """
     settings = [
         (prompt_template(), parse_strict),
         (prompt_template(), parse_lenient),
@@ -133,8 +200,9 @@ def cascade(
     ]
     rounds: list[DataFrame] = []
     left = names
-    for classifier, (template, parse) in zip(classifiers, settings):
-        rounds.append(classification_round(left, classifier, template, parse, size, concurrency))
+    for number, (classifier, (template, parse)) in enumerate(zip(classifiers, settings), 1):
+        own = f"{ledger}/round{number}" if ledger else None
+        rounds.append(classification_round(left, classifier, template, parse, size, concurrency, own))
         left = unanswered(rounds[-1])
     return rounds
 

@@ -112,6 +112,54 @@ def test_a_failing_classifier_fails_the_job(spark):
         K.classify(prompts, broken, 2)
 
 
+def test_ledger_asks_each_answered_batch_once(spark, tmp_path):
+    """Every prompt fails at its first call; a later run with a changed prompt asks only that one."""
+    calls = tmp_path / "calls"
+    calls.mkdir()
+
+    def once_broken(prompt):
+        mark = calls / prompt
+        if not mark.exists():
+            mark.write_text("1")
+            raise ConnectionError("first call")
+        mark.write_text(str(int(mark.read_text()) + 1))
+        return prompt.upper()
+
+    prompts = spark.createDataFrame([(i, f"p{i}") for i in range(9)] + [(9, "p0")], "batch long, prompt string")
+    ledger = str(tmp_path / "ledger")
+    for _ in range(2):
+        got = K.classify_with_ledger(prompts, once_broken, ledger, 3, wave=4)
+        assert sorted(map(tuple, got.collect())) == [*((i, f"P{i}") for i in range(9)), (9, "P0")]
+    assert {p.name: p.read_text() for p in calls.iterdir()} == {f"p{i}": "2" for i in range(9)}
+    more = K.classify_with_ledger(prompts.unionByName(spark.createDataFrame([(10, "new")], prompts.schema)), once_broken, ledger, 3)
+    assert more.count() == 11 and sorted(p.name for p in calls.iterdir())[0] == "new"
+    assert K.ledger_rows(spark, ledger).count() == 2 * 10
+
+
+def test_ledger_keeps_answers_when_a_call_goes_on_failing(spark, tmp_path):
+    def broken(prompt):
+        if prompt == "bad":
+            raise ValueError("no")
+        return prompt
+
+    prompts = spark.createDataFrame([(0, "good"), (1, "bad"), (2, "fine")], "batch long, prompt string")
+    with pytest.raises(RuntimeError, match="1 prompts"):
+        K.classify_with_ledger(prompts, broken, str(tmp_path / "l"), 2, attempts=2)
+    rows = {(r.batch, r.answer, r.error): 0 for r in K.ledger_rows(spark, str(tmp_path / "l")).collect()}
+    assert set(rows) == {(0, "good", None), (2, "fine", None), (1, None, "ValueError: no")}
+    assert K.classify_with_ledger(prompts, lambda p: p, str(tmp_path / "l"), 2).count() == 3
+
+
+def test_cascade_with_a_ledger_gives_the_same_rounds(spark, tmp_path):
+    def knows(prompt):
+        return "\n".join(f"{x} | 게임" for x in prompt.split("\n") if x.count(" | ") == 1 and x.endswith("a"))
+
+    names = spark.createDataFrame([(f"{i}{c}",) for i in range(5) for c in "ab"], "NAME string")
+    plain, kept = K.cascade(names, [knows, knows], 3, 2), K.cascade(names, [knows, knows], 3, 2, str(tmp_path / "l"))
+    for a, b in zip(plain, kept):
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
 @pytest.mark.parametrize(
     "name, industry",
     [
