@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from segmentry.functions.text import base_name
 from segmentry.operators.clean import keep_columns
 from segmentry.sources.split_csv import csv_rows, text_lines
-from segmentry.sources.writers import write_csv
+from segmentry.sources.writers import live_versions, run_versions, runs_folder, write_csv
 
 _BAD_LINE = "_bad_line"
 
@@ -195,5 +195,7 @@ def intake_files(
 
 
 def read_runs(spark: SparkSession, path: str, experiment: str) -> DataFrame:
-    """Runs of one experiment; only its folder of the log is read."""
-    return spark.read.parquet(path).filter(F.col("experiment") == experiment).drop("experiment")
+    """Runs of one experiment that count now; only the folders of its live versions are read."""
+    live = F.broadcast(live_versions(run_versions(spark, path, experiment)))  # one row per call of a writer
+    rows = spark.read.option("mergeSchema", True).parquet(runs_folder(path, experiment))
+    return rows.join(live, "version", "left_semi").drop("version")

@@ -1,4 +1,5 @@
 import datetime as dt
+from multiprocessing.pool import ThreadPool
 
 import pytest
 from pyspark.sql import functions as F
@@ -154,6 +155,45 @@ def test_run_log(spark, tmp_path):
     assert readers.read_runs(spark, path, "b").count() == 2
 
 
+def test_two_writers_at_once_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    frames = [spark.range(i * 10, i * 10 + 10).select(F.col("id").alias("run")) for i in range(6)]
+    with ThreadPool(6) as pool:
+        pool.map(lambda df: writers.append_runs(df, path, "a"), frames)
+    assert sorted(r.run for r in readers.read_runs(spark, path, "a").collect()) == list(range(60))
+    with ThreadPool(3) as pool:  # a replacement beside appends: what is newer than it stays
+        pool.map(lambda f: f(), [lambda: writers.replace_runs(frames[0], path, "a"), lambda: writers.append_runs(frames[1], path, "a"), lambda: writers.append_runs(frames[2], path, "b")])
+    got = sorted(r.run for r in readers.read_runs(spark, path, "a").collect())
+    assert got in (list(range(10)), list(range(20)))
+    assert sorted(r.run for r in readers.read_runs(spark, path, "b").collect()) == list(range(20, 30))
+
+
+def test_a_log_is_compacted_beside_its_writers(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "runs")
+    one = lambda v: spark.createDataFrame([(v,)], "run int")
+    runs = lambda x="a": sorted(r.run for r in readers.read_runs(spark, path, x).collect())
+    writers.append_runs(one(0), path, "a")
+    writers.replace_runs(one(1), path, "a")
+    writers.append_runs(one(2), path, "a")
+    writers.append_runs(one(9), path, "b")
+    commit = writers._commit
+    monkeypatch.setattr(writers, "_commit", lambda *x, **k: (commit(one(3), path, "a", writers._new_version(), "append"), commit(*x, **k)))
+    assert writers.compact_runs(spark, path, "a") == 2  # a version is written while the others are merged
+    monkeypatch.setattr(writers, "_commit", commit)
+    assert runs() == [1, 2, 3] and runs("b") == [9]
+    assert writers.vacuum_runs(spark, path, "a") == 3 and runs() == [1, 2, 3] and runs("b") == [9]
+    assert writers.compact_runs(spark, path, "b") == 0
+    writers.replace_runs(one(4).limit(0), path, "a")
+    assert runs() == []
+
+
+def test_a_version_counts_only_when_it_is_whole(spark, tmp_path):
+    path = str(tmp_path / "runs")
+    writers.append_runs(spark.range(3), path, "a")
+    spark.range(5).write.parquet(f"{path}/experiment=a/version=z")
+    assert readers.read_runs(spark, path, "a").count() == 3
+
+
 def test_schemas_match_the_declared_tables():
     assert [len(s.fields) for s in (C.CAMPAIGN_SCHEMA, C.SCHEDULE_SCHEMA, C.REPORT_SCHEMA, C.SHAPE_SCHEMA, C.MAPPING_SCHEMA)] == [
         17, 6, 10, 2, 2
