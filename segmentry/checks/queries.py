@@ -20,6 +20,7 @@ from segmentry.plans import campaign_table, segments
 from segmentry.session import cut, fresh_path
 from segmentry.sources import domain_views as V
 from segmentry.sources import readers, writers
+from segmentry.sources.keyed import Keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -576,6 +577,17 @@ def saved_table(spark, sf):
     return spark.table("saved_schedules")
 
 
+@query
+def stored_by_key(spark, sf):
+    """Reports and campaigns stored by campaign, joined and summed up per campaign without a shuffle of the reports."""
+    path = fresh_path(spark, "keyed")
+    reports = clean.require(clean.clean_reports(V.reports(spark, sf)), C.REQUIRED_REPORT).select("KEY", "TIME_CLK")
+    campaigns = joins.with_industry(dimension(spark, sf), V.industries(spark, sf)).select("KEY", "INDUSTRY")
+    kept = Keyed.store(reports, "reports_by_key", "KEY", 16, path)
+    both = kept.join(Keyed.store(campaigns, "campaigns_by_key", "KEY", 16, path, hot=[]))
+    return both.aggregate(F.count(F.lit(1)).alias("n"), F.sum("TIME_CLK").alias("clicks"), F.max("INDUSTRY").alias("industry"))
+
+
 @query
 def reset_table(spark, sf):
     """A dataset that is emptied and written again holds the second writing only."""

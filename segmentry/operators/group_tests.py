@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from segmentry.functions.normality import shapiro_z, with_weight
 from segmentry.functions.scalar import effect_label
 from segmentry.functions.special import chi2_p, f_p, normal_p
-from segmentry.operators.ordering import running_total, split_points
+from segmentry.operators.ordering import running_total, weighted_points
 from segmentry.session import cut
 
 TEST = ["factor", "measure"]
@@ -75,7 +75,7 @@ def group_moments(sized: DataFrame) -> DataFrame:
 
 def positions(sized: DataFrame, points: Sequence | None = None) -> DataFrame:
     """Sized counts with the number of smaller values in the same level (`before`), stored for reuse."""
-    points = split_points(sized, "value") if points is None else points
+    points = weighted_points(sized, "value") if points is None else points
     return cut(running_total(sized, GROUP, "value", "n", points))
 
 
@@ -165,7 +165,7 @@ def welch(moments: DataFrame) -> DataFrame:
 def average_ranks(counts: DataFrame, points: Sequence | None = None) -> DataFrame:
     """Value counts with the average rank of the value among all values of the test."""
     valid = _valid(counts)
-    ranked = running_total(valid, TEST, "value", "n", split_points(valid, "value") if points is None else points)
+    ranked = running_total(valid, TEST, "value", "n", weighted_points(valid, "value") if points is None else points)
     return ranked.withColumn("rank", F.col("before") + (F.col("tied") + 1) / 2)
 
 
@@ -274,7 +274,7 @@ def run_all_tests(
     if normality not in ("shapiro", "jarque_bera"):
         raise ValueError(f"unknown normality test: {normality}")
     counts = value_counts(facts, factors, measures)
-    points = split_points(_valid(counts), "value")
+    points = weighted_points(_valid(counts), "value")
     placed = positions(sized_counts(counts), points)
     moments = group_moments(placed)
     by_level = shapiro(placed, alpha) if normality == "shapiro" else jarque_bera(moments, alpha)

@@ -1,8 +1,9 @@
 """Running totals, dense ids and duplicates without a one-task window.
 
 A total order over all rows is cut at split points into many pieces. Each piece is sorted on its own, and
-the totals of the pieces before it are added. Split points come from a hash sample of the distinct values,
-so they are the same on every run and after every lost executor.
+the totals of the pieces before it are added. Split points come from a hash sample of the distinct values, the same on
+every run, or from a quantile sketch of the rows where values are numbers and some have far more rows than others. Either way
+they are constants of the plan, so a lost executor changes nothing.
 """
 
 from __future__ import annotations
@@ -34,6 +35,24 @@ def split_points(df: DataFrame, column: str, pieces: int | None = None, is_disti
     return sorted({ordered[int(i * step)] for i in range(1, pieces)}) if ordered else []
 
 
+def weighted_points(df: DataFrame, column: str, pieces: int | None = None) -> list[float]:
+    """At most `pieces - 1` values of a numeric column that cut the rows, not the distinct values, into pieces of similar size.
+
+    They come from one quantile sketch, merged before the shuffle and of a size that grows with `pieces` only. A value
+    with more rows than a piece cannot be parted. The points differ a little from run to run; results do not depend on them.
+    """
+    if pieces is None:
+        pieces = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if pieces < 2:
+        return []
+    size = min(65_535, max(200, 64 * pieces))
+    rows = df.select(F.col(f"`{column}`").cast("double").alias("v")).dropna()
+    sketch = rows.agg(F.count("v").alias("n"), F.kll_sketch_agg_double("v", size).alias("sketch"))
+    ranks = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+    found = sketch.select(F.when(F.col("n") > 0, F.kll_sketch_get_quantile_double("sketch", ranks)).alias("points")).first()
+    return sorted(set(found.points or []))
+
+
 def with_piece(df: DataFrame, column: str, points: Sequence, out: str) -> DataFrame:
     """Add the number of split points that are not above the value: binary search, one projection per halving."""
     value = F.col(f"`{column}`")

@@ -28,6 +28,23 @@ def test_split_points_do_not_depend_on_partitions(spark):
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 5000 / 16 * 2.5
 
 
+def test_weighted_points_part_rows_evenly_on_skewed_values(spark):
+    """The lowest tenth of 2,000 values has nine tenths of the rows, none more than a piece."""
+    copies = F.when(F.col("id") < 200, 162).otherwise(2)
+    df = spark.range(2000).select((F.col("id") * F.col("id") / 7).alias("v"), F.explode(F.sequence(F.lit(1), copies)).alias("c"))
+    points = ordering.weighted_points(df, "v", 16)
+    sizes = sorted(r["count"] for r in ordering.with_piece(df, "v", points, "p").groupBy("p").count().collect())
+    assert len(sizes) == 16 and sizes[-1] < 2 * sizes[8]
+    distinct = ordering.with_piece(df, "v", ordering.split_points(df, "v", 16), "p").groupBy("p").count().collect()
+    assert max(r["count"] for r in distinct) > 4 * sizes[-1]
+
+
+def test_weighted_points_of_nothing_and_of_one_value(spark):
+    assert ordering.weighted_points(spark.createDataFrame([(None,)], "v double"), "v", 4) == []
+    assert ordering.weighted_points(spark.range(9).select(F.lit(2.0).alias("v")), "v", 4) == [2.0]
+    assert ordering.weighted_points(spark.range(9), "id", 1) == []
+
+
 @pytest.mark.parametrize("n_points", [0, 1, 2, 3, 7, 8, 9, 100])
 def test_piece_is_the_number_of_points_not_above(spark, n_points):
     points = [i * 3 for i in range(n_points)]
