@@ -163,9 +163,9 @@ def cleaned(docs: DataFrame, length: int = 100) -> DataFrame:
     numbered = repeats.with_ids(docs)
     columns = docs.columns  # carried by number, whatever their names are
     text_at, size_at = columns.index("text"), columns.index("n_chars") if "n_chars" in columns else None
-    rows = numbered.join(_gathered(picked(numbered), length), "doc_id", "left").select(
-        *[column(c).alias(f"c{i}") for i, c in enumerate(columns)], "_spans"
-    )
+    spans = _gathered(picked(numbered), length).withColumnRenamed("doc_id", "id")
+    named = numbered.select(column("doc_id").alias("id"), *[column(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    rows = named.join(spans, "id", "left").select(*[f"c{i}" for i in range(len(columns))], "_spans")
 
     def start():
         def work(batch):

@@ -419,3 +419,12 @@ def test_empty_tables_give_empty_tables(spark, vocabulary):
         assert frame.isEmpty()
 
 
+
+
+def test_repeated_strings_stage_keeps_clashing_columns(spark):
+    passage = "a passage that is long enough to be a repeated string of its own, word by word, until it has a hundred bytes "
+    rows = [(1, "x " + passage, "s", [1]), (2, "y " + passage, None, None), (3, None, "t", [2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _spans string, id array<int>")
+    got = sorted(map(tuple, suffixdedup.cleaned(docs, 100).collect()))
+    assert [(r[0], r[2], r[3]) for r in got] == [(1, "s", [1]), (2, None, None), (3, "t", [2])]
+    assert got[0][1] == rows[0][1] and len(got[1][1]) < 10 and got[2][1] is None
