@@ -206,6 +206,16 @@ def analytics_newest_first(spark, sf):
     )
 
 
+@query
+def newest_first_places(spark, sf):
+    """Per date and hour: its rows, and how many rows lie in front of its first and of its last row in the output order."""
+    placed = joins.newest_first(facts(spark, sf).select("DATE", "TIME")).withColumn("at", F.monotonically_increasing_id())
+    moments = cut(placed.groupBy("DATE", "TIME").agg(F.count(F.lit(1)).alias("n"), F.min("at").alias("first"), F.max("at").alias("last")))
+    rows = cut(ordering.running_total(moments, [], "first", "n").withColumnRenamed("before", "in_front").drop("tied"))
+    rows = ordering.running_total(rows, [], "last", "n").withColumn("up_to_last", F.col("before") + F.col("n"))
+    return dates_as_text(rows.select("DATE", "TIME", "n", "in_front", "up_to_last"))
+
+
 @query
 def segment_summary(spark, sf):
     """Flagship: the whole way from raw tables to mean measures per segment."""
@@ -760,6 +770,17 @@ def factor_selection(spark, sf):
 # Labels
 
 
+@query
+def selected_labels(spark, sf):
+    """Tests, kept factors, and labels from them, on measures that system and quarter move and other factors do not."""
+    rows, shift = facts(spark, sf), F.lit(0)
+    for factor, step in (("OS_TYPE", 1), ("START_QUARTER", 3)):
+        shift = shift + step * (F.array_position(F.array(*map(F.lit, C.FACTOR_LEVELS[factor])), F.col(factor)) - 1)
+    moved = {m: F.col(f"`{m}`") + scale * shift for m, scale in zip(C.MEASURES, (0.5, 2000.0, 1.0))}
+    _, kept, table = segments.test_and_label(cut(rows.withColumns(moved)))
+    return table.groupBy("MASTER_LABEL").agg(F.count(F.lit(1)).alias("n"), near(F.avg("CVR")).alias("avg_cvr")).withColumn("kept", F.lit(",".join(kept)))
+
+
 @query
 def label_map(spark, sf):
     """Label of every combination, with its rows."""

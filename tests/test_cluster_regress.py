@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.ml.clustering import GaussianMixture
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
@@ -168,6 +169,17 @@ def test_split_is_one_in_five_and_repeatable(rows):
     assert cells.select(keys).exceptAll(again.select(keys)).isEmpty()
 
 
+def test_split_follows_the_plain_hash_of_the_keys(spark):
+    """xxHash64 of the keys as eight bytes each, the hash of one key being the seed of the next; one row in five is held out."""
+    rows = spark.range(500).select("id", (F.col("id") * 37 % 91 - 40).alias("b"), regress.holdout([F.col("id"), F.col("id") * 37 % 91 - 40]).alias("held"))
+    for r in rows.collect():
+        seed = 42
+        for value in (r.id, r.b):
+            seed = xxhash.xxh64(value.to_bytes(8, "little", signed=True), seed=seed).intdigest()
+        signed = seed - 2**64 if seed >= 2**63 else seed
+        assert r.held == (signed % 5 == 0)
+
+
 def test_constant_target_needs_no_model(fitted):
     assert [(r.GMM_CLUSTER, r.measure, r.value) for r in fitted.constants.collect()] == [(1, "ATS", 0.5)]
     assert {(r.GMM_CLUSTER, r.measure) for r in fitted.models.collect()} == {
