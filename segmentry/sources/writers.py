@@ -99,7 +99,7 @@ def replace_runs(runs: DataFrame, path: str, experiment: str) -> None:
 
 def live_versions(versions: DataFrame) -> DataFrame:
     """`version` of the versions that count: from the last replacement on, and not merged into another."""
-    every = versions.agg(
+    every = versions.groupBy(F.lit(1).alias("log")).agg(
         F.collect_list("version").alias("every"), F.flatten(F.collect_list("replaced")).alias("merged"),
         F.max(F.when(F.col("kind") == "replace", F.col("version"))).alias("last"),
     )
