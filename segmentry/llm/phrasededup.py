@@ -1,14 +1,17 @@
 """Remove recurring passages: every word under a window of words that also starts anywhere else.
 
-Only runs of windows whose anchor occurs elsewhere can recur (`repeats`). Each distinct context of such an anchor
-goes once to the shard of its anchor, with the number of its occurrences. A shard confirms which of its windows
-recur, compiles the passages they form into an Aho-Corasick automaton over words, block after block of anchors, and
-streams all its contexts through the automaton to locate every occurrence of every passage. The places found then
-go back to every document that holds the context, so that all windows of all documents are judged.
+Only runs of windows whose anchor occurs elsewhere can recur (`repeats`); each distinct context of such an anchor is
+taken once, with the number of its occurrences. Three steps follow, the same for every anchor:
 
-The contexts of a hot anchor (more than HOT_CONTEXTS distinct ones) never meet: each is dealt by its own hash, its
-windows are counted over all tasks with partial sums, and the windows that recur go back to the contexts, which are
-then located in blocks of bounded size.
+1. Confirm: the windows of all contexts are counted with partial sums. A window that recurs keeps the smallest context
+   that holds it, and a mark that stands for all its places. Windows that follow each other in a context, at the same
+   places everywhere, form one passage, a text without places. An anchor with a single context has it as its passage.
+2. Compile: the passages of some anchors go into an Aho-Corasick automaton over words.
+3. Locate: all contexts of these anchors are streamed through it; only what it finds is removed. The places go back
+   to every document that holds the context.
+
+Passages and contexts of an anchor are parted by hash into blocks of about `BLOCK_WORDS` words, and every block of
+passages meets every part of the contexts, so that no task holds a whole anchor, however hot it is.
 
 Defined cases: NULL text has no words; texts shorter than a window stay whole; rows that repeat another row repeat
 all its windows; rows that share an id hold the same text; an empty table gives an empty
@@ -32,10 +35,8 @@ from segmentry.session import cut
 
 #: Words of the anchor, and words whose hashes a task remembers.
 ANCHOR, CACHE_WORDS, CACHE_LENGTH = 8, 300_000, 40
-#: Words of the contexts that one automaton holds; the contexts of an anchor are parted only if it is hot.
+#: Words of the passages of one automaton, and of the contexts that are dealt to it together.
 BLOCK_WORDS = 400_000
-#: Distinct contexts of an anchor that one task compares in memory; the windows of other anchors are counted by Spark.
-HOT_CONTEXTS = 256
 SPANS = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
 
 
@@ -60,47 +61,64 @@ def word_tokenizer():
     return tokens
 
 
-def window_digests(words: list[bytes], window: int) -> list[bytes]:
+def window_digests(words: list[bytes], window: int) -> list[int]:
+    """A 128-bit hash of every window."""
     joined = b" ".join(words)
     edges = np.cumsum([0, *[len(w) + 1 for w in words]])
     return [
-        xxhash.xxh3_128_digest(joined[i:j])
+        xxhash.xxh3_128_intdigest(joined[i:j])
         for i, j in zip(edges[: len(words) - window + 1].tolist(), (edges[window:] - 1).tolist(), strict=True)
     ]
 
 
-def passages_of(context: int, is_recurring: list[bool], window: int) -> list[tuple[int, int, int]]:
-    edges = np.flatnonzero(np.diff(np.array([0, *is_recurring, 0], np.int8)))
-    return [(context, a, b + window - 1) for a, b in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
-
+def _halves(digests: list[int]) -> np.ndarray:
+    """Both halves of 128-bit hashes as signed numbers, one row each."""
+    raw = b"".join([d.to_bytes(16, "little") for d in digests])
+    return np.frombuffer(raw, np.int64).reshape(-1, 2)
 
-def recurring(contexts: list[list[bytes]], counts: list[int], window: int) -> list[tuple[int, int, int]]:
-    """Passages of one anchor's distinct contexts: context, first word, end. Every window in them occurs elsewhere."""
-    if len(contexts) == 1:
-        return [(0, 0, len(contexts[0]))] if counts[0] > 1 else []
-    seen: dict[bytes, int] = {}
-    windows = []
-    for words, n in zip(contexts, counts, strict=True):
-        own = window_digests(words, window)
-        windows.append(own)
-        for h in own:
-            seen[h] = seen.get(h, 0) + n
-    return [p for i, own in enumerate(windows) for p in passages_of(i, [seen[h] > 1 for h in own], window)]
 
+def place_marks(context: int, n: int) -> np.ndarray:
+    """A mark for each window of a context: the hash of the context, turned by the place.
 
-def located(contexts: list[list[bytes]], passages: list[tuple[int, int, int]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    The marks of a window at all its places are joined by XOR. Turning commutes with that, so a window starts one word
+    after another one at all places of both if its joined mark is the other's, turned once more.
+    """
+    turn = np.arange(n, dtype=np.uint64) % np.uint64(64)
+    value = np.full(n, context & (1 << 64) - 1, np.uint64)
+    return ((value << turn) | (value >> (np.uint64(64) - turn) % np.uint64(64))).view(np.int64)
+
+
+def passages_of(words: list[bytes], marks: dict[int, int], window: int) -> set[bytes]:
+    """Passages of a context that hold its windows in `marks` (digest -> joined mark); windows with the same places go together."""
+    own = window_digests(words, window)
+    out, begin = set(), None
+    for i, h in enumerate(own):
+        mark = marks.get(h)
+        if mark is None:
+            continue
+        if begin is None:
+            begin = i
+        after = marks.get(own[i + 1]) if i + 1 < len(own) else None
+        turned = (mark << 1 | mark >> 63) & (1 << 64) - 1
+        # Marks repeat after 64 places, so longer contexts give one passage a window.
+        if after != turned or len(own) > 64:
+            out.add(b" ".join(words[begin : i + window]))
+            begin = None
+    return out
+
+
+def located(contexts: list[list[bytes]], passages: list[list[bytes]]) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """Stream contexts through the automaton of the passages: context and the spans of words that passages cover."""
     numbers: dict[bytes, int] = {}
-    texts = [tuple([numbers.setdefault(w, len(numbers)) for w in words]) for words in contexts]
     automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-    for i, a, b in passages:
-        automaton.add_word(texts[i][a:b], b - a)
+    for words in passages:
+        automaton.add_word(tuple([numbers.setdefault(w, len(numbers) + 1) for w in words]), len(words))
     if not len(automaton):
         return
     automaton.make_automaton()
-    for i, text in enumerate(texts):
+    for i, words in enumerate(contexts):
         spans: list[tuple[int, int]] = []
-        for last, size in automaton.iter(text):
+        for last, size in automaton.iter(tuple([numbers.get(w, 0) for w in words])):
             begin = last + 1 - size
             while spans and spans[-1][1] >= begin:
                 begin = min(begin, spans.pop()[0])
@@ -109,105 +127,118 @@ def located(contexts: list[list[bytes]], passages: list[tuple[int, int, int]]) -
             yield i, spans
 
 
-def _blocks(batches) -> Iterator[tuple[bool, list[tuple[int, int, int, list[bytes]]]]]:
-    """Whether they are of hot anchors, and rows (key, context, n, words), which come sorted by key.
+def windows_of(contexts: DataFrame, window: int) -> DataFrame:
+    """`key`, `high`, `low` (hash of the window), `n`, `context`, `mark` for every window of every context."""
 
-    Blocks hold whole keys, or any contexts of hot ones.
-    """
-    block, size, last = [], 0, (None, None)
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in ("key", "context", "n", "words", "hot")]
-        for k, c, n, words, hot in zip(*columns, strict=True):
-            if block and (hot != last[1] or size >= BLOCK_WORDS and (hot or k != last[0])):
-                yield last[1], block
-                block, size = [], 0
-            words = words.split(b" ")
-            block.append((k, c, n, words))
-            size += len(words)
-            last = k, hot
-    if block:
-        yield last[1], block
+    def start():
+        def work(batch):
+            names = ("key", "n", "context")
+            keys, counts, ids = (batch.column(c).to_numpy() for c in names)
+            digests = [window_digests(w.split(b" "), window) for w in as_bytes(batch, "words")]
+            size = np.array([len(d) for d in digests], np.int64)
+            halves = _halves([d for own in digests for d in own])
+            marks = [place_marks(c, n) for c, n in zip(ids.tolist(), size.tolist(), strict=True)]
+            repeated = [pa.array(np.repeat(x, size)) for x in (keys, counts, ids)]
+            marks = pa.array(np.concatenate(marks) if marks else np.empty(0, np.int64))
+            columns = [*repeated, pa.array(halves[:, 1].copy()), pa.array(halves[:, 0].copy()), marks]
+            yield pa.RecordBatch.from_arrays(columns, [*names, "high", "low", "mark"])
 
+        return work
 
-def _located_columns(block: list[tuple], texts: list[list[bytes]], passages: list[tuple[int, int, int]]) -> list[pa.Array]:
-    found = list(located(texts, passages))
-    return [
-        pa.array([block[i][0] for i, _ in found], pa.int64()),
-        pa.array([block[i][1] for i, _ in found], pa.int64()),
-        pa.array([[{"start": a, "end": b} for a, b in spans] for _, spans in found], SPANS),
-    ]
+    return map_texts(contexts, "key long, n long, context long, high long, low long, mark long", start)
 
 
-def locate(contexts: DataFrame, window: int) -> DataFrame:
-    """`key`, `context`, `spans` (words of the context under recurring windows), shard by shard.
+def confirmed(contexts: DataFrame, window: int) -> DataFrame:
+    """`key`, `words`, `size` (in words) of the passages that recur; passages do not tell where."""
+    several = contexts.filter("NOT alone").select("key", "context", "n", "words")
+    again = windows_of(several, window).groupBy("key", "high", "low").agg(
+        F.sum("n").alias("n"), F.min("context").alias("context"), F.expr("bit_xor(mark)").alias("mark")
+    )
+    held = again.filter("n > 1").groupBy("key", "context").agg(F.collect_list(F.struct("high", "low", "mark")).alias("windows"))
+    rows = several.select("key", "context", "words").join(held, ["key", "context"])
 
-    For contexts of hot anchors, which all tasks share, `spans` is NULL and `n`, `words` and the digests of the
-    `windows` are given instead.
-    """
+    def start():
+        whole = (1 << 64) - 1
 
-    def shard(batches):
-        names = ["key", "context", "spans", "n", "words", "windows"]
-        for is_hot, block in _blocks(batches):
-            texts = [row[3] for row in block]
-            if is_hot:
-                columns = [pa.array([row[i] for row in block], pa.int64()) for i in (0, 1, 2)]
-                columns.insert(2, pa.nulls(len(block), SPANS))
-                columns.append(pa.array([b" ".join(t) for t in texts], pa.binary()))
-                columns.append(pa.array([window_digests(t, window) for t in texts], pa.list_(pa.binary())))
-                yield pa.RecordBatch.from_arrays(columns, names)
-                continue
-            passages, at = [], 0
-            while at < len(block):
-                end = at
-                while end < len(block) and block[end][0] == block[at][0]:
-                    end += 1
-                passages += [(at + i, a, b) for i, a, b in recurring(texts[at:end], [row[2] for row in block[at:end]], window)]
-                at = end
-            columns = _located_columns(block, texts, passages)
-            size = len(columns[0])
-            columns += [pa.nulls(size, pa.int64()), pa.nulls(size, pa.binary()), pa.nulls(size, pa.list_(pa.binary()))]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = "key long, context long, spans array<struct<start: int, end: int>>, n long, words binary, windows array<binary>"
-    # The contexts of a hot anchor are dealt one by one.
-    salt = F.when(F.col("hot"), F.col("context")).otherwise(F.lit(0))
-    return contexts.repartition("key", salt).sortWithinPartitions("key", "context").mapInArrow(shard, schema)
-
-
-def locate_hot(hot: DataFrame, window: int) -> DataFrame:
-    """`key`, `context`, `spans` of the distinct `key`, `context`, `n`, `words`, `windows` of hot anchors.
-
-    The recurring windows are written first, so that both sides of the join come straight from a shuffle and
-    adaptive execution can split the part of a window that many contexts share.
-    """
-    each = hot.select("key", "context", "n", F.posexplode("windows").alias("at", "window"))
-    again = cut(each.groupBy("key", "window").agg(F.sum("n").alias("n")).filter("n > 1").select("key", "window"))
-    places = each.join(again, ["key", "window"]).groupBy("key", "context").agg(F.collect_set("at").alias("places"))
-    rows = hot.select("key", "context", "words", F.size("windows").alias("n")).join(places, ["key", "context"])
-    rows = rows.withColumn("hot", F.lit(True))
+        def work(batch):
+            keys, out = [], []
+            windows = batch.column("windows").to_pylist()
+            for key, words, own in zip(batch.column("key").to_pylist(), as_bytes(batch, "words"), windows, strict=True):
+                marks = {(w["high"] & whole) << 64 | w["low"] & whole: w["mark"] & whole for w in own}
+                found = passages_of(words.split(b" "), marks, window)
+                keys += [key] * len(found)
+                out += sorted(found)
+            sizes = pa.array([w.count(b" ") + 1 for w in out], pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(out, pa.binary()), sizes], ["key", "words", "size"])
+
+        return work
+
+    parts = map_texts(rows, "key long, words binary, size long", start)
+    return parts.unionByName(contexts.filter("alone").select("key", "words", "size"))
+
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """Parts of about BLOCK_WORDS words, for the keys that need more than one."""
+    total = rows.groupBy("key").agg(F.sum("size").alias("size")).filter(F.col("size") > BLOCK_WORDS)
+    return total.select("key", F.ceil(F.col("size") / BLOCK_WORDS).alias("parts"))
 
-    def shard(batches):
-        places: list[list[int]] = []
 
-        def noted():
-            for batch in batches:
-                places.extend(batch.column("places").to_pylist())
-                yield batch
+def located_contexts(contexts: DataFrame, passages: DataFrame) -> DataFrame:
+    """`key`, `context`, `spans` (words of the context under passages); a context has a row for each block that hits it."""
+    wide = cut(_parts(passages).withColumnRenamed("parts", "blocks").join(_parts(contexts), "key", "full"))
+    blocks, parts = (F.coalesce(c, F.lit(1)).cast("long") for c in ("blocks", "parts"))
 
-        for _, block in _blocks(noted()):
-            own, places[: len(block)] = places[: len(block)], []
-            passages = []
-            for i, (row, at) in enumerate(zip(block, own, strict=True)):
-                at = set(at)
-                passages += passages_of(i, [k in at for k in range(row[2])], window)
-            yield pa.RecordBatch.from_arrays(_located_columns(block, [row[3] for row in block], passages), ["key", "context", "spans"])
+    def every(n):
+        return F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+
+    patterns = passages.join(wide, "key", "left").withColumn("block", F.pmod(F.xxhash64("words"), blocks))
+    patterns = patterns.select("key", "block", every(parts).alias("part"), F.lit(None).cast("long").alias("context"), "words")
+    streams = contexts.join(wide, "key", "left").withColumn("part", F.pmod(F.xxhash64("context"), parts))
+    streams = streams.select("key", every(blocks).alias("block"), "part", "context", "words")
+    dealt = ["key", "block", "part"]
+    # Contexts are never NULL, so the passages of an anchor come before the contexts they are sought in.
+    rows = patterns.unionByName(streams).repartition(*dealt).sortWithinPartitions(*dealt, F.col("context").asc_nulls_first())
+
+    def shard(batches):
+        for keys, ids, texts, found in _shards(batches):
+            hits = list(located(texts, found))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array([keys[i] for i, _ in hits], pa.int64()),
+                    pa.array([ids[i] for i, _ in hits], pa.int64()),
+                    pa.array([[{"start": a, "end": b} for a, b in spans] for _, spans in hits], SPANS),
+                ],
+                ["key", "context", "spans"],
+            )
 
     return rows.mapInArrow(shard, "key long, context long, spans array<struct<start: int, end: int>>")
 
 
+def _shards(batches) -> Iterator[tuple[list[int], list[int], list[list[bytes]], list[list[bytes]]]]:
+    """Keys, numbers and words of contexts, and passages, of whole (key, block, part) in a row, about BLOCK_WORDS words together."""
+    keys, ids, texts, found, size, last = [], [], [], [], 0, None
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in ("key", "block", "part", "context", "words")]
+        for key, block, part, context, words in zip(*columns, strict=True):
+            if size >= BLOCK_WORDS and (key, block, part) != last:
+                yield keys, ids, texts, found
+                keys, ids, texts, found, size = [], [], [], [], 0
+            last = key, block, part
+            words = words.split(b" ")
+            size += len(words)
+            if context is None:
+                found.append(words)
+                continue
+            keys.append(key)
+            ids.append(context)
+            texts.append(words)
+    if texts:
+        yield keys, ids, texts, found
+
+
 def cut_contexts(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
-    """`key`, `context`, `n`, `hot`, `words` (joined by a space) for each wanted `key`, `context`, `n`, `hot`, `doc_id`, `place`."""
-    per_document = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "key", "context", "n", "hot")).alias("runs"))
+    """`key`, `context`, `n`, `alone`, `words` (joined by a space), `size` for each wanted `key`, `context`, `n`, `alone`, `doc_id`, `place`."""
+    per_document = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "key", "context", "n", "alone")).alias("runs"))
     rows = texts.join(per_document, "doc_id", "left")
 
     def start():
@@ -216,32 +247,35 @@ def cut_contexts(wanted: DataFrame, texts: DataFrame, window: int) -> DataFrame:
             for text, own in zip(as_bytes(batch), batch.column("runs").to_pylist(), strict=True):
                 words = text.split() if own else ()
                 for run in own or ():
-                    at = run["place"] >> 16
-                    passage = b" ".join(words[at : at + (run["place"] >> 8 & 255) + window - 1])
-                    out.append((run["key"], run["context"], run["n"], run["hot"], passage))
-            columns = list(zip(*out, strict=True)) or [()] * 5
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-            names = ["key", "context", "n", "hot", "words"]
+                    at, size = run["place"] >> 16, (run["place"] >> 8 & 255) + window - 1
+                    out.append((run["key"], run["context"], run["n"], run["alone"], b" ".join(words[at : at + size]), size))
+            columns = list(zip(*out, strict=True)) or [()] * 6
+            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.int64()]
+            names = ["key", "context", "n", "alone", "words", "size"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
 
         return work
 
-    return map_texts(rows, "key long, context long, n long, hot boolean, words binary", start)
+    return map_texts(rows, "key long, context long, n long, alone boolean, words binary, size long", start)
+
+
+def one_row_each(texts: DataFrame) -> DataFrame:
+    """One row for each `doc_id`. Only rows whose id repeats are grouped; the others stay where they are."""
+    repeated = cut(texts.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id"))
+    once = texts.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return texts.join(repeated, "doc_id", "left_anti").unionByName(once)
 
 
 def recurring_spans(texts: DataFrame, window: int) -> DataFrame:
     """`doc_id`, `start`, `end` in words, for every place of every recurring passage; spans may overlap."""
-    found = repeats.candidates(texts, word_tokenizer, window, min(ANCHOR, 1 << (window.bit_length() - 1)))
+    anchor = min(ANCHOR, 1 << (window.bit_length() - 1))
+    alone = (F.min("context") == F.max("context")).alias("alone")
+    found = repeats.candidates(texts, word_tokenizer, window, anchor, [alone])
     # Each distinct context once, from its first place in the first document that holds it.
-    counted = cut(found.groupBy("key", "context").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
-    hot = cut(counted.groupBy("key").agg(F.count("*").alias("n")).filter(F.col("n") > HOT_CONTEXTS).select("key", F.lit(True).alias("hot")))
-    counted = counted.join(hot, "key", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
-    firsts = found.filter(~repeats.unpacked(F.col("place"))["again"]).join(counted, ["key", "context", "doc_id"])
-    contexts = cut_contexts(firsts.select("key", "context", "n", "hot", "doc_id", "place"), texts, window)
-    first = [F.first(c).alias(c) for c in ("spans", "n", "words", "windows")]
-    settled = cut(locate(contexts, window).groupBy("key", "context").agg(*first))
-    rest = cut(locate_hot(settled.filter("windows IS NOT NULL").drop("spans"), window))
-    spans = settled.filter("windows IS NULL").select("key", "context", "spans").unionByName(rest)
+    counted = cut(found.groupBy("key", "context", "alone").agg(F.count("*").alias("n"), F.min("doc_id").alias("doc_id")))
+    firsts = found.drop("alone").filter(~repeats.unpacked(F.col("place"))["again"]).join(counted, ["key", "context", "doc_id"])
+    contexts = cut(cut_contexts(firsts.select("key", "context", "n", "alone", "doc_id", "place"), one_row_each(texts), window))
+    spans = cut(located_contexts(contexts, cut(confirmed(contexts, window))))
     start = F.col("place_start") + F.col("span.start")
     return (
         found.join(spans, ["key", "context"])

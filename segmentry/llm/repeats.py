@@ -10,7 +10,7 @@ Runs are counted by anchor with partial aggregation, and only runs whose anchor
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -153,14 +153,14 @@ def occurrences(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) ->
     return map_texts(texts, "key long, context long, doc_id long, place long", start)
 
 
-def candidates(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) -> DataFrame:
-    """The occurrences whose anchor occurs at least twice. Written once.
+def candidates(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int, also: Sequence[Column] = ()) -> DataFrame:
+    """The occurrences whose anchor occurs at least twice, with aggregates over its occurrences (`also`). Written once.
 
     The anchors are written first, so that both sides of the join come straight from a shuffle and adaptive
     execution can split the part of an anchor that many documents share.
     """
     found = occurrences(texts, tokenizer, window, k)
-    keys = cut(found.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"))
+    keys = cut(found.groupBy("key").agg(F.count("*").alias("n"), *also).filter("n > 1").drop("n"))
     return cut(found.join(keys, "key"))
 
 

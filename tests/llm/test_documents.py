@@ -223,20 +223,15 @@ def test_contexts_of_a_hot_anchor_are_not_held_together(spark, monkeypatch):
     passage = prose(rng, 40)
     rows = [(i, f"{prose(rng, 30)} {passage} {prose(rng, 30)}") for i in range(120)]
     rows += [(200, rows[0][1]), (201, prose(rng, 90)), (202, f"{passage} {passage}")]
-    located, recurring = phrasededup.located, phrasededup.recurring
+    located = phrasededup.located
 
     def bounded(contexts, passages):
-        assert sum(map(len, contexts)) <= 400 + 8 * 62
+        # Parts are dealt by hash, so one may hold somewhat more than BLOCK_WORDS words of either kind.
+        assert sum(map(len, contexts)) <= 2400 and sum(map(len, passages)) <= 2400
         yield from located(contexts, passages)
 
-    def few(contexts, counts, window):
-        assert len(contexts) <= 8
-        return recurring(contexts, counts, window)
-
-    monkeypatch.setattr(phrasededup, "HOT_CONTEXTS", 8, raising=False)
-    monkeypatch.setattr(phrasededup, "BLOCK_WORDS", 400)
+    monkeypatch.setattr(phrasededup, "BLOCK_WORDS", 800)
     monkeypatch.setattr(phrasededup, "located", bounded)
-    monkeypatch.setattr(phrasededup, "recurring", few)
     found = phrasededup.deduplicate(table(spark, rows), 35).collect()
     expected = plain_phrase_dedup(rows, 35)
     assert len(found) == len(rows) and sum(len(r.spans) > 0 for r in found) >= 121
@@ -244,6 +239,40 @@ def test_contexts_of_a_hot_anchor_are_not_held_together(spark, monkeypatch):
         assert (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) == expected[r.doc_id], r.doc_id
 
 
+def test_only_what_the_automata_find_is_removed(spark, cases, monkeypatch):
+    monkeypatch.setattr(phrasededup, "located", lambda contexts, passages: iter(()))
+    assert all(r.spans == [] for r in phrasededup.deduplicate(table(spark, cases), 35).collect())
+
+
+def test_windows_with_the_same_places_form_one_passage(spark):
+    """Passages break where the places of their windows differ, so that each is found whole wherever a window of it is."""
+    words = [b"w%d" % i for i in range(12)]
+    contexts = {5: words, 9: [b"x", *words[2:9]], 11: [*words[4:7], b"y"]}
+    marks, held = {}, Counter()
+    for context, own in contexts.items():
+        digests = phrasededup.window_digests(own, 3)
+        turned = phrasededup.place_marks(context * 0x9E3779B97F4A7C15, len(digests)).tolist()
+        for h, mark in zip(digests, turned, strict=True):
+            held[h] += 1
+            marks[h] = marks.get(h, 0) ^ mark & (1 << 64) - 1
+    again = {h: m for h, m in marks.items() if held[h] > 1}
+    found = phrasededup.passages_of(words, again, 3)
+    assert found == {b" ".join(words[i:j]) for i, j in ((2, 6), (4, 7), (5, 9))}
+    spans = dict(phrasededup.located(list(contexts.values()), [p.split(b" ") for p in sorted(found)]))
+    assert spans == {0: [(2, 9)], 1: [(1, 8)], 2: [(0, 3)]}
+
+
+def test_repeated_rows_do_not_hide_where_a_passage_breaks(spark):
+    rng = random.Random(8)
+    passage, left, right = prose(rng, 60), prose(rng, 30), prose(rng, 30)
+    ends = [" ".join(passage.split()[:40]), " ".join(passage.split()[20:])]
+    rows = [(i, f"{left if i % 2 else prose(rng, 30)} {t} {right if i % 3 else prose(rng, 30)}") for i, t in enumerate(ends * 3)]
+    rows = rows + rows[:2] + [(9, passage), (9, passage), (9, passage)]
+    expected = plain_phrase_dedup(rows, 35)
+    for r in phrasededup.deduplicate(table(spark, rows), 35).collect():
+        assert (r.n_words, sum(s.end - s.start for s in r.spans), r.kept) == expected[r.doc_id], r.doc_id
+
+
 def test_runs_cover_each_window_once(monkeypatch):
     monkeypatch.setattr(repeats, "BLOCK", 300)
     rng = np.random.default_rng(1)
