@@ -1,6 +1,6 @@
 """Quality scores by positive-unlabelled learning.
 
-Trusted positives are documents labelled good; everything else is unlabelled web text, good and bad mixed. A logistic
+Trusted positives are documents labelled good; all documents are unlabelled web text, good and bad mixed. A logistic
 model on surface features minimises the non-negative unbiased risk: with class prior p, losses of positives as
 positives count p, and unlabelled losses as negatives less p times the positives' ones as negatives, never below zero;
 where that part falls below zero its gradient is turned round. The prior is estimated first, from a discriminator of
@@ -8,11 +8,13 @@ positives against unlabelled text: of no part that is found by its score alone c
 prior times the positive share, so the least ratio is the prior.
 
 Features are the square roots of the shares of ASCII characters, of hashed short words, and of a few counts of words
-and lines (repeats, distinct words, lengths). Samples are bounded: `POSITIVE_ROWS` labelled and `UNLABELLED_ROWS`
-other documents, the ones with the smallest id hash; training runs in one task on them.
+and lines (repeats, distinct words, lengths). They are written once. All documents are dealt by hash into groups of
+about `GROUP_ROWS`, whatever their number; each group estimates its prior and fits a model against the trusted
+positives, and the model is the mean of theirs, on features scaled by the moments of all documents. No task holds
+more than a group. Of the labelled positives at most `POSITIVE_ROWS` are used, those with the smallest id hash.
 
 Defined cases: NULL text is empty; an empty text has features zero and a score like any other; labels other than 1 are
-not used; without a positive label every score is 0; repeated rows give repeated rows; empty tables give empty tables;
+not used; without a positive label every score is 0; rows that repeat id and text count once in the fit and give repeated rows; empty tables give empty tables;
 other columns are ignored.
 """
 
@@ -27,11 +29,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.llm.common import as_bytes, map_texts, picked, send
+from segmentry.llm.common import as_bytes, map_texts, picked, pieces, send
 from segmentry.llm.toxicity import label_rows, smallest_hashes
+from segmentry.session import cut
 
-#: Documents that training reads at most.
-POSITIVE_ROWS, UNLABELLED_ROWS = 6000, 9000
+#: Labelled positives that training reads at most, and documents that are fitted together, on average.
+POSITIVE_ROWS, GROUP_ROWS = 6000, 9000
+#: Tasks that merge the sums of all others.
+MERGERS = 16
 SHORT_WORD, WORD_BUCKETS = 4, 256
 STEPS, RATE = 400, 0.05
 #: Weight decay for n positives is DECAY_ROWS / n, and more for the discriminator of the prior, which must not overfit.
@@ -137,10 +142,8 @@ def class_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     return float(np.clip(np.mean(ratios), 0.05, 0.98)) if ratios else 0.5
 
 
-def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
-    if not len(positive) or not len(unlabelled):
-        return empty_model()
-    mean, scale = unlabelled.mean(0), unlabelled.std(0) + 1e-3
+def train(positive: np.ndarray, unlabelled: np.ndarray, mean: np.ndarray, scale: np.ndarray) -> Model:
+    """Fit one group of unlabelled rows, on features scaled by the moments of all."""
     p, u = (np.clip((x - mean) / scale, -6, 6) for x in (positive, unlabelled))
     prior = class_prior(p, u)
     p, u = np.column_stack((p, np.ones(len(p)))), np.column_stack((u, np.ones(len(u))))
@@ -157,46 +160,101 @@ def train(positive: np.ndarray, unlabelled: np.ndarray) -> Model:
 
 
 def _featured(docs: DataFrame) -> DataFrame:
+    """`doc_id`, `x` (features, float32 numbers as bytes)."""
+
     def start():
         buckets: dict[bytes, int] = {}
 
         def work(batch):
             if len(buckets) > 1_000_000:
                 buckets.clear()
-            rows = [features(t, buckets) for t in as_bytes(batch)]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.list_(pa.float32()))], ["doc_id", "x"])
+            rows = [features(t, buckets).tobytes() for t in as_bytes(batch)]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], ["doc_id", "x"])
 
         return work
 
-    return map_texts(docs, "doc_id long, x array<float>", start)
+    return map_texts(docs, "doc_id long, x binary", start)
+
+
+def _matrix(values: list[bytes]) -> np.ndarray:
+    return np.frombuffer(b"".join(values), np.float32).reshape(-1, N_FEATURES)
+
+
+def _summed(parts: DataFrame) -> np.ndarray | None:
+    """The sum of all `part`, arrays of float64 as bytes; only one such array comes to the driver."""
+
+    def merged(batches):
+        total = None
+        for batch in batches:
+            for part in batch.column("part").to_pylist():
+                own = np.frombuffer(part, np.float64)
+                total = own if total is None else total + own
+        if total is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+    for tasks in (MERGERS, 1):
+        parts = parts.repartition(tasks).mapInArrow(merged, "part binary")
+    found = parts.collect()
+    return np.frombuffer(bytes(found[0].part), np.float64) if found else None
+
+
+def moments(rows: DataFrame) -> tuple[int, np.ndarray, np.ndarray]:
+    """Number of rows, and mean and scale of their features."""
+
+    def partial(batches):
+        total = np.zeros(1 + 2 * N_FEATURES)
+        for batch in batches:
+            for piece in pieces(batch):
+                x = _matrix(piece.column("x").to_pylist()).astype(np.float64)
+                total += np.concatenate(([len(x)], x.sum(0), np.square(x).sum(0)))
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+    total = _summed(rows.select("x").mapInArrow(partial, "part binary"))
+    if total is None or not total[0]:
+        return 0, np.zeros(N_FEATURES), np.ones(N_FEATURES)
+    mean, square = total[1:].reshape(2, -1) / total[0]
+    return int(total[0]), mean, np.sqrt(np.maximum(square - mean * mean, 0)) + 1e-3
 
 
 def learn(
-    docs: DataFrame, labels: DataFrame, label: str = "quality", positive_rows: int = POSITIVE_ROWS,
-    unlabelled_rows: int = UNLABELLED_ROWS,
+    docs: DataFrame, labels: DataFrame, label: str = "quality", positive_rows: int = POSITIVE_ROWS, group_rows: int = GROUP_ROWS
 ) -> Model:
-    """Fit on documents of `docs` that `labels` calls good, and on any documents of `docs`."""
-    texts = picked(docs)
+    """Fit on documents of `docs` that `labels` calls good, and on all documents of `docs` as unlabelled text."""
     good = smallest_hashes(label_rows(labels, label).filter("label = 1").select("doc_id"), positive_rows)
-    some = smallest_hashes(texts.select("doc_id").filter("doc_id is not null").distinct(), unlabelled_rows)
-    chosen = good.withColumn("kind", F.lit(1)).unionByName(some.withColumn("kind", F.lit(0)))
-    kinds = chosen.groupBy("doc_id").agg(F.max("kind").alias("positive"), F.min("kind").alias("kind"))
-    kinds = kinds.select("doc_id", "positive", (F.col("kind") == 0).cast("int").alias("unlabelled"))
-    rows = _featured(texts.join(F.broadcast(kinds.select("doc_id")), "doc_id")).join(F.broadcast(kinds), "doc_id")
+    rows = cut(_featured(picked(docs)).dropDuplicates(["doc_id", "x"]))
+    found = rows.join(F.broadcast(good), "doc_id").select("doc_id", "x").orderBy("doc_id", "x").collect()
+    if not found:
+        return empty_model()
+    # Texts that differ under one id are one document, the first by its features.
+    texts = {r.doc_id: bytes(r.x) for r in reversed(found)}
+    n, mean, scale = moments(rows)
+    groups = max(1, round(n / group_rows))
+    shared = send(rows, (_matrix([texts[i] for i in sorted(texts)]), mean, scale))
 
     def fit(batches):
-        tables = [b for b in batches if b.num_rows]
-        if not tables:
-            yield pa.RecordBatch.from_arrays([pa.array([empty_model().to_bytes()], pa.binary())], ["model"])
-            return
-        table = pa.Table.from_batches(tables)
-        ids, first = np.unique(table["doc_id"].to_numpy(), return_index=True)
-        x = np.stack(table["x"].to_pandas().to_numpy())[first]
-        positive, unlabelled = (table[c].to_numpy()[first] == 1 for c in ("positive", "unlabelled"))
-        yield pa.RecordBatch.from_arrays([pa.array([train(x[positive], x[unlabelled]).to_bytes()], pa.binary())], ["model"])
-
-    found = rows.select("doc_id", "x", "positive", "unlabelled").repartition(1).mapInArrow(fit, "model binary").collect()
-    return Model.from_bytes(bytes(found[0].model)) if found else empty_model()
+        positive, mean, scale = shared()
+        held, last, total = [], None, np.zeros(N_FEATURES + 3)
+
+        def fitted():
+            model = train(positive, _matrix(held), mean, scale)
+            return np.concatenate((model.weights, [model.bias, model.prior, 1]))
+
+        for batch in batches:
+            for group, x in zip(batch.column("group").to_pylist(), batch.column("x").to_pylist(), strict=True):
+                if group != last and held:
+                    total, held = total + fitted(), []
+                last = group
+                held.append(x)
+        if held:
+            total = total + fitted()
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["part"])
+
+    dealt = rows.select(F.pmod(F.xxhash64("doc_id", "x"), F.lit(groups)).alias("group"), "doc_id", "x")
+    # The number of partitions is given, so that adaptive execution does not put many small groups into one task.
+    dealt = dealt.repartition(groups, "group").sortWithinPartitions("group", "doc_id", "x").select("group", "x")
+    total = _summed(dealt.mapInArrow(fit, "part binary"))
+    *weights, bias, prior = total[:-1] / total[-1]
+    return Model(mean, scale, np.array(weights), float(bias), float(prior))
 
 
 def score(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

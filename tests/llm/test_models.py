@@ -173,6 +173,28 @@ def test_the_prior_is_the_share_of_positives(share):
     assert quality.class_prior(positive, unlabelled) == pytest.approx(share, abs=0.07)
 
 
+def test_quality_is_fitted_on_all_documents_in_groups(spark):
+    """The model is the mean of plain fits of the groups; moments are those of all documents; no repeated row counts twice."""
+    rng = random.Random(6)
+    texts = [junk(rng) if i % 3 == 0 else prose(rng, 60) for i in range(600)]
+    rows = [*enumerate(texts), *[(7, texts[7])] * 50, *[(None, texts[3])] * 40]
+    labels = spark.createDataFrame([(i, 1) for i in range(300) if i % 3], "doc_id long, quality int")
+    model = quality.learn(table(spark, rows), labels, group_rows=150)
+    x = {r: quality.features(r[1].encode(), {}) for r in rows}
+    every = np.array(list(x.values()), np.float64)
+    assert len(every) == 601
+    assert model.mean == pytest.approx(every.mean(0), abs=1e-6) and model.scale == pytest.approx(every.std(0) + 1e-3, abs=1e-6)
+    positive = np.array([x[i, texts[i]] for i in range(300) if i % 3])
+    hashed = spark.createDataFrame([(i, v.tobytes()) for (i, _), v in x.items()], "doc_id long, x binary")
+    groups = {}
+    for r in sorted(hashed.selectExpr("doc_id", "x", "pmod(xxhash64(doc_id, x), 4) g").collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0)):
+        groups.setdefault(r.g, []).append(np.frombuffer(bytes(r.x), np.float32))
+    fits = [quality.train(positive, np.array(g), model.mean, model.scale) for g in groups.values()]
+    assert len(fits) == 4 and model.prior == pytest.approx(np.mean([m.prior for m in fits]), abs=1e-6)
+    assert model.weights == pytest.approx(np.mean([m.weights for m in fits], axis=0), abs=1e-4)
+    assert model.bias == pytest.approx(np.mean([m.bias for m in fits]), abs=1e-4)
+
+
 # Archives
 
 
