@@ -374,3 +374,41 @@ def test_whole_chain(spark, tmp_path):
         "group_tests", "mixture", "trials", "curves"
     }
     assert spark.read.parquet(log).filter("experiment = 'mixture'").agg(F.countDistinct("step")).first()[0] == 9
+
+
+def test_category_means_are_never_broadcast(spark, rows, fitted):
+    """The table of means is a small file and a large hash table; only the overall means, a row per cluster, go to all tasks."""
+    asked = rows.select("GMM_CLUSTER", *CONDITIONS).withColumn("MDA", F.col("MDA").cast("string")).distinct()
+    features = regress.full_statistics(asked, fitted.means, CONDITIONS, 3)
+    features.collect()
+    text = features._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert text.count("SortMergeJoin") == 7 and text.count("BroadcastHashJoin") <= 1
+
+
+@pytest.mark.parametrize("pieces", [1, 5])
+def test_cell_features_equal_plain_sums(spark, rows, pieces):
+    """Training cells see the training cells before them, held-out cells all of them, whichever way the order is cut."""
+    cells = regress.condition_cells(rows.withColumn("SHAPE", F.when(F.col("KEY") % 11 != 0, F.col("SHAPE"))))
+    found = cells.collect()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", pieces)
+    try:
+        got = {(r.GMM_CLUSTER, r.measure, r.SHAPE, r.MDA, r.START_TIME, r.is_holdout): r.features for r in regress.cell_features(cells).collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(got) == len(found)
+    names = sorted(("+".join(c), c) for c in regress.combinations(CONDITIONS, 3))
+
+    def place(r):
+        return hashlib.md5("|".join(r[c] or "" for c in CONDITIONS).encode()).hexdigest()
+
+    for r in found[::7]:
+        train = [x for x in found if not x.is_holdout and (x.GMM_CLUSTER, x.measure) == (r.GMM_CLUSTER, r.measure)]
+        prior = sum(x.n * x.y for x in train) / sum(x.n for x in train)
+        seen = train if r.is_holdout else [x for x in train if place(x) < place(r)]
+        expected = []
+        for _, columns in names:
+            same = [x for x in seen if all(x[c] is not None and x[c] == r[c] for c in columns)]
+            expected.append((sum(x.n * x.y for x in same) + prior) / (sum(x.n for x in same) + 1))
+        key = (r.GMM_CLUSTER, r.measure, r.SHAPE, r.MDA, r.START_TIME, r.is_holdout)
+        assert got[key] == pytest.approx(expected)
