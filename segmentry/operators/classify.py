@@ -8,6 +8,7 @@ from functools import reduce
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from segmentry.config import (
@@ -15,7 +16,7 @@ from segmentry.config import (
 )
 from segmentry.functions.scalar import replace_values
 from segmentry.functions.text import all_digits, blank_to_null, parts, separators, strip
-from segmentry.operators.ordering import batch_numbers, dense_ids, keep_first, keep_last
+from segmentry.operators.ordering import batch_numbers, dense_ids, keep_first, keep_last, running_total
 from segmentry.session import cut
 
 Classifier = Callable[[str], str]
@@ -114,19 +115,31 @@ def classify_with_ledger(
                 yield pd.DataFrame({"key": [key], "batch": [batch], "answer": [answer], "error": [error], "asked": [pd.Timestamp.now()]})
 
     keyed = cut(prompts.withColumn("key", F.sha2(F.col("prompt").cast("binary"), 256)).dropDuplicates(["key", "batch"]))
-    before = ledger_state(spark, ledger).select("key", F.col("failures").alias("earlier"))
-    before = cut(keyed.select("key").distinct().join(before, "key", "left").select("key", F.coalesce("earlier", F.lit(0)).alias("earlier")))
-    while True:
-        state = keyed.join(before, "key").join(ledger_state(spark, ledger), "key", "left")
-        is_open = ~F.coalesce("is_answered", F.lit(False))
-        may_ask = F.coalesce("failures", F.lit(0)) - F.col("earlier") < attempts
-        left = cut(state.filter(is_open & may_ask).select("key", "batch", "prompt").orderBy("batch", "key").limit(wave))
-        if left.isEmpty():
-            break
-        asked = left.dropDuplicates(["key"]).repartition(concurrency, "key").mapInPandas(ask, _LEDGER)
-        asked.write.mode("append").parquet(ledger)
-    found = cut(keyed.join(ledger_state(spark, ledger), "key", "left").select("batch", "answer", "is_answered"))
-    n_open = found.filter(~F.coalesce("is_answered", F.lit(False))).count()
+
+    def answered() -> DataFrame:
+        # The state grows with the prompts while its files stay small; the hint keeps it out of a broadcast.
+        return keyed.join(ledger_state(spark, ledger).hint("merge"), "key", "left").withColumn("is_answered", F.coalesce("is_answered", F.lit(False)))
+
+    # The waves are dealt once, so that each reads its own folder and neither all prompts nor the whole ledger.
+    unasked = answered().filter(~F.col("is_answered")).groupBy("key").agg(F.min("batch").alias("batch"), F.first("prompt").alias("prompt"))
+    unasked = cut(unasked)
+    per_batch = cut(unasked.groupBy("batch").agg(F.count("*").alias("n")))
+    first = running_total(per_batch, [], "batch", "n").select("batch", F.col("before").alias("first"))
+    place = F.col("first") + F.row_number().over(W.partitionBy("batch").orderBy("key")) - 1
+    dealt = unasked.join(first.hint("merge"), "batch").withColumn("wave", F.floor(place / wave)).drop("first")
+    waves = cut(dealt.repartition("wave"), ["wave"])
+    n_waves = -(-unasked.count() // wave)
+    for number in range(n_waves):
+        left = waves.filter(F.col("wave") == number).select("key", "batch", "prompt")
+        for _ in range(attempts):
+            asked = cut(left.repartition(concurrency, "key").mapInPandas(ask, _LEDGER))
+            asked.write.mode("append").parquet(ledger)
+            failed = asked.filter(F.col("error").isNotNull()).select("key")  # at most a wave
+            if failed.isEmpty():
+                break
+            left = left.join(F.broadcast(failed), "key", "left_semi")
+    found = cut(answered().select("batch", "answer", "is_answered"))
+    n_open = found.filter(~F.col("is_answered")).count()
     if n_open:
         raise RuntimeError(f"{n_open} prompts have no answer after {attempts} calls each; their errors are in {ledger}")
     return found.select("batch", "answer")

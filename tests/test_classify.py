@@ -171,3 +171,13 @@ def test_cascade_with_a_ledger_gives_the_same_rounds(spark, tmp_path):
 def test_keyword_rules(spark, name, industry):
     df = spark.createDataFrame([(name,)], "NAME string")
     assert df.select(K.rule_industry(F.col("NAME")).alias("i")).first().i == industry
+
+
+def test_waves_broadcast_at_most_a_wave(spark, tmp_path, monkeypatch):
+    """No join of the prompts with the ledger is a broadcast, and no wave reads the ledger: both grow with the prompts."""
+    ledgers, state = [], K.ledger_state
+    monkeypatch.setattr(K, "ledger_state", lambda *a: ledgers.append(1) or state(*a))
+    prompts = spark.range(40).selectExpr("id DIV 2 AS batch", "concat('p', id) AS prompt")
+    got = K.classify_with_ledger(prompts, lambda p: p.upper(), str(tmp_path / "l"), 2, wave=7)
+    assert sorted(map(tuple, got.collect())) == sorted((i // 2, f"P{i}") for i in range(40))
+    assert len(ledgers) == 2 and K.ledger_rows(spark, str(tmp_path / "l")).count() == 40
