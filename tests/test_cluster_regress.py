@@ -4,6 +4,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.ml.clustering import GaussianMixture
@@ -412,3 +413,21 @@ def test_cell_features_equal_plain_sums(spark, rows, pieces):
             expected.append((sum(x.n * x.y for x in same) + prior) / (sum(x.n for x in same) + 1))
         key = (r.GMM_CLUSTER, r.measure, r.SHAPE, r.MDA, r.START_TIME, r.is_holdout)
         assert got[key] == pytest.approx(expected)
+
+
+def test_packed_cells_hold_every_value_and_take_little_room():
+    n, rng = 5_000, np.random.default_rng(2)
+    features = rng.random((n, 7))
+    columns = {
+        "GMM_CLUSTER": pa.array(np.arange(n, dtype=np.int32) % 2), "measure": pa.array(["CVR"] * n), "is_holdout": pa.array(np.arange(n) % 5 == 0),
+        "n": pa.array(np.arange(n)), "y": pa.array(rng.random(n)), "ss": pa.array(rng.random(n)), "place": pa.array(np.arange(n)[::-1].copy()),
+        "features": pa.array(features.tolist()),
+    }
+    packed = pa.Table.from_batches(regress.pack_cells([pa.RecordBatch.from_pydict(columns)])).to_pylist()
+    assert [(r["GMM_CLUSTER"], r["measure"], r["width"]) for r in packed] == [(0, "CVR", 7), (1, "CVR", 7)]
+    for r in packed:
+        cells = np.frombuffer(r["cells"], regress._packed(7))
+        own = np.arange(n) % 2 == r["GMM_CLUSTER"]
+        assert len(r["cells"]) == 61 * own.sum() and np.array_equal(cells["x"], features[own].astype(np.float32))
+        for c in ("is_holdout", "n", "y", "ss", "place"):
+            assert np.array_equal(cells[c], columns[c].to_numpy(zero_copy_only=False)[own])
