@@ -153,6 +153,21 @@ def occurrences(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) ->
     return map_texts(texts, "key long, context long, doc_id long, place long", start)
 
 
+def anchors(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int) -> DataFrame:
+    """`key` of the `occurrences` alone."""
+
+    def start():
+        tokens_of = tokenizer()
+
+        def work(batch):
+            for *_, (_, _, _, key) in document_runs([tokens_of(t) for t in as_bytes(batch)], window, k):
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64))], ["key"])
+
+        return work
+
+    return map_texts(texts, "key long", start)
+
+
 def candidates(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int, also: Sequence[Column] = ()) -> DataFrame:
     """The occurrences whose anchor occurs at least twice, with aggregates over its occurrences (`also`). Written once.
 
@@ -160,7 +175,8 @@ def candidates(texts: DataFrame, tokenizer: Tokenizer, window: int, k: int, also
     execution can split the part of an anchor that many documents share.
     """
     found = occurrences(texts, tokenizer, window, k)
-    keys = cut(found.groupBy("key").agg(F.count("*").alias("n"), *also).filter("n > 1").drop("n"))
+    counted = found if also else anchors(texts, tokenizer, window, k)
+    keys = cut(counted.groupBy("key").agg(F.count("*").alias("n"), *also).filter("n > 1").drop("n"))
     return cut(found.join(keys, "key"))
 
 

@@ -2,9 +2,11 @@
 
 Runs of windows whose anchor occurs once are settled by counting (`repeats`). A run whose context occurs earlier is
 removed whole. What is left, the first occurrence of each distinct context that shares its anchor with other
-contexts, is dealt by anchor to shards. A shard writes its contexts into one text on its own disk and sorts all
-suffixes by external induced sorting with common prefixes (`suffixes`). Neighbours with a common prefix of `length`
-or more are the same string; the earliest of them stays, the others are removed.
+contexts, is dealt by anchor to shards. Windows are classed by the anchor's place in them: all of a class hold the same
+stretch around the anchor, so a class whose stretch no other context of the shard has holds no string that recurs. A
+shard writes the rest of its contexts into one text on its own disk and sorts all suffixes by external induced sorting
+with common prefixes (`suffixes`). Neighbours with a common prefix of `length` or more are the same string; the
+earliest of them stays, the others are removed.
 
 An anchor's distinct contexts meet in one shard, so time, disk and memory of a shard grow with a passage that very
 many documents share with different bytes around it. Hot copies never meet: counting is partially aggregated and each
@@ -20,16 +22,24 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from segmentry.llm import repeats
 from segmentry.llm.common import as_bytes, column, map_texts, picked
-from segmentry.llm.suffixes import Disk, suffix_groups
+from segmentry.llm.suffixes import RUN, Disk, suffix_groups
 from segmentry.session import cut
 
 #: Bytes of the anchor. Shards for each shuffle partition: small ones need less disk at a time.
 ANCHOR, SHARDS = 32, 2
+#: Classes of windows by the anchor's place in them.
+CLASSES = 4
+
+
+def anchor_size(length: int) -> int:
+    return min(ANCHOR, 1 << (length.bit_length() - 1))
 
 
 def _byte_tokenizer():
@@ -37,58 +47,117 @@ def _byte_tokenizer():
     return lambda text: table[np.frombuffer(text, np.uint8)]
 
 
+def _lists(values: pa.Array, *names: str) -> list[np.ndarray]:
+    """Where the rows of a column of lists of structs begin and end (NULL is empty), and the fields of all structs."""
+    sizes = pc.fill_null(pc.list_value_length(values), 0).to_numpy(zero_copy_only=False)
+    flat = values.flatten()
+    return [np.concatenate(([0], np.cumsum(sizes, dtype=np.int64))), *[flat.field(x).to_numpy(zero_copy_only=False) for x in names]]
+
+
 def cut_contexts(wanted: DataFrame, texts: DataFrame, length: int) -> DataFrame:
-    """`key`, `doc_id`, `start`, `context` (bytes of the run) for each wanted `key`, `doc_id`, `place`."""
+    """`key`, `doc_id`, `start`, `offset` (of the anchor), `context` (bytes of the run) for each wanted `key`, `doc_id`, `place`."""
     per_document = wanted.groupBy("doc_id").agg(F.collect_set(F.struct("place", "key")).alias("runs"))
-    rows = texts.join(per_document, "doc_id", "left")
+    rows = texts.join(per_document, "doc_id")
 
     def start():
         def work(batch):
-            keys, ids, starts, contexts = [], [], [], []
-            for doc_id, text, own in zip(batch.column("doc_id").to_pylist(), as_bytes(batch), batch.column("runs").to_pylist(), strict=True):
-                for run in own or ():
-                    at = run["place"] >> 16
-                    keys.append(run["key"])
-                    ids.append(doc_id)
-                    starts.append(at)
-                    contexts.append(text[at : at + (run["place"] >> 8 & 255) + length - 1])
+            edges, place, keys = _lists(batch.column("runs"), "place", "key")
+            at, offset = place >> 16, place & 127
+            stop = (at + (place >> 8 & 255) + (length - 1)).tolist()
+            first, contexts = at.tolist(), []
+            for text, i, j in zip(as_bytes(batch), edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+                contexts += [text[x:y] for x, y in zip(first[i:j], stop[i:j], strict=True)]
+            ids = batch.column("doc_id").take(pa.array(np.repeat(np.arange(batch.num_rows), np.diff(edges))))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys, pa.int64()), pa.array(ids, pa.int64()), pa.array(starts, pa.int64()), pa.array(contexts, pa.binary())],
-                ["key", "doc_id", "start", "context"],
+                [pa.array(keys), ids, pa.array(at), pa.array(offset), pa.array(contexts, pa.binary())],
+                ["key", "doc_id", "start", "offset", "context"],
             )
 
         return work
 
-    return map_texts(rows, "key long, doc_id long, start long, context binary", start)
+    return map_texts(rows, "key long, doc_id long, start long, offset long, context binary", start)
+
+
+def class_borders(length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least and greatest offset of the anchor in each class of windows."""
+    edges = np.unique(np.linspace(0, length - anchor_size(length) + 1, CLASSES + 1).astype(np.int64))
+    return edges[:-1], edges[1:] - 1
+
 
+def stretches(raw: bytes, sizes: np.ndarray, offsets: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each class: the contexts that have windows of it, and a hash of what all these windows hold.
 
-def later_windows(disk: Disk, contexts: list[np.ndarray], ids: np.ndarray, starts: np.ndarray, length: int):
-    """For each window of a shard that also starts earlier: the number of its context and its place there."""
-    sizes = np.fromiter(map(len, contexts), np.int64)
-    begin = np.cumsum(sizes + 1) - (sizes + 1)
+    `raw` are the contexts one after the other, `offsets` the anchor's place in each.
+    """
+    anchors = np.cumsum(sizes) - sizes + offsets
+    out = []
+    for low, high in zip(*class_borders(length), strict=True):
+        rows = np.flatnonzero(np.maximum(offsets - high, 0) <= np.minimum(offsets - low, sizes - length))
+        begin, end = (anchors[rows] - low).tolist(), (anchors[rows] + (length - high)).tolist()
+        found = [xxhash.xxh64_intdigest(raw[i:j]) for i, j in zip(begin, end, strict=True)]
+        out.append((rows, np.array(found, np.uint64)))
+    return out
+
+
+def shared_runs(classes: list[tuple[np.ndarray, np.ndarray]], sizes: np.ndarray, offsets: np.ndarray, length: int):
+    """Number of the context, first and last window of the runs of windows whose stretch another context has too."""
+    shared = np.zeros((len(sizes), len(classes) + 2), bool)  # windows go down through the classes; a false column at both ends
+    for k, (rows, hashes) in enumerate(classes):
+        order = np.argsort(hashes)
+        equal = hashes[order[1:]] == hashes[order[:-1]]
+        shared[rows[order[1:][equal]], len(classes) - k] = True
+        shared[rows[order[:-1][equal]], len(classes) - k] = True
+    inner = shared[:, 1:-1]
+    own, head = np.nonzero(inner & ~shared[:, :-2])
+    tail = np.nonzero(inner & ~shared[:, 2:])[1]
+    low, high = class_borders(length)
+    first = np.maximum(offsets[own] - high[::-1][head], 0)
+    return own, first, np.minimum(offsets[own] - low[::-1][tail], sizes[own] - length)
+
+
+def shard_text(disk: Disk, parts: list[np.ndarray], begin: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of bytes of `parts` (in a row, one ends where the next begins) as one text for sorting, and where each begins in it."""
+    to = np.cumsum(sizes + 1) - (sizes + 1)
     text = disk.array(int((sizes + 1).sum()) + 1, np.uint16)
+    text[to + sizes] = 1
     text[-1] = 0
-    for at, context in zip(begin.tolist(), contexts, strict=True):
-        text[at : at + len(context)] = context.astype(np.uint16) + 2
-        text[at + len(context)] = 1
+    at = 0
+    for part in parts:
+        i, j = np.searchsorted(begin, [at, at + len(part)])
+        if i < j:
+            inner = np.arange(sizes[i:j].sum()) - np.repeat(np.cumsum(sizes[i:j]) - sizes[i:j], sizes[i:j])
+            text[inner + np.repeat(to[i:j], sizes[i:j])] = part[inner + np.repeat(begin[i:j] - at, sizes[i:j])].astype(np.uint16) + 2
+        at += len(part)
+    return text, to
+
+
+def later_windows(disk: Disk, text: np.ndarray, begin: np.ndarray, sizes: np.ndarray, ids: np.ndarray, starts: np.ndarray, length: int):
+    """First and last place in the text of every run of windows of a shard that also start earlier."""
+    marks = disk.array(len(text), bool)
     for positions, prefixes in suffix_groups(disk, text, 258, length):
+        # Suffixes that are no windows have an end among their first symbols, and equal ones have it at the same place.
+        fresh = prefixes < length
+        fresh[0] = True
+        several = ~(fresh & np.append(fresh[1:], True))
+        positions, fresh = positions[several], fresh[several]
         own = np.searchsorted(begin, positions, side="right") - 1
         inner = positions - begin[own]
         is_window = inner + length <= sizes[own]
-        positions, own, inner = positions[is_window], own[is_window], inner[is_window]
+        positions, own, inner, fresh = positions[is_window], own[is_window], inner[is_window], fresh[is_window]
         if not len(positions):
             continue
-        # All suffixes between two equal windows are equal windows, so leaving out others splits no group.
-        fresh = prefixes[is_window] < length
-        fresh[0] = True
         first = np.flatnonzero(fresh)
         group = np.cumsum(fresh) - 1
         doc, place = ids[own], starts[own] + inner
         low_doc = np.minimum.reduceat(doc, first)[group]
         low_place = np.minimum.reduceat(np.where(doc == low_doc, place, np.iinfo(np.int64).max), first)[group]
-        later = (doc > low_doc) | (place > low_place)
-        if later.any():
-            yield own[later], inner[later]
+        marks[positions[(doc > low_doc) | (place > low_place)]] = True
+    changes = [np.flatnonzero(marks[:1])]
+    for at in range(0, len(marks), RUN):
+        part = marks[at : at + RUN + 1]
+        changes.append(np.flatnonzero(part[1:] != part[:-1]) + (at + 1))
+    first, end = np.concatenate(changes).reshape(-1, 2).T
+    return first, end - 1
 
 
 def later_spans(contexts: DataFrame, length: int) -> DataFrame:
@@ -96,30 +165,31 @@ def later_spans(contexts: DataFrame, length: int) -> DataFrame:
 
     def shard(batches):
         with Disk() as disk:
-            texts, ids, starts = [], [], []
+            parts, tables, classes, n = [], [], [], 0
             for batch in batches:  # the bytes go to disk, batch after batch
-                raw = [np.frombuffer(x, np.uint8) for x in batch.column("context").cast(pa.binary()).to_pylist()]
-                if raw:
-                    kept = disk.keep(np.concatenate(raw))
-                    edges = np.cumsum([len(x) for x in raw])
-                    texts += [kept[i:j] for i, j in zip([0, *edges[:-1].tolist()], edges.tolist(), strict=True)]
-                ids.append(batch.column("doc_id").to_numpy(zero_copy_only=False))
-                starts.append(batch.column("start").to_numpy(zero_copy_only=False))
-            if not texts:
+                if not batch.num_rows:
+                    continue
+                each = batch.column("context").cast(pa.binary()).to_pylist()
+                raw, sizes = b"".join(each), np.fromiter(map(len, each), np.int64)
+                parts.append(disk.keep(np.frombuffer(raw, np.uint8)))
+                ids, starts, offsets = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("doc_id", "start", "offset"))
+                tables.append((sizes, ids, starts, offsets))
+                classes.append([(rows + n, hashes) for rows, hashes in stretches(raw, sizes, offsets, length)])
+                n += batch.num_rows
+            if not n:
                 return
-            ids, starts = np.concatenate(ids), np.concatenate(starts)
-            for own, inner in later_windows(disk, texts, ids, starts, length):
-                order = np.lexsort((inner, own))
-                own, inner = own[order], inner[order]
-                fresh = np.ones(len(own), bool)
-                fresh[1:] = (own[1:] != own[:-1]) | (inner[1:] != inner[:-1] + 1)
-                at = np.flatnonzero(fresh)
-                last = np.append(at[1:], len(own)) - 1
-                begin = starts[own[at]] + inner[at]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[own[at]]), pa.array(begin), pa.array(begin + (inner[last] - inner[at]) + length)],
-                    ["doc_id", "start", "end"],
-                )
+            sizes, ids, starts, offsets = map(np.concatenate, zip(*tables, strict=True))
+            classes = [tuple(map(np.concatenate, zip(*x, strict=True))) for x in zip(*classes, strict=True)]
+            own, first, last = shared_runs(classes, sizes, offsets, length)
+            begin = (np.cumsum(sizes) - sizes)[own] + first
+            ids, starts, sizes = ids[own], starts[own] + first, last - first + length
+            text, begin = shard_text(disk, parts, begin, sizes)
+            first, last = later_windows(disk, text, begin, sizes, ids, starts, length)
+            own = np.searchsorted(begin, first, side="right") - 1
+            span = starts[own] + first - begin[own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids[own]), pa.array(span), pa.array(span + (last - first) + length)], ["doc_id", "start", "end"]
+            )
 
     n = SHARDS * int(contexts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return contexts.repartition(n, "key").mapInArrow(shard, "doc_id long, start long, end long")
@@ -127,7 +197,7 @@ def later_spans(contexts: DataFrame, length: int) -> DataFrame:
 
 def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     """`doc_id`, `start`, `end` of strings that also start earlier; spans may overlap."""
-    found = repeats.candidates(texts, _byte_tokenizer, length, min(ANCHOR, 1 << (length.bit_length() - 1)))
+    found = repeats.candidates(texts, _byte_tokenizer, length, anchor_size(length))
     # Written, as it is used twice and joined with rows of hot contexts.
     firsts = cut(found.groupBy("key", "context").agg(F.min("doc_id").alias("first_id")))
     several = firsts.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key")
@@ -141,13 +211,22 @@ def repeated_spans(texts: DataFrame, length: int) -> DataFrame:
     return whole.unionByName(later_spans(cut_contexts(wanted, texts, length), length))
 
 
-def _kept(text: bytes, spans: list | None) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The bytes outside of the spans, and the spans as disjoint ones in order."""
-    begin = np.array([x["start"] for x in spans or ()], np.int64)
-    end = np.array([x["end"] for x in spans or ()], np.int64)
-    begin, end = repeats.covered_spans(begin, end)
-    edges = [0, *np.column_stack((begin, end)).ravel().tolist(), len(text)]
-    return b"".join([text[i:j] for i, j in zip(edges[::2], edges[1::2], strict=True)]), begin, end
+def _disjoint(spans: pa.Array) -> list[np.ndarray]:
+    """The spans of each row as disjoint ones in order: where the rows begin and end among them, their starts and ends."""
+    edges, starts, ends = _lists(spans, "start", "end")
+    sizes = np.maximum.reduceat(np.append(ends, 0), edges[:-1]) if len(ends) else np.zeros(len(edges) - 1, np.int64)
+    sizes[edges[:-1] == edges[1:]] = 0
+    base = np.concatenate(([0], np.cumsum(sizes + 1)))  # rows are laid side by side with a gap
+    shift = np.repeat(base[:-1], np.diff(edges))
+    starts, ends = repeats.covered_spans(starts + shift, ends + shift)
+    edges = np.searchsorted(starts, base)
+    shift = np.repeat(base[:-1], np.diff(edges))
+    return [edges, starts - shift, ends - shift]
+
+
+def _kept(text: bytes, begin: list[int], end: list[int]) -> bytes:
+    """The bytes outside of disjoint spans in order."""
+    return b"".join([text[i:j] for i, j in zip([0, *end], [*begin, len(text)], strict=True)])
 
 
 def _gathered(texts: DataFrame, length: int) -> DataFrame:
@@ -170,10 +249,11 @@ def cleaned(docs: DataFrame, length: int = 100) -> DataFrame:
     def start():
         def work(batch):
             arrays = [batch.column(i) for i in range(len(columns))]
-            spans, texts = batch.column("_spans"), arrays[text_at].to_pylist()
-            changed = [i for i, own in enumerate(spans.is_valid().to_pylist()) if own]
+            texts, (edges, begin, end) = arrays[text_at].to_pylist(), _disjoint(batch.column("_spans"))
+            changed = np.flatnonzero(np.diff(edges)).tolist()
             for i in changed:
-                texts[i] = _kept(texts[i].encode(), spans[i].as_py())[0].decode("utf-8", "ignore")
+                own = slice(edges[i], edges[i + 1])
+                texts[i] = _kept(texts[i].encode(), begin[own].tolist(), end[own].tolist()).decode("utf-8", "ignore")
             arrays[text_at] = pa.array(texts, arrays[text_at].type)
             if size_at is not None:
                 sizes = arrays[size_at].to_pylist()
@@ -195,15 +275,15 @@ def deduplicate(docs: DataFrame, length: int = 100, id_column: str = "doc_id", t
 
     def start():
         def work(batch):
-            sizes, kept, removed = [], [], []
-            for text, own in zip(as_bytes(batch), batch.column("_spans").to_pylist(), strict=True):
-                sizes.append(len(text))
-                rest, begin, end = _kept(text, own)
-                removed.append([{"start": i, "end": j} for i, j in zip(begin.tolist(), end.tolist(), strict=True)])
-                kept.append(rest)
-            span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+            edges, begin, end = _disjoint(batch.column("_spans"))
+            kept = texts = as_bytes(batch)
+            if len(begin):
+                rows, first, last = edges.tolist(), begin.tolist(), end.tolist()
+                kept = [_kept(t, first[i:j], last[i:j]) if i < j else t for t, i, j in zip(texts, rows, rows[1:], strict=False)]
+            span = pa.StructArray.from_arrays([pa.array(begin, pa.int64()), pa.array(end, pa.int64())], ["start", "end"])
+            removed = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), span)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(removed, pa.list_(span)), pa.array(kept, pa.binary())],
+                [batch.column("doc_id"), pa.array(list(map(len, texts)), pa.int64()), removed, pa.array(kept, pa.binary())],
                 ["doc_id", "n_bytes", "spans", "kept"],
             )
 

@@ -5,7 +5,8 @@ their substrings' names; all others are induced by scanning: a popped suffix pus
 The queue orders its suffix tuples by first symbol and, within a symbol, by arrival, which is their final order. As
 the size of each symbol's part is known, its slots lie in one file on disk, with a head per symbol in memory; pops
 and pushes move whole runs of tuples, as far as all slots are filled. Types and leftmost S suffixes are found run by
-run too. The order and names of the leftmost S suffixes and the suffixes of one symbol are still held in memory, so
+run too. At most SMALL names of substrings are sorted in memory by doubling, where a scan would move a few tuples for
+each name. The order and names of the leftmost S suffixes and the suffixes of one symbol are still held in memory, so
 that a shard's memory grows with its size.
 
 The tuples also carry the common prefix with the tuple before them in their part: one more than the least value
@@ -22,6 +23,8 @@ import numpy as np
 
 #: Tuples that are popped and pushed at a time.
 RUN = 1 << 16
+#: Most names that are sorted in memory.
+SMALL = 1 << 19
 #: Longest text whose positions and names are 32-bit numbers.
 NARROW = np.iinfo(np.int32).max
 
@@ -246,11 +249,52 @@ def common_prefixes(text: np.ndarray, left: np.ndarray, right: np.ndarray, limit
     """Common prefix of pairs of different suffixes, at most `limit`."""
     out = np.zeros(len(left), np.int64)
     live = np.arange(len(left))
-    for step in range(limit):
-        live = live[text[left[live] + step] == text[right[live] + step]]
-        if not len(live):
-            break
+    wide = 8 // text.itemsize  # symbols that are compared at a time, as one number at any place
+    if len(text) > wide and text.flags.c_contiguous:
+        words = np.ndarray(len(text) - wide + 1, np.uint64, text, strides=(text.itemsize,))
+        while len(live):
+            at = out[live]
+            fits = (np.maximum(left[live], right[live]) + at < len(words)) & (at + wide <= limit)
+            live, at = live[fits], at[fits]
+            live = live[words[left[live] + at] == words[right[live] + at]]
+            out[live] += wide
+        live = np.flatnonzero(out < limit)
+    while len(live):
+        live = live[text[left[live] + out[live]] == text[right[live] + out[live]]]
         out[live] += 1
+        live = live[out[live] < limit]
+    return out
+
+
+def small_order(names: np.ndarray) -> np.ndarray:
+    """All suffixes in order, by doubling; the last symbol is the smallest and unique."""
+    n = len(names)
+    bits = max(1, int(names.max()).bit_length())
+    step = max(1, 63 // bits)  # symbols that make up the first ranks
+    padded = np.concatenate((names, np.zeros(step, names.dtype))).astype(np.int64)
+    ranks = np.zeros(n, np.int64)
+    for i in range(step):
+        ranks = ranks << bits | padded[i : i + n]
+    order = np.argsort(ranks)
+    slots, groups, low = np.arange(n), np.zeros(n, np.int64), ranks[order]
+    ranks = np.empty(n, np.int64)
+    while True:
+        # `order` holds suffixes that share their group with others, `low` what tells those of a group apart.
+        fresh = np.ones(len(order), bool)
+        fresh[1:] = (groups[1:] != groups[:-1]) | (low[1:] != low[:-1])
+        ranks[order] = slots[np.maximum.accumulate(np.where(fresh, np.arange(len(order)), 0))]
+        several = ~(fresh & np.append(fresh[1:], True))
+        order, slots = order[several], slots[several]
+        if not len(order):
+            break
+        # The end of the text is unique, so suffixes with equal first symbols end after them.
+        value = ranks[order] * n + ranks[order + step]
+        sort = np.argsort(value)
+        order, value = order[sort], value[sort]
+        groups, low = np.divmod(value, n)
+        step *= 2
+    out = np.empty(n, np.int64)
+    out[ranks] = np.arange(n)
     return out
 
 
@@ -304,7 +348,8 @@ def _sort(disk: Disk, text: np.ndarray, alphabet: int, limit: int) -> Iterator[t
         with Disk() as disk_below:
             reduced = disk_below.array(len(leftmost), place_type(len(leftmost)))
             reduced[place] = names
-            ordered = leftmost[_sort(disk_below, reduced, int(names[-1]) + 1, 0)]
+            is_small = len(reduced) <= SMALL
+            ordered = leftmost[small_order(reduced) if is_small else _sort(disk_below, reduced, int(names[-1]) + 1, 0)]
     seeds = disk.keep(np.asarray(ordered, kind))
     prefixes = None
     if limit:

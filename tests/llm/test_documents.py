@@ -143,6 +143,104 @@ def test_substring_dedup_of_a_very_long_period_and_missing_ids(spark, cases):
     assert by == {(90, 60_000): 2, (None, 150): 1, (None, 0): 0, (1, 120): 0}  # overlaps count
 
 
+def _letters(rng, n):
+    return "".join(rng.choice(list("abcdefghijklmnop"), n))
+
+
+def test_substring_dedup_around_a_short_passage_of_many_documents(spark):
+    """Contexts share an anchor; only some share a string of the length, of one byte less or one more."""
+    rng = np.random.default_rng(8)
+    core, left, right = (_letters(rng, n) for n in (50, 60, 60))
+    rows = [(i, _letters(rng, 90) + core + _letters(rng, 90)) for i in range(120)]
+    for i, (a, b) in enumerate((a, total - 50 - a) for total in (99, 100, 101, 120) for a in (0, 1, 17, 25, 33, 34, 49)):
+        if b <= 60:
+            a = min(a, 60)
+            rows.append((200 + i, _letters(rng, 40) + "<" + left[60 - a :] + core + right[:b] + ">" + _letters(rng, 40)))
+    found = {r.doc_id: r for r in suffixdedup.deduplicate(table(spark, rows), 100).collect()}
+    expected = plain_substring_dedup(rows, 100)
+    assert any(e[1] for e in expected.values())
+    assert {k: (r.n_bytes, sum(s.end - s.start for s in r.spans), len(r.spans), bytes(r.kept)) for k, r in found.items()} == expected
+
+
+@pytest.mark.parametrize("length", [100, 40, 33, 3])
+def test_windows_are_left_out_only_where_no_other_context_has_them(length):
+    rng = np.random.default_rng(length)
+    k = suffixdedup.anchor_size(length)
+    anchor = rng.integers(0, 256, k, np.uint8).tobytes()
+    sides = [rng.integers(0, 2, length - k, np.uint8).tobytes() if i % 3 else rng.bytes(length - k) for i in range(60)]
+    contexts, offsets = [], []
+    for _ in range(80):
+        a, b = (int(x) for x in rng.integers(0, length - k + 1, 2))
+        if a + b < length - k:
+            a = length - k - b
+        i, j = (sides[x] for x in rng.integers(0, 60, 2))
+        contexts.append(i[len(i) - a :] + anchor + j[:b])
+        offsets.append(a)
+    sizes, offsets = np.array(list(map(len, contexts))), np.array(offsets)
+    own, first, last = suffixdedup.shared_runs(suffixdedup.stretches(b"".join(contexts), sizes, offsets, length), sizes, offsets, length)
+    kept = {(c, w) for c, i, j in zip(own.tolist(), first.tolist(), last.tolist(), strict=True) for w in range(i, j + 1)}
+    windows = [(c, w) for c, x in enumerate(contexts) for w in range(len(x) - length + 1)]
+    texts = {(c, w): (offsets[c] - w, contexts[c][w : w + length]) for c, w in windows}
+    n = Counter(texts.values())
+    assert kept <= set(windows) and all(x in kept for x in windows if n[texts[x]] > 1)
+    assert len(kept) < len(windows)
+
+
+def test_spans_of_a_shard_are_merged(spark):
+    rng = np.random.default_rng(9)
+    passage = _letters(rng, 130)
+    rows = [(i, _letters(rng, 200) + passage + _letters(rng, 200)) for i in (1, 2)]
+    texts = table(spark, rows).select("doc_id", "text")
+    spans = [(r.doc_id, r.start, r.end) for r in suffixdedup.repeated_spans(texts, 100).collect()]
+    assert {x[0] for x in spans} == {2} and min(x[1] for x in spans) == 200 and max(x[2] for x in spans) == 330
+    assert len(spans) <= 4  # runs, not windows
+
+
+def test_names_of_substrings_take_few_scans(monkeypatch):
+    text = np.append(np.random.default_rng(6).integers(1, 30, 100_000), 0).astype(np.uint16)
+    n, push = 0, suffixes.Queue.push
+
+    def counted(*args):
+        nonlocal n
+        n += 1
+        push(*args)
+
+    monkeypatch.setattr(suffixes.Queue, "push", counted)
+    with suffixes.Disk() as disk:
+        assert sum(len(p) for p, _ in suffixes.suffix_groups(disk, text, 31, 20)) == len(text) - 1
+    assert n < 500
+
+
+@pytest.mark.parametrize("small", [0, 4, 1 << 19])
+def test_names_are_sorted_alike_in_memory_and_by_recursion(monkeypatch, small):
+    monkeypatch.setattr(suffixes, "SMALL", small, raising=False)
+    rng = np.random.default_rng(3)
+    for trial in range(30):
+        text = rng.integers(1, int(rng.integers(2, 5)), int(rng.integers(1, 150)))
+        text = np.append(np.tile(text, 1 + trial % 4), 0).astype(np.uint16)
+        with suffixes.Disk() as disk:
+            got = np.concatenate([p for p, _ in suffixes.suffix_groups(disk, text, 6, 100)]).tolist()
+        assert got == sorted(range(len(text) - 1), key=lambda i: text[i:].tolist())
+
+
+@pytest.mark.parametrize("kind", [np.uint8, np.uint16, np.int32])
+def test_small_orders_and_common_prefixes_of_any_pair(kind):
+    rng = np.random.default_rng(5)
+    for trial in range(60):
+        text = np.append(np.tile(rng.integers(1, 4, int(rng.integers(1, 40))), 1 + trial % 5), 0).astype(kind)
+        assert suffixes.small_order(text).tolist() == sorted(range(len(text)), key=lambda i: text[i:].tolist())
+        left, right = rng.integers(0, len(text), (2, 30))
+        left, right = left[left != right], right[left != right]
+        for limit in (1, 3, 4, 9, 100):
+            expected = []
+            for i, j in zip(left.tolist(), right.tolist(), strict=True):
+                n = 0
+                while n < limit and text[i + n] == text[j + n]:
+                    n += 1
+                expected.append(n)
+            assert suffixes.common_prefixes(text, left, right, limit).tolist() == expected
+
+
 @pytest.mark.parametrize("run", [5, 1 << 16])
 def test_suffixes_and_common_prefixes(monkeypatch, run):
     monkeypatch.setattr(suffixes, "RUN", run)
