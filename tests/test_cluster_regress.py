@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import math
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -431,3 +432,83 @@ def test_packed_cells_hold_every_value_and_take_little_room():
         assert len(r["cells"]) == 61 * own.sum() and np.array_equal(cells["x"], features[own].astype(np.float32))
         for c in ("is_holdout", "n", "y", "ss", "place"):
             assert np.array_equal(cells[c], columns[c].to_numpy(zero_copy_only=False)[own])
+
+
+def many_cells(n, width=7):
+    rng = np.random.default_rng(8)
+    cells = np.zeros(n, regress._packed(width))
+    cells["x"] = rng.random((n, width))
+    cells["y"] = cells["x"][:, 0] + (cells["x"][:, 1] > 0.3)
+    cells["n"], cells["place"], cells["is_holdout"] = 1 + np.arange(n) % 3, np.arange(n), np.arange(n) >= 0.8 * n
+    return cells
+
+
+def test_a_training_task_takes_memory_for_a_part_of_its_cells_only(tmp_path):
+    """1.2 million cells are 73 MB; what the task allocates beside its files is a few columns of one part."""
+    cells = many_cells(1_200_000)
+    cells.tofile(tmp_path / "cells")
+    del cells
+    mapped = np.memmap(tmp_path / "cells", regress._packed(7), "r")
+    tracemalloc.start()
+    found = regress.boost(mapped["x"], mapped["y"], mapped["n"], mapped["is_holdout"], (0.0, 0.0), 4, 0.3, regress.Search(max_iter=2))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found["val_curve"]) == 2 and peak < 45e6
+
+
+def test_parts_and_files_do_not_change_the_trees(monkeypatch):
+    cells = many_cells(5_000)
+    args = cells["x"], cells["y"], cells["n"], cells["is_holdout"], (0.0, 0.0), 4, 0.3, regress.Search(max_iter=6)
+    whole = regress.boost(*args)
+    monkeypatch.setattr(regress, "CHUNK_ROWS", 700)
+    monkeypatch.setattr(regress, "FILE_BYTES", 0)
+    parts = regress.boost(*args)
+    assert parts["splits"] == whole["splits"] and parts["borders"] == whole["borders"]
+    assert parts["val_curve"] == pytest.approx(whole["val_curve"], rel=1e-12)
+    assert [e.tolist() for e in (regress.borders(np.float32([3, 1, 1, 2, 1] * 600), 32), regress.borders(np.float32([5] * 900), 32))] == [[1.5, 2.5], []]
+
+
+@pytest.mark.parametrize("chunk", [64, 1 << 17])
+def test_cells_are_taken_in_one_order_whichever_file_comes_first(monkeypatch, chunk):
+    monkeypatch.setattr(regress, "CHUNK_ROWS", chunk)
+    cells = many_cells(1_000)
+    places = np.random.default_rng(1).integers(0, 1 << 60, 1_000)
+    cells["place"] = np.concatenate([np.sort(places[:800]), np.sort(places[800:])])
+    pieces = ((cells["place"] >> 30) * 5 >> 30) + 5 * cells["is_holdout"]
+    files = [cells[np.isin(pieces, own)] for own in ([0, 3, 6], [1, 2, 9], [4, 5], [7, 8])]
+    came = np.concatenate([files[i] for i in (2, 0, 3, 1)])
+    spans = regress.in_order(came, 5)
+    assert b"".join(came[s].tobytes() for s in spans) == cells.tobytes() != came.tobytes()
+    one, two = (
+        regress.boost(c["x"], c["y"], c["n"], c["is_holdout"], (0.0, 0.0), 3, 0.3, regress.Search(max_iter=4), regress.in_order(c, 5)) for c in (cells, came)
+    )
+    assert one["splits"] == two["splits"] and one["val_curve"] == two["val_curve"]
+
+
+def shuffled_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_training_deals_no_cells_out_and_leaves_no_shuffle_files(spark, rows):
+    cells = cut(regress.condition_cells(rows))
+    training = regress.prepare_training(cells)
+    before = shuffled_bytes(spark)
+    for _ in range(20):  # the files go a moment after the query
+        regress.prepare_training(cells)
+        if shuffled_bytes(spark) <= before + 20_000:
+            break
+    stages = spark._jsc.sc().statusStore().stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+    last = max(stages.apply(i).stageId() for i in range(stages.size()))
+    fitted = regress.fit_training(training, SEARCH)
+    stages = spark._jsc.sc().statusStore().stageList(None, False, False, spark._sc._gateway.new_array(spark._jvm.double, 0), None)
+    new = [stages.apply(i) for i in range(stages.size()) if stages.apply(i).stageId() > last]
+    fits = max(new, key=lambda stage: stage.numTasks())
+    assert fits.numTasks() == 5 * SEARCH.trials and fits.inputRecords() > 0 and fits.shuffleReadRecords() == 0
+    assert fitted.tried.count() == 5 * SEARCH.trials
+
+
+def test_clusters_predicted_one_after_another_give_the_same_rows(rows, fitted, monkeypatch):
+    whole = sorted(map(tuple, regress.predict(rows, fitted).collect()))
+    monkeypatch.setattr(regress, "SLICE_ROWS", 1)
+    assert sorted(map(tuple, regress.predict(rows, fitted).collect())) == whole
