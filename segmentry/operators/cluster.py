@@ -17,7 +17,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from segmentry.session import cut
+from segmentry.session import cut, cut_clean
 
 
 def label_means(facts: DataFrame, measures: Sequence[str] = ("CVR", "ATS", "1000_W_EFFICIENCY")) -> DataFrame:
@@ -64,7 +64,7 @@ class Scaler:
 def scaled_features(means: DataFrame, kind: str = "robust") -> DataFrame:
     """Label, means and the scaled feature vector; labels with a missing mean cannot be clustered and are left out."""
     columns = [c for c in means.columns if c != "MASTER_LABEL"]
-    complete = cut(means.dropna(subset=columns).orderBy("MASTER_LABEL"))
+    complete = cut_clean(means.dropna(subset=columns).orderBy("MASTER_LABEL"))
     scaled = [f"scaled_{c}" for c in columns]
     renamed = complete.select("*", *[F.col(f"`{c}`").alias(s) for c, s in zip(columns, scaled)])
     table = Scaler.fit(renamed, scaled, kind).transform(renamed)

@@ -16,7 +16,7 @@ from segmentry.operators.group_tests import run_all_tests
 from segmentry.operators.labels import attach_label, factor_decisions, kept_levels
 from segmentry.operators.rank import master_table, scale_0_100, top_conditions
 from segmentry.operators.regress import Fitted, Search, cell_statistics, fit_models, predict
-from segmentry.session import cut
+from segmentry.session import cut, cut_clean
 from segmentry.sources.readers import read_runs
 from segmentry.sources.writers import log_rows, replace_runs
 
@@ -80,7 +80,7 @@ def cluster_labels(
 
 def best_conditions(clustered: DataFrame, search: Search = Search(), n: int = 10) -> tuple[Fitted, DataFrame]:
     """Fitted models, and the master table of the best conditions per cluster and goal."""
-    statistics = cut(cell_statistics(clustered))
+    statistics = cut_clean(cell_statistics(clustered))
     fitted = fit_models(statistics.filter("n > 0"), search)
     return fitted, master_table(top_conditions(scale_0_100(predict(statistics, fitted)), n))
 

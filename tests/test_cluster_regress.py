@@ -2,6 +2,7 @@ import hashlib
 import itertools
 import math
 import random
+import time
 import tracemalloc
 
 import numpy as np
@@ -512,3 +513,14 @@ def test_clusters_predicted_one_after_another_give_the_same_rows(rows, fitted, m
     whole = sorted(map(tuple, regress.predict(rows, fitted).collect()))
     monkeypatch.setattr(regress, "SLICE_ROWS", 1)
     assert sorted(map(tuple, regress.predict(rows, fitted).collect())) == whole
+
+
+def test_label_means_leave_no_shuffle_files(spark, blobs):
+    facts = spark.range(200_000).selectExpr("id % 50 AS MASTER_LABEL", "rand(1) AS CVR", "rand(2) AS ATS", "rand(3) AS `1000_W_EFFICIENCY`")
+    before = shuffled_bytes(spark)
+    assert cluster.scaled_features(cluster.label_means(facts.repartition(8, "CVR"))).count() == 50
+    for _ in range(50):  # the files go a moment after the query
+        if shuffled_bytes(spark) <= before + 50_000:
+            break
+        time.sleep(0.1)
+    assert shuffled_bytes(spark) <= before + 50_000  # the dealt rows alone are some 5 MB
